@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brambling.llm import merkle
-from brambling.runtime import table
+from brambling.llm import bpe, cooccur, merkle, mixing, truth
+from brambling.runtime import blank_to_null, cut, table
 
 
 def _titles(spark: SparkSession, sf: str) -> DataFrame:
@@ -22,4 +22,61 @@ def p1_copies(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.formatting_copies(_titles(spark, sf), "id", ["title"])[0]
 
 
-QUERIES = {"p1_found": p1_found, "p1_copies": p1_copies}
+def _works(spark: SparkSession, sf: str) -> DataFrame:
+    a = table(spark, sf, "articles").select("rec_id", "query_id", "doi", "identifiers", "abstract", "mesh_terms", "fetched_at")
+    doi = F.coalesce(truth.clean_doi(F.col("doi")), truth.clean_doi(F.col("identifiers.doi")))
+    mesh = truth.mesh_set(F.col("mesh_terms"))
+    flat = a.select("rec_id", "query_id", "fetched_at", doi.alias("c_doi"), blank_to_null(F.col("identifiers.pmid")).alias("pmid"), truth.abstract_size(F.col("abstract")).alias("n_abstract"), F.md5("abstract").alias("h_abstract"), F.size(mesh).alias("n_mesh"), F.md5(F.concat_ws("|", mesh)).alias("h_mesh"))
+    return truth.link_groups(flat, "rec_id", {"doi": F.col("c_doi"), "pmid": F.col("pmid")})
+
+
+def _best(spark: SparkSession, sf: str, complete: bool) -> DataFrame:
+    f = [
+        truth.Field("doi", F.col("c_doi")),
+        truth.Field("abstract", F.when(F.col("n_abstract") > 0, F.col("h_abstract")), F.col("n_abstract") if complete else None, not complete),
+        truth.Field("mesh", F.when(F.col("n_mesh") > 0, F.col("h_mesh")), F.col("n_mesh") if complete else None, not complete),
+    ]
+    return truth.best_rows(cut(_works(spark, sf), "works"), "rec_id", F.col("query_id"), F.col("fetched_at"), f)
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _best(spark, sf, True).select(F.col("first_id").alias("first_rec_id"), "doi", F.col("abstract_id").alias("abstract_rec_id"), F.col("mesh_id").alias("mesh_rec_id"))
+
+
+def p4_by_votes(spark: SparkSession, sf: str) -> DataFrame:
+    return _best(spark, sf, False).select(F.col("first_id").alias("first_rec_id"), "n_rows", "doi", F.col("abstract_id").alias("abstract_rec_id"), F.col("mesh_id").alias("mesh_rec_id"))
+
+
+def p6_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    t = table(spark, sf, "publication_authors")
+    parts = [cooccur.associations(t, "uid", item).select(F.lit(kind).alias("kind"), "*") for kind, item in (("author", "author_key"), ("institution", "institution_id"))]
+    return parts[0].unionByName(parts[1])
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p6_pairs(spark, sf).select("kind", "item_a", "item_b")
+
+
+def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.with_ids(table(spark, sf, "documents").select("doc_id", "text"), "text").select("doc_id", "ids")
+
+
+def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[1]
+
+
+def p9_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[0]
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p1_copies": p1_copies,
+    "p4_found": p4_found,
+    "p4_by_votes": p4_by_votes,
+    "p6_found": p6_found,
+    "p6_pairs": p6_pairs,
+    "p8_ids": p8_ids,
+    "p9_mixture": p9_mixture,
+    "p9_shares": p9_shares,
+}
