@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brambling.llm import bpe, cooccur, merkle, mixing, truth
+from brambling.llm import bpe, cooccur, merkle, mixing, names, truth
 from brambling.runtime import blank_to_null, cut, table
 
 
@@ -22,6 +22,23 @@ def p1_copies(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.formatting_copies(_titles(spark, sf), "id", ["title"])[0]
 
 
+def _spellings(spark: SparkSession, sf: str) -> DataFrame:
+    a = table(spark, sf, "articles").select(F.explode("authors").alias("a")).where("a.fore_name IS NOT NULL AND trim(a.fore_name) <> ''")
+    a = a.select(F.concat("a.last_name", F.lit(", "), "a.fore_name").alias("name"))
+    r = table(spark, sf, "scholar_leads").select(F.explode(F.split("authors_raw", ", ")).alias("name")).select(F.trim("name").alias("name"))
+    return a.unionByName(r).unionByName(table(spark, sf, "network_author_nodes").select(F.col("label").alias("name")))
+
+
+def p2_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return names.link_names(_spellings(spark, sf), table(spark, sf, "name_nicknames"))
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    c = cut(p2_clusters(spark, sf), "clusters")
+    a, b = (c.select("cluster", F.col("name").alias(f"name_{s}")) for s in "ab")
+    return a.join(b, "cluster").where("name_a < name_b").select("name_a", "name_b")
+
+
 def _works(spark: SparkSession, sf: str) -> DataFrame:
     a = table(spark, sf, "articles").select("rec_id", "query_id", "doi", "identifiers", "abstract", "mesh_terms", "fetched_at")
     doi = F.coalesce(truth.clean_doi(F.col("doi")), truth.clean_doi(F.col("identifiers.doi")))
@@ -72,6 +89,7 @@ def p9_mixture(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_copies": p1_copies,
+    "p2_found": p2_found,
     "p4_found": p4_found,
     "p4_by_votes": p4_by_votes,
     "p6_found": p6_found,
