@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brambling.operators import dialect
 from brambling.runtime import table
 from brambling.sources import pages
 
@@ -21,5 +22,16 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return a.select("page_id", "article_no", "author_no", "affiliation_no", F.coalesce("pmid", F.lit("")).alias("pmid"))
 
 
-QUERIES = {"p5_found": p5_found, **{f"p5_{n}": _page_table(n) for n in ("articles", "authors", "affiliations", "mesh_terms", "keywords", "article_types")}}
+def affiliations(spark: SparkSession, sf: str) -> DataFrame:
+    """rec_id, author_no, affiliation_no, text of every stored affiliation of `articles`."""
+    a = table(spark, sf, "articles").select("rec_id", F.posexplode("authors").alias("i", "a"))
+    return a.select("rec_id", (F.col("i") + 1).alias("author_no"), F.posexplode("a.affiliations").alias("j", "text")).select("rec_id", "author_no", (F.col("j") + 1).alias("affiliation_no"), "text")
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    v = dialect.with_values(affiliations(spark, sf), "text").where(F.size("values") > 1)
+    return v.select("rec_id", "author_no", "affiliation_no", F.posexplode("values").alias("k", "affiliation")).select("rec_id", "author_no", "affiliation_no", (F.col("k") + 1).alias("part_no"), "affiliation")
+
+
+QUERIES = {"p7_found": p7_found, "p5_found": p5_found, **{f"p5_{n}": _page_table(n) for n in ("articles", "authors", "affiliations", "mesh_terms", "keywords", "article_types")}}
 ORACLES: dict[str, str] = {}
