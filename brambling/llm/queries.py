@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brambling.llm import bpe, cooccur, merkle, mixing, names, truth
+from brambling.llm import bpe, canonical, cooccur, merkle, mixing, names, truth
+from brambling.operators import dialect
+from brambling.plans.problems import affiliations
 from brambling.runtime import blank_to_null, cut, table
 
 
@@ -39,6 +41,11 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return a.join(b, "cluster").where("name_a < name_b").select("name_a", "name_b")
 
 
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    one = dialect.with_values(affiliations(spark, sf), "text").where(F.size("values") == 1).withColumn("value", F.element_at("values", 1))
+    return canonical.map_values(one, "value", table(spark, sf, "network_institution_nodes")).select("rec_id", "author_no", "affiliation_no", "node_id")
+
+
 def _works(spark: SparkSession, sf: str) -> DataFrame:
     a = table(spark, sf, "articles").select("rec_id", "query_id", "doi", "identifiers", "abstract", "mesh_terms", "fetched_at")
     doi = F.coalesce(truth.clean_doi(F.col("doi")), truth.clean_doi(F.col("identifiers.doi")))
@@ -90,6 +97,7 @@ QUERIES = {
     "p1_found": p1_found,
     "p1_copies": p1_copies,
     "p2_found": p2_found,
+    "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_by_votes": p4_by_votes,
     "p6_found": p6_found,
