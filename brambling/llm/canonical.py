@@ -6,10 +6,11 @@ import html
 import itertools
 import unicodedata
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import regex
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -202,6 +203,16 @@ class Canonical:
         return None, -1
 
 
+def _search(entries: Broadcast) -> Callable:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        c = Canonical(entries.value)
+        for s in batches:
+            got = [c.match(x) if x is not None else (None, -1) for x in s]
+            yield pd.DataFrame({"id": [g[0] for g in got], "d": pd.array([g[1] if g[0] is not None else None for g in got], dtype="Int32")})
+
+    return run
+
+
 def map_values(df: DataFrame, col: str, canonical: DataFrame, out: str = "node_id", unmatched: str = "unmatched", block: int = 50_000) -> DataFrame:
     """Add the id of the entry of `canonical` (node_id, label, country) that `col` means, or `unmatched`; null for a null value.
 
@@ -216,14 +227,8 @@ def map_values(df: DataFrame, col: str, canonical: DataFrame, out: str = "node_i
         part = lst if blocks == 1 else lst.where(F.pmod(F.xxhash64("node_id"), F.lit(blocks)) == b)
         entries = df.sparkSession.sparkContext.broadcast(sorted((tuple(r) for r in part.collect()), key=str))
 
-        def run(batches: Iterator[pd.Series], entries=entries) -> Iterator[pd.DataFrame]:
-            c = Canonical(entries.value)
-            for s in batches:
-                got = [c.match(x) if x is not None else (None, -1) for x in s]
-                yield pd.DataFrame({"id": [g[0] for g in got], "d": pd.array([g[1] if g[0] is not None else None for g in got], dtype="Int32")})
-
         name = f"_hit{b}"
-        df = df.withColumn(name, F.pandas_udf(run, "id string, d int")(F.col(col)))
+        df = df.withColumn(name, F.pandas_udf(_search(entries), "id string, d int")(F.col(col)))
         cols.append(name)
     hits = F.array_sort(F.filter(F.array(*[F.struct(F.col(c)["d"].alias("d"), F.col(c)["id"].alias("id")) for c in cols]), lambda h: h["id"].isNotNull()))
     return df.withColumn(out, F.when(F.col(col).isNotNull(), F.coalesce(F.get(hits, F.lit(0))["id"], F.lit(unmatched)))).drop(*cols)
