@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brambling.llm import bpe, canonical, cooccur, merkle, mixing, names, truth
+from brambling.llm import bpe, canonical, cooccur, merkle, mixing, names, subjects, truth
 from brambling.operators import dialect
 from brambling.plans.problems import affiliations
 from brambling.runtime import blank_to_null, cut, table
@@ -93,6 +93,10 @@ def p9_mixture(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[0]
 
 
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return subjects.assign(table(spark, sf, "documents"), table(spark, sf, "subject_examples"), table(spark, sf, "subject_list"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_copies": p1_copies,
@@ -105,4 +109,5 @@ QUERIES = {
     "p8_ids": p8_ids,
     "p9_mixture": p9_mixture,
     "p9_shares": p9_shares,
+    "p10_found": p10_found,
 }
