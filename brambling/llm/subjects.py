@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,26 +87,40 @@ class Batch:
         return np.array([len(x) > 0 for x in self.labels], dtype=bool)[self.doc]
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 500, terms: int = 150_000) -> Iterator[pd.DataFrame]:
+    """The numbered documents of the batches in pieces of at most `rows` rows and about `terms` occurrences of terms, so that what a task
+    holds at once doesn't follow the size of a batch. A document is never divided."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            df = b.slice(at, rows).to_pandas()
+            part = (np.cumsum([len(x) for x in df["ids"]]) // terms) if len(df) else []
+            for _, piece in df.groupby(np.asarray(part), sort=True):
+                yield piece.reset_index(drop=True)
+
+
 def _gather(docs: DataFrame, fn: Callable[[Batch, object], dict[str, np.ndarray]], state: object, block: int = 2048) -> dict[str, np.ndarray]:
     """Sum over all documents of the arrays that `fn` gives for a batch. Each task adds up its own batches; the sums of tasks are
     added by blocks of rows in a second stage; what reaches the driver has the size of one sum."""
     shared = docs.sparkSession.sparkContext.broadcast(state)
 
-    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for df in batches:
-            if len(df):
-                for k, x in fn(Batch(df), shared.value).items():
-                    total[k] = total[k] + x if k in total else x.astype(np.float64)
-        rows = [(k, i, x.shape[1], x[i : i + block].tobytes()) for k, x in total.items() for i in range(0, len(x), block)]
-        yield pd.DataFrame(rows, columns=["name", "at", "width", "bytes"]).astype({"at": "int64", "width": "int32"})
+        for df in _pieces(batches):
+            for k, x in fn(Batch(df), shared.value).items():
+                if k in total:
+                    total[k] += x
+                else:
+                    total[k] = x.astype(np.float64)
+        for k, x in total.items():
+            for i in range(0, len(x), block):
+                yield pa.record_batch([pa.array([k]), pa.array([i], pa.int64()), pa.array([x.shape[1]], pa.int32()), pa.array([x[i : i + block].tobytes()], pa.binary())], names=["name", "at", "width", "bytes"])
 
     def add(df: pd.DataFrame) -> pd.DataFrame:
         x = sum(np.frombuffer(b, dtype=np.float64) for b in df["bytes"])
         return df.iloc[:1].assign(bytes=[x.tobytes()])
 
     shape = "name string, at bigint, width int, bytes binary"
-    rows = docs.mapInPandas(part, shape).groupBy("name", "at").applyInPandas(add, shape).collect()
+    rows = docs.mapInArrow(part, shape).groupBy("name", "at").applyInPandas(add, shape).collect()
     out: dict[str, list] = {}
     for r in sorted(rows, key=lambda r: (r["name"], r["at"])):
         out.setdefault(r["name"], []).append(np.frombuffer(r["bytes"], dtype=np.float64).reshape(-1, r["width"]))
@@ -214,12 +229,16 @@ def encode(documents: DataFrame, examples: DataFrame, subjects: list[str], least
     """(documents as numbers, terms, idf, languages). Terms are words and pairs of neighbours in a sentence that occur in 3 documents
     and in `least_share` of all; a document of n different terms adds n occurrences, so there are at most (mean n) / least_share."""
 
-    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series([sentences(x) for x in s], index=s.index, dtype=object)
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.list_(pa.string()))
+        for b in batches:
+            for at in range(0, b.num_rows, 500):
+                p = b.slice(at, 500)
+                yield pa.record_batch([p.column("doc_id"), p.column("lang"), pa.array([sentences(x) for x in p.column("text").to_pylist()], kind)], names=["doc_id", "lang", "s"])
 
+    kind = documents.schema["doc_id"].dataType.simpleString()
     src = documents.select("doc_id", "text", F.substring(F.lower(F.trim(F.coalesce("lang", F.lit("")))), 1, 2).alias("lang")).where("text IS NOT NULL AND doc_id IS NOT NULL")
-    words = cut(src.withColumn("s", F.pandas_udf(split, "array<array<string>>")("text")).select("doc_id", "lang", "s").where(F.size("s") > 0), "words")
+    words = cut(src.mapInArrow(split, f"doc_id {kind}, lang string, s array<array<string>>").where(F.size("s") > 0), "words")
     pairs = F.flatten(F.transform("s", lambda w: F.transform(F.slice(w, F.lit(2), F.size(w)), lambda x, i: F.concat_ws(" ", F.get(w, i), x))))
     n_docs = words.count()
     least = max(3.0, least_share * n_docs)
@@ -235,18 +254,21 @@ def encode(documents: DataFrame, examples: DataFrame, subjects: list[str], least
     both = words.join(labels, "doc_id", "left").withColumn("labels", F.coalesce("labels", F.array().cast("array<int>")))
     shared = spark.sparkContext.broadcast(number)
 
-    def numbers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = shared.value.get
-        for b in batches:
-            lens, ids = [], []
-            for ss in b["s"]:
-                found = [[i for i in (*map(get, w), *(get(f"{x} {y}") for x, y in zip(w, w[1:], strict=False))) if i is not None] for w in (list(z) for z in ss)]
-                lens.append([len(f) for f in found])
-                ids.append([i for f in found for i in f])
-            yield pd.DataFrame({"doc_id": b["doc_id"], "lang": [langs.index(x) if x in langs else 0 for x in b["lang"]], "labels": b["labels"], "lens": lens, "ids": ids})
+        ints = pa.list_(pa.int32())
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                b = whole.slice(at, 500)
+                lens, ids = [], []
+                for ss in b.column("s").to_pylist():
+                    found = [[i for i in (*map(get, w), *(get(f"{x} {y}") for x, y in zip(w, w[1:], strict=False))) if i is not None] for w in ss]
+                    lens.append([len(f) for f in found])
+                    ids.append([i for f in found for i in f])
+                lang = [langs.index(x) if x in langs else 0 for x in b.column("lang").to_pylist()]
+                yield pa.record_batch([b.column("doc_id"), pa.array(lang, pa.int32()), b.column("labels").cast(ints), pa.array(lens, ints), pa.array(ids, ints)], names=["doc_id", "lang", "labels", "lens", "ids"])
 
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return cut(both.mapInPandas(numbers, f"doc_id {kind}, lang int, labels array<int>, lens array<int>, ids array<int>"), "numbered"), number, idf, len(langs)
+    return cut(both.mapInArrow(numbers, f"doc_id {kind}, lang int, labels array<int>, lens array<int>, ids array<int>"), "numbered"), number, idf, len(langs)
 
 
 def fit(docs: DataFrame, terms: dict[str, int], idf: np.ndarray, langs: int, notes: list[str], dims: int = 64, power: int = 4, least: float = 0.5, seed: int = 1) -> Model:
@@ -311,14 +333,14 @@ def assign(documents: DataFrame, examples: DataFrame, subject_list: DataFrame, s
     fitted = fit(docs, terms, idf, langs, [r["note"] for r in rows], least=least)
     model = docs.sparkSession.sparkContext.broadcast((fitted.vectors, fitted.centroids, fitted.weight))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, centroids, weight = model.value
-        for df in batches:
+        for df in _pieces(batches):
             b = Batch(df)
             label, ok = _labels(b, vectors, centroids, weight, least)
             n = np.zeros((b.n_docs, len(names)))
             np.add.at(n, (b.doc[ok], label[ok]), 1)
             d, s = np.nonzero((n > 0) & (n >= share * n.sum(1, keepdims=True) - 1e-9))
-            yield pd.DataFrame({"doc_id": b.doc_id[d], "subject_id": [names[k] for k in s]})
+            yield pa.record_batch([pa.array(b.doc_id[d]), pa.array([names[k] for k in s], pa.string())], names=["doc_id", "subject_id"])
 
-    return docs.mapInPandas(run, out)
+    return docs.mapInArrow(run, out)
