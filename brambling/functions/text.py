@@ -50,3 +50,8 @@ def ngrams(w: Column, n: int) -> Column:
     if n == 1:
         return w
     return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))
+
+
+def phrases(c: Column, longest: int) -> Column:
+    """All runs of 1 to `longest` neighbouring words of a text; the words are found once."""
+    return F.flatten(F.transform(F.array(words(c)), lambda w: F.concat(*[ngrams(w, k) for k in range(1, longest + 1)])))

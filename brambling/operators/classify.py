@@ -5,26 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brambling.functions.text import ngrams, norm_title, words
+from brambling.functions.text import norm_title, phrases
 
 WEIGHTS = {"title": 3, "mesh": 3, "keyword": 2, "abstract": 1}
 OTHER = "Other/unspecified"
 
 
-def term_hits(records: DataFrame, terms: DataFrame, key: str = "uid", max_words: int = 4) -> DataFrame:
+def term_hits(records: DataFrame, terms: DataFrame, key: str = "uid") -> DataFrame:
     """(key, field, label_id, term) for every term of `terms` (label_id, term) that a record's field holds as whole words.
 
-    Texts become runs of up to `max_words` words and meet the terms in an equi-join, so cost follows the text's length, not its
-    length times the number of terms. MeSH terms and keywords match as wholes and by their runs of words alike. Longer terms
-    than `max_words` raise the runs' length, not the result.
+    Texts become runs of up to as many words as the longest term has and meet the terms in an equi-join, so cost follows the
+    text's length, not its length times the number of terms. MeSH terms and keywords match by their runs of words too.
     """
     t = terms.select("label_id", norm_title(F.col("term")).alias("term")).where("term IS NOT NULL").distinct()
-    longest = t.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
-    n = min(max(longest, 1), max(longest, max_words))
-    runs = lambda c: F.concat(*[ngrams(words(c), k) for k in range(1, n + 1)])
+    n = t.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
     per = lambda name, c: F.struct(F.lit(name).alias("field"), F.array_distinct(c).alias("g"))
-    of_list = lambda c: F.flatten(F.transform(c, lambda x: F.concat(*[ngrams(words(x), k) for k in range(1, n + 1)])))
-    fields = F.array(per("title", runs(F.col("title"))), per("abstract", runs(F.col("abstract"))), per("mesh", of_list("mesh_terms")), per("keyword", of_list("keywords")))
+    of_list = lambda c: F.flatten(F.transform(c, lambda x: phrases(x, n)))
+    fields = F.array(per("title", phrases(F.col("title"), n)), per("abstract", phrases(F.col("abstract"), n)), per("mesh", of_list("mesh_terms")), per("keyword", of_list("keywords")))
     grams = records.select(key, F.explode(fields).alias("f")).select(key, "f.field", F.explode("f.g").alias("term"))
     return grams.join(t, "term").select(key, "field", "label_id", "term")
 

@@ -1,6 +1,6 @@
 """All queries outside the llm subpackage, by name."""
 
-from brambling.plans import problems
+from brambling.plans import landscape, oracles, problems
 
-QUERIES = {**problems.QUERIES}
-ORACLES = {**problems.ORACLES}
+QUERIES = {**problems.QUERIES, **landscape.QUERIES}
+ORACLES = {**problems.ORACLES, **oracles.ORACLES}
