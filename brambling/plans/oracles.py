@@ -1 +1,199 @@
-ORACLES: dict[str, str] = {}
+"""The queries of landscape.py in SQL for DuckDB. Queries on clusters and layouts have none."""
+
+from __future__ import annotations
+
+from brambling.functions.text import MARKED, PLAIN
+from brambling.operators.classify import OTHER, WEIGHTS
+from brambling.sources.vocab import DOMAINS, RESEARCH_TYPES, STOPLIST
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _norm(c: str) -> str:
+    return f"nullif(trim(regexp_replace(lower(regexp_replace(translate({c}, '{MARKED}', '{PLAIN}'), '\\p{{M}}+', '', 'g')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), '')"
+
+
+def _year(c: str) -> str:
+    return f"try_cast(nullif(regexp_extract({c}, '(^|[^0-9])([0-9]{{4}})([^0-9]|$)', 2), '') AS INT)"
+
+
+def _doi(c: str) -> str:
+    t = f"regexp_replace(regexp_replace(lower({c}), '^\\s+|\\s+$', '', 'g'), '^(https?://[^/\\s]+/|doi:\\s*)+', '')"
+    return f"CASE WHEN regexp_matches({t}, '^10\\.[^/\\s]+/\\S') THEN {t} END"
+
+
+def _has(text: str, word: str) -> str:
+    return f"contains(' ' || coalesce({_norm(text)}, '') || ' ', ' {word} ')"
+
+
+_RECORDS = f"""
+art AS (SELECT rec_id AS rid, 'pubmed' AS origin, query_id, coalesce({_doi('doi')}, {_doi('identifiers.doi')}) AS doi, nullif(trim(identifiers.pmid), '') AS pmid, title, abstract,
+  journal.title AS journal, {_year('publication_date.year')} AS year, language, coalesce(article_types, []) AS article_types, coalesce(mesh_terms, []) AS mesh_terms, coalesce(keywords, []) AS keywords,
+  flatten(list_transform(coalesce(authors, []), lambda a: coalesce(a.affiliations, []))) AS affiliations FROM articles),
+lea AS (SELECT lead_id AS rid, 'scholar' AS origin, query_id, NULL AS doi, NULL AS pmid, title, snippet AS abstract, venue AS journal, {_year('year')} AS year, NULL AS language,
+  []::VARCHAR[] AS article_types, []::VARCHAR[] AS mesh_terms, []::VARCHAR[] AS keywords, []::VARCHAR[] AS affiliations FROM scholar_leads),
+rec AS (SELECT * FROM art UNION ALL SELECT * FROM lea),
+ren AS (SELECT *, {_norm('title')} AS nt FROM rec)"""
+
+_GROUPS = f"""WITH RECURSIVE {_RECORDS},
+keys AS (SELECT rid, 'd' || doi AS k FROM ren WHERE doi IS NOT NULL UNION ALL SELECT rid, 'p' || pmid FROM ren WHERE pmid IS NOT NULL UNION ALL SELECT rid, 't' || nt FROM ren WHERE nt IS NOT NULL),
+links AS (SELECT DISTINCT x.rid AS u, y.rid AS v FROM keys x JOIN keys y USING (k)),
+walk AS (SELECT rid AS u, rid AS r FROM rec UNION SELECT l.v, w.r FROM walk w JOIN links l ON l.u = w.u),
+grp AS (SELECT u AS rid, min(r) AS first_rid FROM walk GROUP BY u)"""
+
+_TYPE = "list_has_any(list_transform(article_types, lambda t: lower(trim(t))), {})"
+_OFFICE = "regexp_matches(lower(a), '\\b(inc|ltd|limited|gmbh|corp|pharmaceuticals?|biologics|branch)\\b')"
+_HERE = f"len(list_filter(affiliations, lambda a: {_has('a', 'singapore')})) > 0"
+_TEXT = _has("concat_ws(' ', title, abstract)", "singapore")
+_RULES = [
+    ("EXC-TYP-01", "excluded", _TYPE.format("['editorial', 'comment', 'news']")),
+    ("EXC-TYP-03", "excluded", "language <> 'eng'"),
+    ("EXC-TYP-04", "excluded", "NOT (year BETWEEN 2015 AND 2026)"),
+    ("EXC-GEO-01", "excluded", f"origin = 'pubmed' AND NOT ({_HERE}) AND NOT {_TEXT}"),
+    ("UNC-LEAD", "uncertain", "origin <> 'pubmed'"),
+    ("EXC-GEO-02", "uncertain", f"({_HERE}) AND len(list_filter(affiliations, lambda a: {_has('a', 'singapore')} AND NOT {_OFFICE})) = 0"),
+    ("INC-GEO-02", "uncertain", f"NOT ({_HERE}) AND {_TEXT}"),
+    ("UNC-LETTER", "uncertain", _TYPE.format("['letter']")),
+    ("EXC-TYP-02", "uncertain", _TYPE.format("['case reports']")),
+    ("EXC-GEN-03", "uncertain", "coalesce(length(trim(abstract)), 0) = 0"),
+]
+_SCREEN = f"WITH {_RECORDS}, hit AS (" + " UNION ALL ".join(f"SELECT rid, {i} AS i, {_q(r)} AS rule_id, {_q(v)} AS v FROM rec WHERE coalesce({t}, false)" for i, (r, v, t) in enumerate(_RULES)) + """),
+one AS (SELECT rec.rid, CASE WHEN count(*) FILTER (v = 'excluded') > 0 THEN 'excluded' WHEN count(*) FILTER (v = 'uncertain') > 0 THEN 'uncertain' ELSE 'included' END AS verdict,
+  coalesce(arg_min(rule_id, i) FILTER (v = 'excluded'), arg_min(rule_id, i) FILTER (v = 'uncertain')) AS rule_id FROM rec LEFT JOIN hit USING (rid) GROUP BY rec.rid)"""
+
+
+def _terms(source: dict[str, tuple[str, list[str]]]) -> str:
+    rows = ", ".join(f"({i}, {_q(k)}, {_q(label)}, {_q(t)})" for i, (k, (label, ts)) in enumerate(source.items()) for t in ts)
+    return f"terms AS (SELECT DISTINCT pos, label_id, label, {_norm('term')} AS term FROM (VALUES {rows}) v(pos, label_id, label, term))"
+
+
+def _scored(source: dict[str, tuple[str, list[str]]], least: int) -> str:
+    inside = lambda c: f"contains(' ' || coalesce({c}, '') || ' ', ' ' || term || ' ')"
+    lists = lambda c: f"list_transform({c}, lambda x: coalesce({_norm('x')}, ''))"
+    return f"""{_RECORDS}, {_terms(source)},
+fld AS (SELECT rid, year, {_norm('title')} AS t, {_norm('abstract')} AS b, {lists('mesh_terms')} AS m, {lists('keywords')} AS k FROM art),
+hit AS (SELECT rid, label_id, pos, (CASE WHEN {inside('t')} THEN {WEIGHTS['title']} ELSE 0 END) + (CASE WHEN {inside('b')} THEN {WEIGHTS['abstract']} ELSE 0 END)
+  + (CASE WHEN len(list_filter(m, lambda x: {inside('x')})) > 0 THEN {WEIGHTS['mesh']} ELSE 0 END) + (CASE WHEN len(list_filter(k, lambda x: {inside('x')})) > 0 THEN {WEIGHTS['keyword']} ELSE 0 END) AS w FROM fld, terms),
+sc AS (SELECT rid, label_id, min(pos) AS pos, sum(w)::BIGINT AS score FROM hit GROUP BY rid, label_id HAVING sum(w) >= {least})"""
+
+
+_DOMS = f"""WITH {_scored(DOMAINS, 4)},
+pri AS (SELECT rid, label_id AS domain_id, score, CASE WHEN row_number() OVER (PARTITION BY rid ORDER BY score DESC, pos) = 1 THEN 1 ELSE 0 END AS is_primary FROM sc),
+dom AS (SELECT * FROM pri UNION ALL SELECT rid, 'other_id', NULL, 1 FROM art WHERE rid NOT IN (SELECT rid FROM pri))"""
+
+_VOCAB = f"""{_DOMS},
+stp AS (SELECT * FROM (VALUES {', '.join(f'({_q(t)})' for t in STOPLIST)}) v(term)),
+tag AS (SELECT d.rid, d.domain_id, lower(trim(x)) AS mesh_term FROM dom d JOIN art USING (rid), unnest(mesh_terms) u(x) WHERE d.domain_id <> 'other_id'),
+frq AS (SELECT domain_id, mesh_term, count(DISTINCT rid) AS frequency FROM tag WHERE mesh_term <> '' AND mesh_term NOT IN (SELECT term FROM stp) GROUP BY ALL HAVING count(DISTINCT rid) >= 3),
+voc AS (SELECT *, row_number() OVER (PARTITION BY domain_id ORDER BY frequency DESC, mesh_term) AS rank FROM frq QUALIFY rank <= 12),
+old AS (SELECT * FROM (VALUES ('tb', 'sputum', 'Sputum tests'), ('vector_borne', 'dengue', 'Dengue fever'), ('rti', 'covid-19', 'COVID-19 (all)'), ('sti', 'no such term', 'Nothing')) v(domain_id, mesh_term, dl)),
+lab AS (SELECT v.*, coalesce(dl, array_to_string(list_transform(string_split(v.mesh_term, ' '), lambda w: upper(w[1:1]) || w[2:]), ' ')) AS display_label FROM voc v LEFT JOIN old o ON o.domain_id = v.domain_id AND o.mesh_term = v.mesh_term),
+bst AS (SELECT t.rid, t.domain_id, min(struct_pack(rank := l.rank, mesh_term := l.mesh_term, dl := l.display_label)) AS b FROM tag t JOIN lab l ON l.domain_id = t.domain_id AND l.mesh_term = t.mesh_term GROUP BY ALL),
+asg AS (SELECT d.rid, d.domain_id, b.mesh_term AS subdomain_mesh, coalesce(b.dl, {_q(OTHER)}) AS subdomain, b.rank AS vocabulary_rank FROM dom d LEFT JOIN bst USING (rid, domain_id) WHERE d.domain_id <> 'other_id')"""
+
+_INST = """inst AS (SELECT DISTINCT a.uid, a.institution_id, country, region, sector, iso3, is_singapore FROM publication_authors a LEFT JOIN network_institution_nodes n ON n.node_id = a.institution_id
+  WHERE a.uid IS NOT NULL AND a.institution_id IS NOT NULL),
+cty AS (SELECT DISTINCT uid, country, region, iso3 FROM inst WHERE country IS NOT NULL),
+nct AS (SELECT uid, count(DISTINCT country) AS n_countries FROM cty GROUP BY uid)"""
+
+
+def _edges(bridge: str) -> str:
+    """`bridge` gives uid, node, domain (or NULL)."""
+    return f"""bri AS (SELECT DISTINCT uid, node, domain FROM ({bridge}) WHERE node IS NOT NULL AND uid IS NOT NULL),
+lay AS (SELECT DISTINCT uid, node, 'ALL' AS layer FROM bri UNION SELECT uid, node, domain FROM bri WHERE domain IS NOT NULL),
+edg AS (SELECT a.layer, a.node AS source, b.node AS target, count(*) AS weight FROM lay a JOIN lay b ON a.layer = b.layer AND a.uid = b.uid AND a.node < b.node GROUP BY ALL),
+all_ AS (SELECT * FROM edg WHERE layer = 'ALL'),
+two AS (SELECT source AS node_id, target AS other, weight FROM all_ UNION ALL SELECT target, source, weight FROM all_),
+deg AS (SELECT b.node AS node_id, any_value(n) AS n_publications, count(weight) AS degree, coalesce(sum(weight), 0)::BIGINT AS weighted_degree
+  FROM (SELECT node, count(DISTINCT uid) AS n FROM bri GROUP BY node) b LEFT JOIN two ON two.node_id = b.node GROUP BY b.node)"""
+
+
+def _pub(node: str) -> str:
+    return f"SELECT a.uid, a.{node} AS node, p.primary_domain AS domain FROM publication_authors a LEFT JOIN publications p USING (uid)"
+
+
+_E_INST, _E_AUTH = "WITH " + _edges(_pub("institution_id")), "WITH " + _edges(_pub("author_key"))
+_E_CTY = f"WITH {_INST}, " + _edges("SELECT uid, country AS node, NULL AS domain FROM cty")
+_TOP = """WITH x AS (SELECT DISTINCT a.uid, a.author_key, p.primary_domain AS domain_id FROM publication_authors a JOIN publications p USING (uid) WHERE a.author_key IS NOT NULL),
+top AS (SELECT author_key, CASE WHEN grouping(domain_id) = 1 THEN 'ALL' ELSE domain_id END AS domain_id, count(DISTINCT uid) AS n_publications FROM x GROUP BY GROUPING SETS ((author_key, domain_id), (author_key)))"""
+_SLUG = f"""WITH au AS (SELECT unnest(authors) AS a FROM articles),
+sl AS (SELECT a.last_name AS last_name, a.fore_name AS fore_name, replace({_norm('a.last_name')}, ' ', '') || '-' || coalesce(replace({_norm('a.fore_name')}, ' ', '')[1:1], '') AS author_key, count(*) AS n
+  FROM au WHERE a.last_name IS NOT NULL AND a.fore_name IS NOT NULL GROUP BY ALL)"""
+_TOKENS = "list_filter(regexp_extract_all(lower({}), '[a-z0-9]+(?:-[a-z0-9]+)*'), lambda t: length(t) >= 3)"
+_HOURS = "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events WHERE ts IS NOT NULL GROUP BY ALL"
+
+ORACLES = {
+    "article_records": f"WITH {_RECORDS} SELECT rid, query_id, doi, pmid, journal, year, language, len(article_types) AS n_types, len(mesh_terms) AS n_mesh, len(affiliations) AS n_affiliations FROM art",
+    "lead_records": f"WITH {_RECORDS} SELECT rid, query_id, {_norm('title')} AS norm, year, journal FROM lea",
+    "record_uid": f"WITH {_RECORDS} SELECT rid, coalesce('doi:' || doi, 'pmid:' || pmid, 'title:' || sha256(nt)[1:16]) AS uid FROM ren",
+    "json_lines_fields": "SELECT lead_id, raw_line->>'$.title' AS title, raw_line->>'$.venue' AS venue, raw_line->>'$.year' AS year, raw_line->>'$.source' AS source FROM scholar_leads",
+    "search_coverage": "SELECT query_id, count(*) AS fetched, count(DISTINCT page_no) AS pages, round(count(*) / (SELECT count(*) FROM articles), 6) AS share FROM articles GROUP BY query_id",
+    "dedupe_groups": _GROUPS + " SELECT rid, first_rid FROM grp",
+    "dedupe_records": _GROUPS + """, m AS (SELECT first_rid, arg_min(rid, (CASE WHEN origin = 'pubmed' THEN 0 ELSE 1 END, rid)) AS survivor, min(doi) AS any_doi, min(pmid) AS any_pmid, count(*) AS n_copies,
+  string_agg(DISTINCT query_id, '|' ORDER BY query_id) AS provenance, string_agg(DISTINCT origin, '|' ORDER BY origin) AS origins, CASE WHEN count(*) FILTER (origin = 'pubmed') > 0 THEN 0 ELSE 1 END AS needs_manual_metadata FROM ren JOIN grp USING (rid) GROUP BY first_rid)
+SELECT m.first_rid, survivor, coalesce(r.doi, any_doi) AS doi, coalesce(r.pmid, any_pmid) AS pmid, n_copies, coalesce(provenance, '') AS provenance, origins, needs_manual_metadata FROM m JOIN ren r ON r.rid = survivor""",
+    "dedupe_title": f"WITH {_RECORDS} SELECT nt AS t, min(rid) AS survivor, count(*) AS n_copies FROM ren WHERE nt IS NOT NULL GROUP BY nt",
+    "screen_three_way": _SCREEN + " SELECT rid, verdict, rule_id FROM one",
+    "screen_rules": _SCREEN + " SELECT rule_id, count(*) AS n FROM hit GROUP BY rule_id",
+    "screen_partition_check": _SCREEN + " SELECT count(*) FILTER (verdict = 'included') AS included, count(*) FILTER (verdict = 'excluded') AS excluded, count(*) FILTER (verdict = 'uncertain') AS uncertain, 0 AS unassigned, count(*) AS total, 0 AS overlapping FROM one",
+    "decision_overlay": """WITH s AS (SELECT doc_id, CASE WHEN lower(trim(lang)) <> 'en' THEN 'excluded' WHEN lang IS NULL OR coalesce(length(trim(text)), 0) = 0 THEN 'uncertain' ELSE 'included' END AS v,
+  CASE WHEN lower(trim(lang)) <> 'en' THEN 'LANG' WHEN lang IS NULL THEN 'NOLANG' WHEN coalesce(length(trim(text)), 0) = 0 THEN 'EMPTY' END AS r FROM documents),
+d AS (SELECT doc_id, CASE WHEN labelled_by = 'user' THEN 'included' ELSE 'excluded' END AS v, subject_id AS r FROM subject_examples QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY subject_id DESC, CASE WHEN labelled_by = 'user' THEN 1 ELSE 0 END DESC) = 1)
+SELECT s.doc_id, coalesce(d.v, s.v) AS verdict, coalesce(d.r, s.r) AS rule_id, CASE WHEN d.v IS NULL THEN 0 ELSE 1 END AS decided FROM s LEFT JOIN d USING (doc_id)""",
+    "term_scoring": f"WITH {_scored(DOMAINS, 1)} SELECT rid, label_id, score FROM sc",
+    "publication_domains": _DOMS + " SELECT rid, domain_id, score, is_primary FROM dom",
+    "primary_domain": _DOMS + " SELECT domain_id, count(*) AS records FROM dom WHERE is_primary = 1 GROUP BY domain_id",
+    "research_types": f"WITH {_scored(RESEARCH_TYPES, 3)} SELECT rid, label_id AS type_id, score FROM sc",
+    "summary_research_type_year": f"WITH {_scored(RESEARCH_TYPES, 3)} SELECT label AS type_label, year, count(*) AS publications FROM sc JOIN (SELECT DISTINCT label_id, label FROM terms) USING (label_id) JOIN art USING (rid) GROUP BY ALL",
+    "subdomain_vocabulary": _VOCAB + " SELECT domain_id, mesh_term, frequency, rank FROM voc",
+    "display_label_overlay": _VOCAB + " SELECT domain_id, mesh_term, rank, display_label FROM lab",
+    "subdomain_assignment": _VOCAB + " SELECT rid, domain_id, subdomain_mesh, subdomain, vocabulary_rank FROM asg",
+    "summary_subdomain_year": _VOCAB + f" SELECT d.domain_id, coalesce(subdomain, {_q(OTHER)}) AS subdomain_label, year, count(*) AS publications FROM dom d JOIN art USING (rid) LEFT JOIN asg USING (rid, domain_id) WHERE is_primary = 1 GROUP BY ALL",
+    "publication_institutions": f"WITH {_INST} SELECT * FROM inst",
+    "publication_countries": f"WITH {_INST} SELECT * FROM cty",
+    "summary_domain_year": f"WITH {_INST} SELECT primary_domain AS domain_id, year, count(*) AS publications, count(*) FILTER (try_cast(singapore_led AS INT) = 1) AS singapore_led, count(*) FILTER (n_countries > 1) AS international FROM publications LEFT JOIN nct USING (uid) GROUP BY ALL",
+    "led_and_international": f"""WITH {_INST}, x AS (SELECT a.uid, author_no, coalesce(n.is_singapore, 0) AS here FROM publication_authors a LEFT JOIN network_institution_nodes n ON n.node_id = a.institution_id WHERE a.uid IS NOT NULL AND author_no IS NOT NULL),
+e AS (SELECT uid, max(here) FILTER (author_no = lo OR author_no = hi) AS led FROM (SELECT *, min(author_no) OVER (PARTITION BY uid) AS lo, max(author_no) OVER (PARTITION BY uid) AS hi FROM x) GROUP BY uid)
+SELECT uid, led, CASE WHEN n_countries > 1 THEN 1 ELSE 0 END AS international FROM e LEFT JOIN nct USING (uid)""",
+    "summary_top_authors": _TOP + " SELECT * FROM top",
+    "top_authors_per_domain": _TOP + " SELECT *, row_number() OVER (PARTITION BY domain_id ORDER BY n_publications DESC, author_key) AS rank FROM top QUALIFY rank <= 10",
+    "coauthor_institution_edges": _E_INST + " SELECT layer, source, target, weight FROM edg",
+    "coauthor_author_edges": _E_AUTH + " SELECT layer || '::' || source || '::' || target AS edge_id, layer AS domain, source, target, weight FROM edg WHERE layer <> 'ALL'",
+    "coauthor_country_edges": _E_CTY + " SELECT layer, source, target, weight FROM edg",
+    "network_institution_nodes": _E_INST + " SELECT d.node_id, label, country, region, sector, iso3, is_singapore, d.degree, d.weighted_degree, d.n_publications FROM deg d LEFT JOIN network_institution_nodes n USING (node_id)",
+    "network_author_nodes": _E_AUTH + ", kept AS (SELECT * FROM deg ORDER BY weighted_degree DESC, node_id LIMIT 250) SELECT k.node_id, count(o.node_id) AS degree, any_value(k.weighted_degree) AS weighted_degree, any_value(k.n_publications) AS n_publications FROM kept k LEFT JOIN two t ON t.node_id = k.node_id LEFT JOIN kept o ON o.node_id = t.other GROUP BY k.node_id",
+    "network_country_nodes": _E_CTY + " SELECT node_id, degree, weighted_degree, n_publications FROM deg",
+    "network_institution_paths": _E_INST + ", p AS (SELECT layer || '::' || source || '::' || target AS edge_id, layer, unnest([source, target]) AS node_id FROM edg WHERE source IN (SELECT node_id FROM network_institution_nodes) AND target IN (SELECT node_id FROM network_institution_nodes)) SELECT edge_id, layer, node_id, x, y FROM p JOIN network_institution_nodes USING (node_id)",
+    "author_attributes": """WITH c AS (SELECT author_key, institution_id, count(DISTINCT uid) AS n FROM publication_authors WHERE author_key IS NOT NULL AND institution_id IS NOT NULL GROUP BY ALL),
+t AS (SELECT author_key, institution_id FROM c QUALIFY row_number() OVER (PARTITION BY author_key ORDER BY n DESC, institution_id) = 1)
+SELECT author_key, institution_id, country, sector FROM t LEFT JOIN network_institution_nodes n ON n.node_id = institution_id""",
+    "referential_integrity": """SELECT 'publication' AS link, count(*) AS orphans FROM publication_authors a WHERE uid IS NOT NULL AND uid NOT IN (SELECT uid FROM publications)
+UNION ALL SELECT 'author', count(*) FROM publication_authors WHERE author_key IS NOT NULL AND author_key NOT IN (SELECT node_id FROM network_author_nodes)
+UNION ALL SELECT 'institution', count(*) FROM publication_authors WHERE institution_id IS NOT NULL AND institution_id NOT IN (SELECT node_id FROM network_institution_nodes)""",
+    "semi_membership": "SELECT primary_domain, count(*) AS publications FROM publications WHERE uid IN (SELECT uid FROM publication_authors WHERE institution_id IS NOT NULL) GROUP BY primary_domain",
+    "uniqueness_checks": " UNION ALL ".join(f"SELECT '{t}.{c}' AS key, count({c}) AS n, count(DISTINCT {c}) AS distinct_n FROM {t}" for t, c in (("articles", "rec_id"), ("scholar_leads", "lead_id"), ("publications", "uid"), ("network_author_nodes", "node_id"), ("network_institution_nodes", "node_id"), ("documents", "doc_id"))),
+    "node_consistency": "WITH b AS (SELECT institution_id AS node_id, count(DISTINCT uid) AS counted FROM publication_authors WHERE institution_id IS NOT NULL GROUP BY ALL) SELECT node_id, n_publications::BIGINT AS stored, counted FROM network_institution_nodes FULL JOIN b USING (node_id) WHERE n_publications IS DISTINCT FROM counted",
+    "path_pairs": _E_INST + " SELECT 2 AS rows, count(*) AS edges FROM edg WHERE source IN (SELECT node_id FROM network_institution_nodes) AND target IN (SELECT node_id FROM network_institution_nodes)",
+    "author_slug": _SLUG + " SELECT * FROM sl",
+    "author_labels": _SLUG + " SELECT author_key, arg_min(last_name || ', ' || fore_name, (-n, last_name || ', ' || fore_name)) AS label FROM sl WHERE author_key IS NOT NULL GROUP BY author_key",
+    "token_df": f"WITH t AS (SELECT unnest(list_distinct({_TOKENS.format('text')})) AS token FROM documents) SELECT token, count(*) AS df FROM t GROUP BY token HAVING count(*) >= 5",
+    "tfidf_top_terms": f"""WITH t AS (SELECT journal.title AS journal, unnest({_TOKENS.format("concat_ws(' ', title, abstract)")}) AS term FROM articles WHERE journal.title IS NOT NULL),
+tf AS (SELECT journal, term, count(*) AS tf FROM t GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY ALL), n AS (SELECT count(DISTINCT journal.title)::DOUBLE AS n FROM articles WHERE journal.title IS NOT NULL),
+w AS (SELECT journal, term, row_number() OVER (PARTITION BY journal ORDER BY round(tf * ln(1 + n / df), 6) DESC, term) AS r FROM tf JOIN df USING (term), n)
+SELECT journal, string_agg(term, ', ' ORDER BY r) FILTER (r <= 8) AS top_terms, string_agg(term, ', ' ORDER BY r) FILTER (r <= 4) AS label FROM w GROUP BY journal""",
+    "topic_centroids": "SELECT label, (i - 1)::INT AS dim, round(avg(embedding[i]::DOUBLE), 6) AS mean, count(*) AS n FROM embeddings, unnest(range(1, len(embedding) + 1)) r(i) GROUP BY ALL",
+    "nearest_centroid": """WITH e AS (SELECT vec_id, label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings), c AS (SELECT label AS c, avg(x) AS cx, avg(y) AS cy FROM e GROUP BY label)
+SELECT vec_id, arg_min(c, (round(sqrt((x - cx) ** 2 + (y - cy) ** 2), 9), c)) AS nearest, CASE WHEN arg_min(c, (round(sqrt((x - cx) ** 2 + (y - cy) ** 2), 9), c)) = label THEN 1 ELSE 0 END AS own FROM e, c GROUP BY vec_id, label""",
+    "minmax_coords": "SELECT node_id, round((degree - min(degree) OVER ()) / nullif(max(degree) OVER () - min(degree) OVER (), 0)::DOUBLE, 6) AS x, round((weighted_degree - min(weighted_degree) OVER ()) / nullif(max(weighted_degree) OVER () - min(weighted_degree) OVER (), 0)::DOUBLE, 6) AS y FROM network_author_nodes",
+    "roster_upsert": """SELECT coalesce(o.k, n.k) AS profile_url, coalesce(n.name, o.name) AS name, coalesce(o.notes, n.notes) AS notes
+FROM (SELECT c_custkey AS k, 'old ' || c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS notes FROM customer WHERE c_custkey % 3 <> 0) o
+FULL JOIN (SELECT c_custkey AS k, c_name AS name, 'fetched' AS notes FROM customer WHERE c_custkey % 3 <> 1) n ON o.k = n.k""",
+    "events_by_hour": _HOURS,
+    "events_by_hour_streamed": _HOURS,
+    "event_sessions": """WITH e AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM e)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n FROM s GROUP BY user_id, k""",
+    "region_rollup": "SELECT coalesce(r_name, 'ALL') AS region, coalesce(n_name, 'ALL') AS nation, count(*) AS orders, round(sum(o_totalprice), 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)",
+}
