@@ -134,9 +134,9 @@ def _project(b: Batch, s: tuple[np.ndarray, np.ndarray]) -> dict[str, np.ndarray
     v = len(idf)
     key, n = np.unique(b.doc[b.sent] * v + b.term, return_counts=True)
     d, t = key // v, key % v
-    w = np.log1p(n) * idf[t]
-    w /= np.maximum(np.sqrt(np.bincount(d, w * w, minlength=b.n_docs)), 1e-9)[d]
-    y = _sum_rows(q[t] * w[:, None], d, b.n_docs)
+    w = (np.log1p(n) * idf[t]).astype(np.float32)
+    w /= np.maximum(np.sqrt(np.bincount(d, w * w, minlength=b.n_docs)), 1e-9)[d].astype(np.float32)
+    y = _sum_rows(q[t] * w[:, None], d, b.n_docs).astype(np.float32)
     return {"y": _sum_rows(y[d] * w[:, None], t, v)}
 
 
@@ -176,7 +176,7 @@ def _evidence(b: Batch, s: tuple[np.ndarray, np.ndarray, np.ndarray | None, floa
     """By term: sum over its sentences of the subject shares of the rest of their document, and the number of those with a rest."""
     table, c, weight, least = s
     n, langs = len(c) - 1, c.shape[1]
-    label, ok = _labels(b, table, c, weight, least)
+    label, ok, *_ = _labels(b, table, c, weight, least)
     mine = np.zeros((b.n_sents, n))
     mine[np.flatnonzero(ok), label[ok]] = 1
     rest = _sum_rows(mine, b.doc, b.n_docs)[b.doc] - mine
@@ -191,27 +191,27 @@ def _evidence(b: Batch, s: tuple[np.ndarray, np.ndarray, np.ndarray | None, floa
     return {"q": _sum_rows(share[i[keep]], t[keep], len(table)), "base": base}
 
 
-def _labels(b: Batch, table: np.ndarray, c: np.ndarray, weight: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """(subject, whether it treats one) of each sentence. Without weights, those nearest to the none centroids treat none; with
-    weights, those in which no term's weight reaches `least`."""
+def _labels(b: Batch, table: np.ndarray, c: np.ndarray, weight: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(subject, whether it treats one, vector, nearest centroid, cosine) of each sentence. Without weights, those nearest to the
+    none centroids treat none; with weights, those in which no term's weight reaches `least`."""
     langs = c.shape[1]
     x = b.vectors(table)
     if weight is None:
         a, best = _nearest(x, c)
         s = a // langs
-        return np.minimum(s, len(c) - 2), (s < len(c) - 1) & (best > 0.2)
+        return np.minimum(s, len(c) - 2), (s < len(c) - 1) & (best > 0.2), x, a, best
     a, best = _nearest(x, c[:-1])
     top = np.zeros(b.n_sents)
-    np.maximum.at(top, b.sent, weight[b.term])
-    return a // langs, (top >= least) & (best > 0.15)
+    if len(b.term):
+        starts = np.flatnonzero(np.r_[True, b.sent[1:] != b.sent[:-1]])
+        top[b.sent[starts]] = np.maximum.reduceat(weight[b.term], starts)
+    return a // langs, (top >= least) & (best > 0.15), x, a, best
 
 
 def _weighed(b: Batch, s: tuple[np.ndarray, np.ndarray, np.ndarray, float]) -> dict[str, np.ndarray]:
     """Sums of the vectors of the sentences that treat a subject, by nearest centroid."""
     table, c, weight, least = s
-    _, ok = _labels(b, table, c, weight, least)
-    x = b.vectors(table)
-    a, best = _nearest(x, c[:-1])
+    _, ok, x, a, best = _labels(b, table, c, weight, least)
     use = ok & (best > 0.3)
     return {"sum": _sum_rows(np.c_[x[use], np.ones(int(use.sum()))], a[use], (len(c) - 1) * c.shape[1])}
 
@@ -271,7 +271,7 @@ def encode(documents: DataFrame, examples: DataFrame, subjects: list[str], least
     return cut(both.mapInArrow(numbers, f"doc_id {kind}, lang int, labels array<int>, lens array<int>, ids array<int>"), "numbered"), number, idf, len(langs)
 
 
-def fit(docs: DataFrame, terms: dict[str, int], idf: np.ndarray, langs: int, notes: list[str], dims: int = 64, power: int = 4, least: float = 0.5, seed: int = 1) -> Model:
+def fit(docs: DataFrame, terms: dict[str, int], idf: np.ndarray, langs: int, notes: list[str], dims: int = 64, power: int = 3, rounds: int = 2, least: float = 0.5, seed: int = 1) -> Model:
     """Term vectors by a truncated singular value decomposition of the document-term matrix (subspace iteration, a pass over all
     documents each), then seed centroids per subject and language from the labelled documents and the subjects' notes, refined
     over all sentences. Term weights measure how much a term's surroundings differ from the corpus (relative entropy of the
@@ -280,7 +280,7 @@ def fit(docs: DataFrame, terms: dict[str, int], idf: np.ndarray, langs: int, not
     dims = min(dims, v)
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((v, dims)))[0]
     for _ in range(power):
-        got = _gather(docs, _project, (idf, q))
+        got = _gather(docs, _project, (idf, q.astype(np.float32)))
         q = np.linalg.qr(got["y"])[0] if "y" in got else q
     table = (q * idf[:, None]).astype(np.float32)
     got = _gather(docs, _seeds, (table, n, langs))
@@ -294,11 +294,12 @@ def fit(docs: DataFrame, terms: dict[str, int], idf: np.ndarray, langs: int, not
         if ids:
             c[i, 0] += _unit(table[ids].sum(0))
     c = _unit(c)
+    known = docs.where(F.size("labels") > 0)
     for mode in ("labelled", "labelled", "all", "free"):
-        c = _moved(c, _gather(docs, _assigned, (table, c, mode))["sum"])
+        c = _moved(c, _gather(known if mode == "labelled" else docs, _assigned, (table, c, mode)).get("sum", np.zeros((c.shape[0] * langs, dims + 1))))
     weight = None
     flat = table
-    for _ in range(3):
+    for _ in range(rounds):
         got = _gather(docs, _evidence, (flat, c, weight, least))
         seen = got["q"][:, -1]
         base = got["base"][0, :-1] / max(got["base"][0, -1], 1)
@@ -337,7 +338,7 @@ def assign(documents: DataFrame, examples: DataFrame, subject_list: DataFrame, s
         vectors, centroids, weight = model.value
         for df in _pieces(batches):
             b = Batch(df)
-            label, ok = _labels(b, vectors, centroids, weight, least)
+            label, ok, *_ = _labels(b, vectors, centroids, weight, least)
             n = np.zeros((b.n_docs, len(names)))
             np.add.at(n, (b.doc[ok], label[ok]), 1)
             d, s = np.nonzero((n > 0) & (n >= share * n.sum(1, keepdims=True) - 1e-9))
