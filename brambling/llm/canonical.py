@@ -72,11 +72,13 @@ class Trie:
 
     def __init__(self) -> None:
         self.root: dict = {}
+        self.longest = 0
         self.exact: dict[str, set[int]] = defaultdict(set)
 
     def add(self, path: str, entry: int) -> None:
         if entry not in self.exact[path]:
             self.exact[path].add(entry)
+            self.longest = max(self.longest, len(path))
             node = self.root
             for c in path:
                 node = node.setdefault(c, {})
@@ -88,6 +90,8 @@ class Trie:
         is within `most`."""
         found: dict[int, int] = {}
         n = len(text)
+        if n > self.longest + most:
+            return found
         start = list(range(n + 1))
         stack = [(self.root, "", start, start)]
         while stack:

@@ -50,17 +50,17 @@ def digest(value: object, unordered: frozenset[str], path: str = "") -> tuple[by
     return h.digest(), canon
 
 
-def with_root(df: DataFrame, fields: list[str], unordered: tuple[str, ...] = ()) -> DataFrame:
-    """Add `root` (digest) and `canon` (canonical structure as text) of the record made of `fields`; null where it has no content."""
+def with_root(df: DataFrame, id_col: str, fields: list[str], unordered: tuple[str, ...] = ()) -> DataFrame:
+    """(id, root, canon): digest and canonical structure, as text, of each row's record made of `fields`; null where it has no content."""
     free = frozenset(unordered)
 
     def roots(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in batches:
-            found = [digest(json.loads(x), free) if x is not None else None for x in s]
+            found = [digest(json.loads(x), free) for x in s]
             yield pd.DataFrame({"root": [d and d[0] for d in found], "canon": [d and json.dumps(d[1], ensure_ascii=False, sort_keys=True) for d in found]})
 
     udf = F.pandas_udf(roots, "root binary, canon string")
-    return df.withColumn("_m", udf(F.to_json(F.struct(*[F.col(f) for f in fields])))).select("*", "_m.root", "_m.canon").drop("_m")
+    return df.select(F.col(id_col).alias("id"), udf(F.to_json(F.struct(*[F.col(f) for f in fields]))).alias("m")).select("id", "m.root", "m.canon")
 
 
 def formatting_copies(df: DataFrame, id_col: str, fields: list[str], unordered: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
@@ -72,8 +72,7 @@ def formatting_copies(df: DataFrame, id_col: str, fields: list[str], unordered:
     punctuation) and rows with a null id are in neither. Repeated rows count as copies but make no pair. Columns other
     than `id_col` and `fields` are ignored, whatever their names.
     """
-    rows = df.select(F.col(id_col).alias("id"), *[F.col(f) for f in fields]).where(F.col("id").isNotNull())
-    rows = cut(with_root(rows, fields, unordered).select("id", "root", "canon").where("root IS NOT NULL"), "merkle")
+    rows = cut(with_root(df.where(F.col(id_col).isNotNull()), id_col, fields, unordered).where("root IS NOT NULL"), "merkle")
     grouped = rows.groupBy("root", "canon").agg(F.min("id").alias("first_id"), F.count("*").alias("n_copies"))
     several = grouped.where("n_copies > 1")
     members = attach(rows, several, ["root", "canon"], "n_copies", rows.count()).where("id <> first_id").select("first_id", F.col("id").alias("copy_id")).distinct()

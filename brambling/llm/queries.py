@@ -46,21 +46,16 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return canonical.map_values(one, "value", table(spark, sf, "network_institution_nodes")).select("rec_id", "author_no", "affiliation_no", "node_id")
 
 
-def _works(spark: SparkSession, sf: str) -> DataFrame:
-    a = table(spark, sf, "articles").select("rec_id", "query_id", "doi", "identifiers", "abstract", "mesh_terms", "fetched_at")
-    doi = F.coalesce(truth.clean_doi(F.col("doi")), truth.clean_doi(F.col("identifiers.doi")))
-    mesh = truth.mesh_set(F.col("mesh_terms"))
-    flat = a.select("rec_id", "query_id", "fetched_at", doi.alias("c_doi"), blank_to_null(F.col("identifiers.pmid")).alias("pmid"), truth.abstract_size(F.col("abstract")).alias("n_abstract"), F.md5("abstract").alias("h_abstract"), F.size(mesh).alias("n_mesh"), F.md5(F.concat_ws("|", mesh)).alias("h_mesh"))
-    return truth.link_groups(flat, "rec_id", {"doi": F.col("c_doi"), "pmid": F.col("pmid")})
-
-
 def _best(spark: SparkSession, sf: str, complete: bool) -> DataFrame:
-    f = [
-        truth.Field("doi", F.col("c_doi")),
-        truth.Field("abstract", F.when(F.col("n_abstract") > 0, F.col("h_abstract")), F.col("n_abstract") if complete else None, not complete),
-        truth.Field("mesh", F.when(F.col("n_mesh") > 0, F.col("h_mesh")), F.col("n_mesh") if complete else None, not complete),
+    a = table(spark, sf, "articles")
+    doi = F.coalesce(truth.clean_doi(F.col("doi")), truth.clean_doi(F.col("identifiers.doi")))
+    n_abstract, mesh = truth.abstract_size(F.col("abstract")), truth.mesh_set(F.col("mesh_terms"))
+    fields = [
+        truth.Field("doi", doi),
+        truth.Field("abstract", F.when(n_abstract > 0, F.md5("abstract")), n_abstract if complete else None, not complete),
+        truth.Field("mesh", F.when(F.size(mesh) > 0, F.md5(F.concat_ws("|", mesh))), F.size(mesh) if complete else None, not complete),
     ]
-    return truth.best_rows(cut(_works(spark, sf), "works"), "rec_id", F.col("query_id"), F.col("fetched_at"), f)
+    return truth.representatives(a, "rec_id", {"doi": doi, "pmid": blank_to_null(F.col("identifiers.pmid"))}, F.col("query_id"), F.col("fetched_at"), fields)
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:

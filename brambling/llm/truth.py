@@ -22,16 +22,15 @@ class Field:
     by_votes: bool = True
 
 
-def link_groups(df: DataFrame, id_col: str, keys: dict[str, Column]) -> DataFrame:
-    """`df` with `group`: rows that share a value of any key belong together, also through other rows. Rows whose keys are all
-    null are left out. Graph nodes are key values, so that copies of one record add nothing to the graph; the rows find their
-    group by a join that spreads hot keys."""
-    nodes = [F.when(c.isNotNull(), F.concat(F.lit(f"{k}:"), c)) for k, c in keys.items()]
-    rows = cut(df.withColumns({f"_k{i}": n for i, n in enumerate(nodes)}).withColumn("_node", F.coalesce(*[F.col(f"_k{i}") for i in range(len(nodes))])).where("_node IS NOT NULL"), "keyed")
-    edges = rows.select(F.explode(F.array(*[F.struct(F.col("_node").alias("u"), F.col(f"_k{i}").alias("v")) for i in range(len(nodes))])).alias("e")).select("e.*")
-    sizes = rows.groupBy("_node").agg(F.count("*").alias("_n"))
-    small = sizes.join(components(edges).select(F.col("node").alias("_node"), F.col("component").alias("group")), "_node")
-    return attach(rows, small, ["_node"], "_n", rows.count()).drop("_node", "_n", *[f"_k{i}" for i in range(len(nodes))])
+def _linked(rows: DataFrame, keys: int) -> DataFrame:
+    """`rows` with `group`, from the key columns k0, k1, ...: rows that share a key belong together, also through other rows. Graph nodes
+    are key values, so that copies of one record add nothing to the graph; rows find their group by a join that spreads hot keys."""
+    ks = [F.col(f"k{i}") for i in range(keys)]
+    rows = cut(rows.withColumn("node", F.coalesce(*ks)).where("node IS NOT NULL"), "keyed")
+    edges = rows.select(F.explode(F.array(*[F.struct(F.col("node").alias("u"), k.alias("v")) for k in ks])).alias("e")).select("e.*")
+    sizes = rows.groupBy("node").agg(F.count("*").alias("n"))
+    small = sizes.join(components(edges).withColumnRenamed("component", "group"), "node")
+    return cut(attach(rows, small, ["node"], "n", rows.count()).drop("node", "n", *[f"k{i}" for i in range(keys)]), "linked")
 
 
 def discover(claims: DataFrame, max_rounds: int = 8, tolerance: float = 0.01) -> tuple[DataFrame, DataFrame]:
@@ -55,38 +54,35 @@ def discover(claims: DataFrame, max_rounds: int = 8, tolerance: float = 0.01) ->
     return c.join(trust, "source").groupBy("group", "field", "value").agg(F.sum(F.col("n") * F.col("w")).alias("vote")), trust
 
 
-def best_rows(rows: DataFrame, id_col: str, source: Column, latest: Column, fields: list[Field], least: int = 2) -> DataFrame:
-    """One row per group of `least` rows or more: group, first_id, n_rows, and per field <name> (the value chosen) and <name>_id (its row).
+def representatives(df: DataFrame, id_col: str, keys: dict[str, Column], source: Column, latest: Column, fields: list[Field], least: int = 2) -> DataFrame:
+    """One row per group of `least` rows or more: group, first_id, n_rows, and per field <name> (the value chosen, as text) and
+    <name>_id (its row).
 
-    `rows` has `group`. The order is: prefer, votes (where the field goes by votes), latest, id. Where no row makes a claim
-    the value is null and the row is the latest. Null `prefer` counts as 0, null `latest` as oldest. Rows are aggregated
-    per (group, field, value) before any shuffle, so that a group of any size costs a few rows.
+    Rows that share the value of any of `keys` belong together, also through other rows; rows whose keys are all null or whose
+    id is null are left out, and repeated rows count as rows. Within a group the order is: prefer, a claim before none (for
+    fields that go by votes), votes, latest, id. Where no row makes a claim the value is null and the row is the last by the rest
+    of the order. Null `prefer` counts as 0, null `latest` as oldest. Votes are weighted by the reliability found for each
+    `source`. Rows are aggregated per (group, field, value) before they are shuffled, so that a group of any size costs a
+    few rows. Only the given columns are read; others may have any name.
     """
-    parts = [
-        F.struct(F.lit(f.name).alias("field"), f.value.cast("string").alias("value"), F.coalesce((f.prefer if f.prefer is not None else F.lit(0)).cast("double"), F.lit(0.0)).alias("prefer"))
-        for f in fields
-    ]
-    long = rows.select("group", F.col(id_col).alias("id"), source.alias("source"), latest.alias("latest"), F.explode(F.array(*parts)).alias("p")).select("group", "id", "source", "latest", "p.*")
-    cand = long.groupBy("group", "field", "value").agg(F.max(F.struct("prefer", "latest", "id")).alias("top"))
-    several = rows.groupBy("group").agg(F.min(id_col).alias("first_id"), F.count("*").alias("n_rows")).where(F.col("n_rows") >= least)
-    voted = [f.name for f in fields if f.by_votes]
-    if voted:
-        claims = cut(long.where(F.col("value").isNotNull()).groupBy("group", "field", "value", "source").agg(F.count("*").alias("n")).join(several.select("group"), "group"), "claims")
-        votes = discover(claims)[0].where(F.col("field").isin(voted))
-        cand = cand.join(votes, ["group", "field", "value"], "left")
-    else:
-        cand = cand.withColumn("vote", F.lit(0.0))
-    has = F.when(F.col("field").isin(voted or [""]), F.col("value").isNotNull().cast("int")).otherwise(F.lit(0))
-    order = F.struct(F.col("top.prefer"), has, F.round(F.coalesce("vote", F.lit(0.0)), 6), F.col("top.latest"), F.col("top.id"))
-    picked = cand.groupBy("group").agg(*[
-        x
-        for f in fields
-        for x in (
-            F.max_by("value", F.when(F.col("field") == f.name, order)).alias(f.name),
-            F.max_by("top.id", F.when(F.col("field") == f.name, order)).alias(f"{f.name}_id"),
-        )
-    ])
-    return several.join(picked, "group")
+    k = [F.when(c.isNotNull(), F.concat(F.lit(f"{name}:"), c)).alias(f"k{i}") for i, (name, c) in enumerate(keys.items())]
+    claims = [F.struct(f.value.cast("string").alias("value"), F.coalesce((f.prefer if f.prefer is not None else F.lit(0)).cast("double"), F.lit(0.0)).alias("prefer")).alias(f"f{i}") for i, f in enumerate(fields)]
+    flat = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), source.cast("string").alias("source"), latest.alias("latest"), *k, *claims)
+    rows = _linked(flat, len(keys))
+    several = cut(rows.groupBy("group").agg(F.min("id").alias("first_id"), F.count("*").alias("n_rows")).where(F.col("n_rows") >= least), "groups")
+    long = rows.select("group", "id", "source", "latest", F.explode(F.array(*[F.struct(F.lit(i).alias("field"), F.col(f"f{i}").alias("c")) for i in range(len(fields))])).alias("p"))
+    long = long.select("group", "id", "source", "latest", "p.field", "p.c.value", "p.c.prefer")
+    cand = long.groupBy("group", "field", "value").agg(F.max(F.struct("prefer", "latest", "id")).alias("top")).join(several.select("group"), "group", "left_semi")
+    said = long.where("value IS NOT NULL").groupBy("group", "field", "value", "source").agg(F.count("*").alias("n")).join(several.select("group"), "group", "left_semi")
+    votes = discover(cut(said, "claims"))[0]
+    cand = cand.join(votes, ["group", "field", "value"], "left")
+    by_votes = F.col("field").isin([i for i, f in enumerate(fields) if f.by_votes])
+    has = (by_votes & F.col("value").isNotNull()).cast("int")
+    vote = F.when(by_votes, F.round(F.coalesce("vote", F.lit(0.0)), 6)).otherwise(F.lit(0.0))
+    order = F.struct(F.col("top.prefer"), has, vote, F.col("top.latest"), F.col("top.id"))
+    picked = cand.groupBy("group").agg(*[F.max(F.when(F.col("field") == i, F.struct(order.alias("o"), "value"))).alias(f"b{i}") for i in range(len(fields))])
+    out = several.join(picked, "group")
+    return out.select("group", "first_id", "n_rows", *[x for i, f in enumerate(fields) for x in (F.col(f"b{i}.value").alias(f.name), F.col(f"b{i}.o.id").alias(f"{f.name}_id"))])
 
 
 def clean_doi(c: Column) -> Column:
