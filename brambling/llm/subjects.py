@@ -33,7 +33,7 @@ class Model:
     terms: dict[str, int]
     idf: np.ndarray
     vectors: np.ndarray
-    weight: np.ndarray
+    weight: np.ndarray | None
     centroids: np.ndarray
 
 
@@ -205,7 +205,7 @@ def _labels(b: Batch, table: np.ndarray, c: np.ndarray, weight: np.ndarray | Non
     if len(b.term):
         starts = np.flatnonzero(np.r_[True, b.sent[1:] != b.sent[:-1]])
         top[b.sent[starts]] = np.maximum.reduceat(weight[b.term], starts)
-    return a // langs, (top >= least) & (best > 0.15), x, a, best
+    return a // langs, (top >= least * np.log(len(c) - 1)) & (best > 0.15), x, a, best
 
 
 def _weighed(b: Batch, s: tuple[np.ndarray, np.ndarray, np.ndarray, float]) -> dict[str, np.ndarray]:
@@ -271,11 +271,12 @@ def encode(documents: DataFrame, examples: DataFrame, subjects: list[str], least
     return cut(both.mapInArrow(numbers, f"doc_id {kind}, lang int, labels array<int>, lens array<int>, ids array<int>"), "numbered"), number, idf, len(langs)
 
 
-def fit(docs: DataFrame, terms: dict[str, int], idf: np.ndarray, langs: int, notes: list[str], dims: int = 64, power: int = 3, rounds: int = 2, least: float = 0.5, seed: int = 1) -> Model:
+def fit(docs: DataFrame, terms: dict[str, int], idf: np.ndarray, langs: int, notes: list[str], dims: int = 64, power: int = 3, rounds: int = 2, least: float = 0.2, seed: int = 1) -> Model:
     """Term vectors by a truncated singular value decomposition of the document-term matrix (subspace iteration, a pass over all
     documents each), then seed centroids per subject and language from the labelled documents and the subjects' notes, refined
     over all sentences. Term weights measure how much a term's surroundings differ from the corpus (relative entropy of the
-    subjects in the rest of its documents, less what chance gives); the centroids are refined once more with them."""
+    subjects in the rest of its documents, less what chance gives); the centroids are refined once more with them. A
+    single subject has no contrast to weigh terms by; then the none centroids alone divide."""
     v, n = len(idf), len(notes)
     dims = min(dims, v)
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((v, dims)))[0]
@@ -299,7 +300,7 @@ def fit(docs: DataFrame, terms: dict[str, int], idf: np.ndarray, langs: int, not
         c = _moved(c, _gather(known if mode == "labelled" else docs, _assigned, (table, c, mode)).get("sum", np.zeros((c.shape[0] * langs, dims + 1))))
     weight = None
     flat = table
-    for _ in range(rounds):
+    for _ in range(rounds if n > 1 else 0):
         got = _gather(docs, _evidence, (flat, c, weight, least))
         seen = got["q"][:, -1]
         base = got["base"][0, :-1] / max(got["base"][0, -1], 1)
@@ -313,7 +314,7 @@ def fit(docs: DataFrame, terms: dict[str, int], idf: np.ndarray, langs: int, not
     return Model(terms, idf, flat, weight, c)
 
 
-def assign(documents: DataFrame, examples: DataFrame, subject_list: DataFrame, share: float = 0.25, least: float = 0.5, max_subjects: int = 5_000) -> DataFrame:
+def assign(documents: DataFrame, examples: DataFrame, subject_list: DataFrame, share: float = 0.25, least: float = 0.2, max_subjects: int = 5_000) -> DataFrame:
     """(doc_id, subject_id): a document has a subject if at least `share` of its sentences that treat any subject treat this one.
 
     documents: doc_id, text, lang. examples: doc_id, subject_id of labelled documents; labels of unknown documents or subjects
