@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brambling.runtime import cut
+
 # Delimiters by name. A full stop delimits before a blank only, a stroke between blanks only; list marks delimit before themselves.
 DELIMITERS = {
     "semicolon": r"\s*;\s*",
@@ -120,7 +122,8 @@ class Parser:
 
 def code_lengths(df: DataFrame, col: str, share: float = 1e-4) -> tuple[dict[str, float], dict[str, float]]:
     """Bits of the last and of the other components of all fields, by their shares of all occurrences. Only values of at
-    least `share` of them get a code of their own, so each table holds 1 / share entries at most."""
+    least `share` of them get a code of their own, so each table holds 1 / share entries at most. A component in which a delimiter
+    occurs gets none: whether it is one value is what the codes are to decide."""
 
     def components(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in batches:
@@ -128,14 +131,12 @@ def code_lengths(df: DataFrame, col: str, share: float = 1e-4) -> tuple[dict[str
             for t in s:
                 *first, last = without_address(t).strip(_ENDS + ".;,").split(",") if t else [""]
                 ends.append(value_of(last) if first else None)
-                inner.append([value_of(x) for x in first])
+                inner.append([value_of(x) for x in first if not _CUT.search(x.strip(_ENDS))])
             yield pd.DataFrame({"last": ends, "inner": inner})
 
     parts = df.select(F.pandas_udf(components, "last string, inner array<string>")(F.col(col)).alias("c"))
     long = parts.select(F.explode(F.concat(F.array(F.struct(F.lit(True).alias("is_end"), F.col("c.last").alias("v"))), F.transform("c.inner", lambda x: F.struct(F.lit(False).alias("is_end"), x.alias("v"))))).alias("x")).select("x.*")
     counts = long.where("v IS NOT NULL AND v <> ''").groupBy("is_end", "v").agg(F.count("*").alias("n"))
-    from brambling.runtime import cut
-
     counts = cut(counts, "values")
     total = {r[0]: r[1] for r in counts.groupBy("is_end").agg(F.sum("n")).collect()}
     out: tuple[dict[str, float], dict[str, float]] = ({}, {})

@@ -35,13 +35,13 @@ def cluster(texts: DataFrame, key: str, text: str, domain: str, min_docs: int =
     """(key, domain, topic_id, features): k-means on TF-IDF within each domain, k by its size; topics are numbered by size, largest
     first. A domain of fewer than `min_docs` texts gets one topic. There are few domains; each is a distributed fit.
 
-    Fits are seeded and read rows sorted by key, so that a rerun gives the same clusters.
+    Null texts count as empty. Where no text has a word there is no row. Fits are seeded and read rows sorted by key, so that a rerun gives the same clusters.
     """
-    t = texts.select(key, F.col(domain).alias("domain"), tokens(F.col(text)).alias("tokens")).where(F.col("domain").isNotNull())
+    t = texts.select(key, F.col(domain).alias("domain"), F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")).alias("tokens")).where(F.col("domain").isNotNull())
     t = cut(t.orderBy(key), "tokens")
-    if t.isEmpty():
+    if t.where("size(tokens) > 0").isEmpty():
         return t.select(key, "domain", F.lit("").alias("topic_id"), F.array().cast("array<double>").alias("features"))
-    vec = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=features, minDF=2).fit(t).transform(t)
+    vec = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=features, minDF=1).fit(t).transform(t)
     vec = IDF(inputCol="tf", outputCol="tfidf").fit(vec).transform(vec)
     vec = cut(Normalizer(inputCol="tfidf", outputCol="v").transform(vec).select(key, "domain", "v"), "vectors")
     parts = []

@@ -54,9 +54,9 @@ def search_pages(spark: SparkSession, run_dir: str) -> DataFrame:
 
 def leads(spark: SparkSession, run_dir: str, first_id: int = 10**12) -> DataFrame:
     """Leads of raw/scholar_<query>.jsonl, one a line; lines that can't be read are left out."""
-    df = spark.read.schema(LEAD + ", _corrupt_record string").json(f"{run_dir}/raw/scholar_*.jsonl")
-    df = df.select(F.regexp_extract(_file(), r"^scholar_(.+)\.jsonl$", 1).alias("query_id"), *[c for c in df.columns if c != "_corrupt_record"], F.col("_corrupt_record").alias("bad"))
-    df = df.where("bad IS NULL").drop("bad").orderBy("query_id", "url", "title")
+    parsed = F.from_json("value", LEAD + ", bad string", {"columnNameOfCorruptRecord": "bad"})
+    df = spark.read.text(f"{run_dir}/raw/scholar_*.jsonl").select(F.regexp_extract(_file(), r"^scholar_(.+)\.jsonl$", 1).alias("query_id"), parsed.alias("r"))
+    df = df.where("r.bad IS NULL AND r IS NOT NULL").select("query_id", "r.*").drop("bad").orderBy("query_id", "url", "title")
     return df.withColumn("lead_id", F.monotonically_increasing_id() + F.lit(first_id))
 
 
