@@ -30,7 +30,7 @@ _MARK = re.compile(r"^(?:\[\d{1,3}\]|\(?\d{1,3}\)|\d{1,3}\.(?=\s))\s*")
 _LETTER = re.compile(r"^\(?([a-z])[).]?\s+")
 _ENDS = " \t\r\n\f\v   ​﻿"
 
-NOVEL, PER_CHAR, PER_CUT, OPEN_END, PER_DIALECT = 12.0, 5.0, 3.0, 45.0, 2.0
+NOVEL, PER_CHAR, PER_CUT, OPEN_END, PER_DIALECT = 12.0, 5.0, 3.0, 120.0, 2.0
 
 
 def value_of(text: str) -> str:
