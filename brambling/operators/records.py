@@ -69,13 +69,14 @@ def duplicate_groups(r: DataFrame) -> DataFrame:
 
 def merge(grouped: DataFrame) -> DataFrame:
     """One record per group: the row of the better origin (articles before leads), then the smallest rid, with all query ids and
-    origins of the group; DOI and PMID are taken from any row where the survivor lacks them. Only per-group minima and sets of
-    query ids are shuffled."""
+    origins of the group; DOI and PMID are taken from any row where the survivor lacks them. Rows are reduced to the best of each group and sets of query
+    ids before they are shuffled; repeated rows count in n_copies."""
     rank = F.struct((F.col("origin") != "pubmed").alias("lead"), F.col("rid"))
+    cols = [c for c in grouped.columns if c != "group"]
     g = grouped.groupBy("group").agg(
-        F.min(rank).alias("best"), F.min("rid").alias("first_rid"), F.array_sort(F.collect_set("query_id")).alias("provenance"), F.array_sort(F.collect_set("origin")).alias("origins"),
+        F.min_by(F.struct(*cols), rank).alias("best"), F.min("rid").alias("first_rid"), F.array_sort(F.collect_set("query_id")).alias("provenance"), F.array_sort(F.collect_set("origin")).alias("origins"),
         F.count("*").cast("bigint").alias("n_copies"), F.min("doi").alias("any_doi"), F.min("pmid").alias("any_pmid"),
     )
-    top = grouped.drop("group").join(g, F.col("rid") == F.col("best.rid")).drop("best")
+    top = g.select("best.*", *[c for c in g.columns if c not in ("best", "group")])
     out = top.withColumns({"doi": F.coalesce("doi", "any_doi"), "pmid": F.coalesce("pmid", "any_pmid")}).drop("any_doi", "any_pmid")
     return out.withColumns({"uid": F.coalesce(uid(F.col("doi"), F.col("pmid"), F.col("title")), F.concat(F.lit("row:"), F.col("rid").cast("string"))), "needs_manual_metadata": ~F.array_contains("origins", "pubmed"), "seq": F.col("first_rid")})

@@ -167,12 +167,13 @@ def rec(rid, origin="pubmed", q="q", doi=None, pmid=None, title=None, abstract="
 
 
 def test_duplicates_and_merge(spark):
-    data = [rec(2, "scholar", "s", title="Same Title!"), rec(3, q="b", doi="10.1/a", title="same title"), rec(4, q="a", doi="10.1/a", pmid="1", title="other"), rec(5, pmid="1"), rec(6), rec(7), rec(8, "scholar", title="alone")]
+    data = [rec(2, "scholar", "s", title="Same Title!"), rec(3, q="b", doi="10.1/a", title="same title"), rec(4, q="a", doi="10.1/a", pmid="1", title="other"), rec(5, pmid="1"), rec(6), rec(6), rec(7), rec(8, "scholar", title="alone")]
+    assert records.merge(records.duplicate_groups(spark.createDataFrame(data, REC))).count() == 4
     got = {r["first_rid"]: r for r in records.merge(records.duplicate_groups(spark.createDataFrame(data, REC))).collect()}
     assert sorted(got) == [2, 6, 7, 8]
     r = got[2]
     assert r["rid"] == 3 and r["pmid"] == "1" and r["provenance"] == ["a", "b", "q", "s"] and r["n_copies"] == 4 and r["uid"] == "doi:10.1/a"
-    assert got[8]["needs_manual_metadata"] and got[6]["uid"] == "row:6"
+    assert got[8]["needs_manual_metadata"] and got[6]["uid"] == "row:6" and got[6]["n_copies"] == 2
     assert records.merge(records.duplicate_groups(spark.createDataFrame([], REC))).count() == 0
 
 
