@@ -34,4 +34,16 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {"p7_found": p7_found, "p5_found": p5_found, **{f"p5_{n}": _page_table(n) for n in ("articles", "authors", "affiliations", "mesh_terms", "keywords", "article_types")}}
-ORACLES: dict[str, str] = {}
+_LIST = "CASE json_type({0}) WHEN 'ARRAY' THEN from_json({0}, '[\"JSON\"]') WHEN 'OBJECT' THEN [{0}] WHEN 'VARCHAR' THEN [{0}] ELSE [] END"
+
+ORACLES: dict[str, str] = {
+    "p5_found": f"""
+WITH p AS (SELECT page_id, body::JSON AS j FROM raw_pages WHERE body IS NOT NULL AND json_valid(body)),
+a AS (SELECT page_id, CASE WHEN json_type(j) = 'ARRAY' THEN j WHEN json_type(j, '$.articles') IN ('ARRAY', 'OBJECT') THEN j->'$.articles' ELSE j->'$.result.articles' END AS l FROM p),
+b AS (SELECT page_id, {_LIST.format('l')} AS l FROM a),
+x AS (SELECT page_id, i AS article_no, l[i] AS t FROM b, unnest(range(1, len(l) + 1)) r(i)),
+y AS (SELECT page_id, article_no, {_LIST.format("(t->'$.authors')")} AS l,
+  CASE json_type(t, '$.identifiers') WHEN 'OBJECT' THEN t->>'$.identifiers.pmid' WHEN 'ARRAY' THEN list_filter(from_json(t->'$.identifiers', '["JSON"]'), lambda e: e->>'$.type' = 'pmid')[1]->>'$.value' END AS pmid FROM x),
+z AS (SELECT page_id, article_no, k AS author_no, len({_LIST.format("(l[k]->'$.affiliations')")}) AS n, coalesce(pmid, '') AS pmid FROM y, unnest(range(1, len(l) + 1)) r(k))
+SELECT page_id, article_no::INT AS article_no, author_no::INT AS author_no, m::INT AS affiliation_no, pmid FROM z, unnest(CASE WHEN n = 0 THEN [0] ELSE range(1, n + 1) END) r(m)""",
+}
