@@ -5,35 +5,46 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brambling.runtime import shared_dir
 
 
+def _timed(events: DataFrame, late: str) -> DataFrame:
+    """Events with a time. A stream gets a watermark, which needs an instant: times without zone are taken as UTC there."""
+    e = events.where("ts IS NOT NULL")
+    if not e.isStreaming:
+        return e
+    if dict(e.dtypes)["ts"] == "timestamp_ntz":
+        e = e.withColumn("ts", F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp"))
+    return e.withWatermark("ts", late)
+
+
+def _plain(df: DataFrame, c: str) -> Column:
+    """A time as timestamp without zone; instants in UTC."""
+    if dict(df.select(c).dtypes)[c.rpartition(".")[2]] == "timestamp_ntz":
+        return F.col(c)
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
+
+
 def tumbling(events: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """(window_start, event_type, n, total): events per window and type. Null times are left out. On a stream, windows close `late` after
     the greatest time seen."""
-    e = events.withColumn("ts", F.col("ts").cast("timestamp")).where("ts IS NOT NULL")
-    if e.isStreaming:
-        e = e.withWatermark("ts", late)
-    g = e.groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
-    return g.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", "total")
+    g = _timed(events, late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return g.select(_plain(g, "window.start").alias("window_start"), "event_type", "n", "total")
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "2 hours") -> DataFrame:
     """(user_id, session_start, session_end, n): runs of a user's events with less than `gap` between neighbours."""
-    e = events.withColumn("ts", F.col("ts").cast("timestamp")).where("ts IS NOT NULL AND user_id IS NOT NULL")
-    if e.isStreaming:
-        e = e.withWatermark("ts", late)
-    g = e.groupBy("user_id", F.session_window("ts", gap)).agg(F.count("*").alias("n"))
-    return g.select("user_id", F.col("session_window.start").cast("timestamp_ntz").alias("session_start"), F.col("session_window.end").cast("timestamp_ntz").alias("session_end"), "n")
+    g = _timed(events, late).where("user_id IS NOT NULL").groupBy("user_id", F.session_window("ts", gap)).agg(F.count("*").alias("n"))
+    return g.select("user_id", _plain(g, "session_window.start").alias("session_start"), _plain(g, "session_window.end").alias("session_end"), "n")
 
 
 def first_seen(events: DataFrame, key: str = "event_id", late: str = "2 hours") -> DataFrame:
     """Events without repeats of `key`; a stream forgets keys `late` after their time."""
-    e = events.withColumn("ts", F.col("ts").cast("timestamp"))
-    return e.withWatermark("ts", late).dropDuplicatesWithinWatermark([key]) if e.isStreaming else e.dropDuplicates([key])
+    e = _timed(events, late)
+    return e.dropDuplicatesWithinWatermark([key]) if e.isStreaming else e.dropDuplicates([key])
 
 
 def streamed(spark: SparkSession, path: str, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -42,8 +53,8 @@ def streamed(spark: SparkSession, path: str, step: Callable[[DataFrame], DataFra
     base = f"{shared_dir(spark)}/brambling/stream-{uuid.uuid4().hex}"
     schema = spark.read.parquet(path).schema
     folder, _, name = path.rstrip("/").rpartition("/")
-    src = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path) if not name.endswith(".parquet") or _is_dir(spark, path) else spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
-    out = step(src)
+    where, pattern = (path, "*.parquet") if _is_dir(spark, path) else (folder, name)
+    out = step(spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(where))
 
     def save(batch: DataFrame, n: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/out")
