@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,6 +79,3 @@ def partition_check(screened: DataFrame, key: str = "uid") -> DataFrame:
     twice = per.agg(F.count_if(F.col("k") > 1).alias("overlapping"))
     return screened.agg(n("included"), n("excluded"), n("uncertain"), F.count_if(F.col("verdict").isNull()).alias("unassigned"), F.count("*").alias("total")).crossJoin(twice)
 
-
-def any_of(tests: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, tests)
