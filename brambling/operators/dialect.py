@@ -14,8 +14,8 @@ from brambling.runtime import cut
 
 # Delimiters by name. A full stop delimits before a blank only, a stroke between blanks only; list marks delimit before themselves.
 DELIMITERS = {
-    "semicolon": r"\s*;\s*",
-    "bar": r"\s*\|\s*",
+    "semicolon": r"\s*;[\s;]*",
+    "bar": r"\s*\|[\s|]*",
     "stroke": r"\s+/\s+",
     "line": r"\s*[\r\n\x85  ]\s*",
     "stop": r"(?<=\.)\s+",
@@ -48,7 +48,7 @@ def tidy(part: str) -> str:
     old = None
     while part != old:
         old = part
-        part = part.strip(_ENDS).rstrip(";,|").rstrip(_ENDS)
+        part = part.strip(_ENDS + ";,|")
         if len(part) > 1 and part[0] == part[-1] == '"':
             part = part[1:-1]
         elif len(part) > 2 and part[0] == '"' and part[-2:] in ('".', '",', '";'):

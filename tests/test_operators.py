@@ -114,7 +114,7 @@ def parser():
 @pytest.mark.parametrize(
     "pack",
     [
-        lambda p: "; ".join(p), lambda p: ";".join(p) + ";", lambda p: " | ".join(p), lambda p: " / ".join(p), lambda p: "\r\n".join(p), lambda p: ". ".join(p) + ".", lambda p: ".; ".join(p) + ". Electronic address: a.b@c.example.",
+        lambda p: "; ".join(p), lambda p: ";".join(p) + ";", lambda p: ";; ".join(p) + ";;", lambda p: " | ".join(p), lambda p: " / ".join(p), lambda p: "\r\n".join(p), lambda p: ". ".join(p) + ".", lambda p: ".; ".join(p) + ". Electronic address: a.b@c.example.",
         lambda p: ", ".join(f'"{x}"' for x in p), lambda p: " ".join(f"[{i}] {x}" for i, x in enumerate(p, 1)), lambda p: " ".join(f"{i}) {x}" for i, x in enumerate(p, 1)), lambda p: " ".join(f"{i}. {x}" for i, x in enumerate(p, 1)),
         lambda p: "; ".join(f"{chr(97 + i)} {x}" for i, x in enumerate(p)), lambda p: p[0] + "; " + " | ".join(p[1:]),
     ],
