@@ -49,7 +49,7 @@ def cluster(texts: DataFrame, key: str, text: str, domain: str, min_docs: int =
         one = vec.where(F.col("domain") == d)
         k = 1 if n < max(min_docs, 2) else int(max(1, min(max_k, n // docs_per_topic)))
         if k > 1:
-            one = KMeans(featuresCol="v", predictionCol="c", k=k, seed=seed, maxIter=30).fit(one).transform(one)
+            one = KMeans(featuresCol="v", predictionCol="c", k=k, seed=seed, maxIter=15, initSteps=1).fit(one).transform(one)
         else:
             one = one.withColumn("c", F.lit(0))
         parts.append(one)

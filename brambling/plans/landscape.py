@@ -116,7 +116,8 @@ def term_scoring(spark: SparkSession, sf: str) -> DataFrame:
 def _domains(spark: SparkSession, sf: str) -> DataFrame:
     d = vocab.domains(spark)
     p = classify.with_primary(_scored(spark, sf, d, 4), d.select("label_id", "pos").distinct(), "rid")
-    return classify.with_fallback(_articles(spark, sf), p.select("rid", "label_id", "score", "is_primary"), "rid")
+    p = cut(p.select("rid", "label_id", "score", "is_primary"), "domains")
+    return classify.with_fallback(_articles(spark, sf), p, "rid")
 
 
 def publication_domains(spark: SparkSession, sf: str) -> DataFrame:
