@@ -89,39 +89,44 @@ class Trie:
         node is the row of distances from the node's path to every prefix of `text`; a branch ends where no entry of its row
         is within `most`."""
         found: dict[int, int] = {}
-        n = len(text)
+        n, over, width = len(text), most + 1, 2 * most + 1
         if n > self.longest + most:
             return found
-        start = list(range(n + 1))
-        stack = [(self.root, "", start, start)]
+        # a state holds only the distances to prefixes whose length is within `most` of the depth
+        start = [k - most if 0 <= k - most <= n else over for k in range(width)]
+        stack = [(self.root, "", 0, start, start)]
         while stack:
-            node, letter, row, before = stack.pop()
-            if "" in node and row[n] <= most:
+            node, letter, depth, row, before = stack.pop()
+            end = n - depth + most
+            if "" in node and 0 <= end < width and row[end] <= most:
                 for path in node[""]:
                     for e in self.exact[path]:
-                        found[e] = min(found.get(e, most + 1), row[n])
-            depth = row[0]
-            lo, hi = max(1, depth + 1 - most), min(n, depth + 1 + most)
+                        found[e] = min(found.get(e, over), row[end])
+            base = depth + 1 - most
             for c, child in node.items():
                 if c == "":
                     continue
-                new = [most + 1] * (n + 1)
-                new[0] = depth + 1
-                best = new[0]
-                for j in range(lo, hi + 1):
-                    x = text[j - 1]
-                    d = row[j - 1] + (x != c)
-                    if row[j] + 1 < d:
-                        d = row[j] + 1
-                    if new[j - 1] + 1 < d:
-                        d = new[j - 1] + 1
-                    if letter and j > 1 and x == letter and text[j - 2] == c and before[j - 2] + 1 < d:
-                        d = before[j - 2] + 1
-                    new[j] = d
-                    if d < best:
-                        best = d
+                new, best, d = [], over, over
+                for k in range(width):
+                    j = base + k
+                    left = d
+                    if j < 0 or j > n:
+                        d = over
+                    else:
+                        d = left + 1 if left < over else over
+                        if j > 0:
+                            x = text[j - 1]
+                            if (y := row[k] + (x != c)) < d:
+                                d = y
+                            if j > 1 and x == letter and text[j - 2] == c and before[k] + 1 < d:
+                                d = before[k] + 1
+                        if k + 1 < width and row[k + 1] + 1 < d:
+                            d = row[k + 1] + 1
+                        if d < best:
+                            best = d
+                    new.append(d)
                 if best <= most:
-                    stack.append((child, c, new, row))
+                    stack.append((child, c, depth + 1, new, row))
         return found
 
 
@@ -149,6 +154,15 @@ class Canonical:
             if len(a) > 2:
                 self.acronyms[a].add(k)
         self.memo: dict[str, dict[int, int]] = {}
+        self.pieces: dict[str, list[str]] = {}
+
+    def words_of(self, piece: str) -> list[str]:
+        """`words` with a memo of bounded size: departments and countries come again and again."""
+        if piece not in self.pieces:
+            if len(self.pieces) > 200_000:
+                self.pieces.clear()
+            self.pieces[piece] = words(piece)
+        return self.pieces[piece]
 
     @staticmethod
     def land(text: str) -> str:
@@ -179,7 +193,7 @@ class Canonical:
         equally near the country written last decides; if it can't, none is taken."""
         pieces = [p for p in text.split(",") if p.strip()]
         country = self.land(pieces[-1]) if len(pieces) > 1 else None
-        ws = [words(p) for p in pieces]
+        ws = [self.words_of(p) for p in pieces]
         tries: list[tuple[int, int, set[int]]] = []
         for with_next in (False, True):
             for i, w in enumerate(ws):
