@@ -96,3 +96,12 @@ def map_places(clustered: DataFrame, key: str) -> DataFrame:
 def centroids(places: DataFrame) -> DataFrame:
     """(domain, topic_id, size, x, y) of the placed texts."""
     return places.where("map_x IS NOT NULL AND map_y IS NOT NULL").groupBy("domain", "topic_id").agg(F.count("*").alias("size"), F.round(F.avg("map_x"), 6).alias("x"), F.round(F.avg("map_y"), 6).alias("y"))
+
+
+def misplaced(places: DataFrame, cents: DataFrame, key: str) -> DataFrame:
+    """(domain, placed, misplaced): the placed texts of each domain, and how many of them are farther from their own topic's centroid than from another's of the domain."""
+    c = cents.select("domain", F.col("topic_id").alias("other"), F.col("x").alias("cx"), F.col("y").alias("cy"))
+    d = places.where("map_x IS NOT NULL AND map_y IS NOT NULL").join(F.broadcast(c), "domain").withColumn("d", F.hypot(F.col("map_x") - F.col("cx"), F.col("map_y") - F.col("cy")))
+    own = F.col("other") == F.col("topic_id")
+    each = d.groupBy("domain", key).agg(F.min(F.when(own, F.col("d"))).alias("own"), F.min(F.when(~own, F.col("d"))).alias("rest"))
+    return each.groupBy("domain").agg(F.count("*").alias("placed"), F.count_if(F.col("own") > F.col("rest")).alias("misplaced"))

@@ -356,6 +356,16 @@ def nearest_centroid(spark: SparkSession, sf: str) -> DataFrame:
     return d.groupBy("vec_id", "label").agg(F.min(F.struct("d", "c")).alias("m")).select("vec_id", F.col("m.c").alias("nearest"), (F.col("m.c") == F.col("label")).cast("int").alias("own"))
 
 
+def nearest_centroid_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Per vector the label of the nearest centroid over all its dimensions, ties by label, and whether it is its own."""
+    e = table(spark, sf, "embeddings").select("vec_id", "label", F.posexplode("embedding").alias("dim", "v")).withColumn("v", F.col("v").cast("double"))
+    means = e.groupBy(F.col("label").alias("c"), "dim").agg(F.avg("v").alias("m"))
+    c = means.groupBy("c").agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "m"))), lambda x: x["m"]).alias("m"))
+    square = F.aggregate(F.zip_with("embedding", "m", lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)), F.lit(0.0), lambda a, x: a + x)
+    d = table(spark, sf, "embeddings").crossJoin(F.broadcast(c)).withColumn("d", F.round(F.sqrt(square), 9))
+    return d.groupBy("vec_id", "label").agg(F.min(F.struct("d", "c")).alias("m")).select("vec_id", F.col("m.c").alias("nearest"), F.when(F.col("m.c") == F.col("label"), 1).otherwise(0).alias("own"))
+
+
 def minmax_coords(spark: SparkSession, sf: str) -> DataFrame:
     n = table(spark, sf, "network_author_nodes").select("node_id", F.col("degree").cast("double").alias("d"), F.col("weighted_degree").cast("double").alias("w"))
     r = n.agg(*[f(c).alias(f"{c}_{k}") for c in ("d", "w") for k, f in (("lo", F.min), ("hi", F.max))])
@@ -384,6 +394,12 @@ def topic_map_centroids(spark: SparkSession, sf: str) -> DataFrame:
     return topics.centroids(topics.map_places(c, "rid")).join(terms, "topic_id", "left").select(F.col("domain").alias("domain_id"), "topic_id", F.col("label").alias("topic_label"), "top_terms", "size", "x", "y")
 
 
+def topic_map_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Per domain its placed texts, and those that lie nearer to another topic's centroid than to their own (JN-13)."""
+    p = cut(topic_map(spark, sf), "places")
+    return topics.misplaced(p, topics.centroids(p), "rid")
+
+
 # sinks and events
 
 
@@ -418,7 +434,7 @@ _NAMES = [
     "display_label_overlay", "subdomain_assignment", "summary_subdomain_year", "publication_institutions", "publication_countries", "summary_domain_year", "led_and_international",
     "summary_top_authors", "top_authors_per_domain", "coauthor_institution_edges", "coauthor_author_edges", "coauthor_country_edges", "network_institution_nodes", "network_author_nodes",
     "network_country_nodes", "network_institution_paths", "network_layout", "author_attributes", "referential_integrity", "semi_membership", "uniqueness_checks", "node_consistency",
-    "path_pairs", "author_slug", "author_labels", "token_df", "tfidf_top_terms", "topic_centroids", "nearest_centroid", "minmax_coords", "topic_kmeans", "topic_map",
-    "topic_map_centroids", "roster_upsert", "events_by_hour", "event_sessions", "events_by_hour_streamed", "region_rollup",
+    "path_pairs", "author_slug", "author_labels", "token_df", "tfidf_top_terms", "topic_centroids", "nearest_centroid", "nearest_centroid_all", "minmax_coords", "topic_kmeans", "topic_map",
+    "topic_map_centroids", "topic_map_check", "roster_upsert", "events_by_hour", "event_sessions", "events_by_hour_streamed", "region_rollup",
 ]
 QUERIES = {n: globals()[n] for n in _NAMES}

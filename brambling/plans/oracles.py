@@ -186,6 +186,9 @@ SELECT journal, string_agg(term, ', ' ORDER BY r) FILTER (r <= 8) AS top_terms,
     "topic_centroids": "SELECT label, (i - 1)::INT AS dim, round(avg(embedding[i]::DOUBLE), 6) AS mean, count(*) AS n FROM embeddings, unnest(range(1, len(embedding) + 1)) r(i) GROUP BY ALL",
     "nearest_centroid": """WITH e AS (SELECT vec_id, label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings), c AS (SELECT label AS c, avg(x) AS cx, avg(y) AS cy FROM e GROUP BY label)
 SELECT vec_id, arg_min(c, (round(sqrt((x - cx) ** 2 + (y - cy) ** 2), 9), c)) AS nearest, CASE WHEN arg_min(c, (round(sqrt((x - cx) ** 2 + (y - cy) ** 2), 9), c)) = label THEN 1 ELSE 0 END AS own FROM e, c GROUP BY vec_id, label""",
+    "nearest_centroid_all": """WITH e AS (SELECT vec_id, label, i, embedding[i]::DOUBLE AS v FROM embeddings, unnest(range(1, len(embedding) + 1)) r(i)), c AS (SELECT label AS c, i, avg(v) AS m FROM e GROUP BY ALL),
+d AS (SELECT vec_id, label, c, round(sqrt(sum((v - m) ** 2)), 9) AS d FROM e JOIN c USING (i) GROUP BY ALL)
+SELECT vec_id, arg_min(c, (d, c)) AS nearest, CASE WHEN arg_min(c, (d, c)) = label THEN 1 ELSE 0 END AS own FROM d GROUP BY vec_id, label""",
     "minmax_coords": "SELECT node_id, round((degree - min(degree) OVER ()) / nullif(max(degree) OVER () - min(degree) OVER (), 0)::DOUBLE, 6) AS x, round((weighted_degree - min(weighted_degree) OVER ()) / nullif(max(weighted_degree) OVER () - min(weighted_degree) OVER (), 0)::DOUBLE, 6) AS y FROM network_author_nodes",
     "roster_upsert": """SELECT coalesce(o.k, n.k) AS profile_url, coalesce(n.name, o.name) AS name, coalesce(o.notes, n.notes) AS notes
 FROM (SELECT c_custkey AS k, 'old ' || c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS notes FROM customer WHERE c_custkey % 3 <> 0) o

@@ -265,6 +265,12 @@ def test_topics(spark):
     assert set(w["top_terms"].split(", ")) == set(kinds[0] + kinds[1]) and len(w["label"].split(", ")) == 4
 
 
+def test_misplaced(spark):
+    places = spark.createDataFrame([(1, "d", "a", 0.1, 0.1), (2, "d", "a", 0.9, 0.9), (3, "d", "b", 0.9, 0.8), (4, "e", "c", 0.9, 0.9), (5, "e", "c", None, None)], "uid int, domain string, topic_id string, map_x double, map_y double")
+    cents = spark.createDataFrame([("d", "a", 0.1, 0.1), ("d", "b", 0.9, 0.9), ("e", "c", 0.0, 0.0)], "domain string, topic_id string, x double, y double")
+    assert sorted(map(tuple, topics.misplaced(places, cents, "uid").collect())) == [("d", 3, 1), ("e", 1, 0)]
+
+
 # readers, writers and windows
 
 

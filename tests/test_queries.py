@@ -44,6 +44,20 @@ def test_query(name, spark, db):
     assert got == sorted((tuple(norm(x[names.index(c)]) for c in cols) for x in r.fetchall()), key=repr)
 
 
+def test_nearest_centroid_over_all_dimensions(spark):
+    """Against numpy, over all components of each vector."""
+    import numpy as np
+
+    rows = catalogue.QUERIES["topic_centroids"](spark, SF).select("label").distinct().collect()
+    e = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    x, own = np.array([r["embedding"] for r in e], dtype=np.float64), np.array([r["label"] for r in e])
+    labels = sorted(r["label"] for r in rows)
+    c = np.array([x[own == n].mean(0) for n in labels])
+    near = np.round(np.linalg.norm(x[:, None] - c[None], axis=2), 9).argmin(1)
+    got = {r["vec_id"]: (r["nearest"], r["own"]) for r in catalogue.QUERIES["nearest_centroid_all"](spark, SF).collect()}
+    assert got == {r["vec_id"]: (labels[k], int(labels[k] == r["label"])) for r, k in zip(e, near, strict=True)}
+
+
 def test_oracles_have_queries():
     assert catalogue.ORACLES.keys() <= catalogue.QUERIES.keys()
 
