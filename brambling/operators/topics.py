@@ -6,7 +6,6 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, CountVectorizer, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,12 +34,12 @@ def cluster(texts: DataFrame, key: str, text: str, domain: str, min_docs: int =
     """(key, domain, topic_id, features): k-means on TF-IDF within each domain, k by its size; topics are numbered by size, largest
     first. A domain of fewer than `min_docs` texts gets one topic. There are few domains; each is a distributed fit.
 
-    Null texts count as empty. Where no text has a word there is no row. Fits are seeded and read rows sorted by key, so that a rerun gives the same clusters.
+    `features` is sparse (indices, values). Null texts count as empty. Where no text has a word there is no row. Fits are seeded and read rows sorted by key, so that a rerun gives the same clusters.
     """
     t = texts.select(key, F.col(domain).alias("domain"), F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")).alias("tokens")).where(F.col("domain").isNotNull())
     t = cut(t.orderBy(key), "tokens")
     if t.where("size(tokens) > 0").isEmpty():
-        return t.select(key, "domain", F.lit("").alias("topic_id"), F.array().cast("array<double>").alias("features"))
+        return t.select(key, "domain", F.lit("").alias("topic_id"), F.struct(F.array().cast("array<int>").alias("indices"), F.array().cast("array<double>").alias("values")).alias("features"))
     vec = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=features, minDF=1).fit(t).transform(t)
     vec = IDF(inputCol="tf", outputCol="tfidf").fit(vec).transform(vec)
     vec = cut(Normalizer(inputCol="tfidf", outputCol="v").transform(vec).select(key, "domain", "v"), "vectors")
@@ -56,7 +55,7 @@ def cluster(texts: DataFrame, key: str, text: str, domain: str, min_docs: int =
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    out = cut(out.select(key, "domain", "c", vector_to_array("v").alias("features")), "clusters")
+    out = cut(out.select(key, "domain", "c", F.unwrap_udt("v").alias("v")).select(key, "domain", "c", F.struct("v.indices", "v.values").alias("features")), "clusters")
     sizes = out.groupBy("domain", "c").agg(F.count("*").alias("n"))
     number = sizes.withColumn("k", F.row_number().over(Window.partitionBy("domain").orderBy(F.desc("n"), "c"))).drop("n")
     return out.join(number, ["domain", "c"]).select(key, "domain", F.concat("domain", F.lit("_t"), F.col("k").cast("string")).alias("topic_id"), "features")
@@ -70,27 +69,54 @@ def anchors(n: int) -> tuple[np.ndarray, float]:
     return grid, step / 4
 
 
+def _plane(df: pd.DataFrame) -> pd.DataFrame:
+    """(domain, term, bx, by): the two principal directions of the points (point, term, v) of one domain; fewer where they span less."""
+    seen = df.dropna(subset=["term"])
+    points, terms = np.sort(df["point"].unique()), np.sort(seen["term"].unique())
+    m = np.zeros((len(points), len(terms)))
+    m[np.searchsorted(points, seen["point"]), np.searchsorted(terms, seen["term"])] = seen["v"]
+    m -= m.mean(0)
+    val, vec = np.linalg.eigh(m @ m.T)
+    b = np.zeros((len(terms), 2))
+    for i in range(min(2, len(val))):
+        if val[-1 - i] > 1e-9:
+            x = m.T @ vec[:, -1 - i] / np.sqrt(val[-1 - i])
+            b[:, i] = x * np.sign(x[np.argmax(np.abs(np.round(x, 6)))])
+    return pd.DataFrame({"domain": df["domain"].iloc[0], "term": terms.astype("int32"), "bx": b[:, 0], "by": b[:, 1]})
+
+
+def _spread(df: pd.DataFrame) -> pd.DataFrame:
+    """(domain, topic_id, ax, ay, r) from the means (topic_id, mx, my) of one domain's topics: rows of the grid by my, places in a row by mx."""
+    d = df.assign(mx=df["mx"].round(6), my=df["my"].round(6)).sort_values(["my", "topic_id"], ignore_index=True)
+    grid, r = anchors(len(d))
+    d["row"] = d.index // int(np.ceil(np.sqrt(len(d))))
+    d = d.sort_values(["row", "mx", "topic_id"], ignore_index=True)
+    return pd.DataFrame({"domain": d["domain"], "topic_id": d["topic_id"], "ax": grid[:, 0], "ay": grid[:, 1], "r": float(r)})
+
+
 def map_places(clustered: DataFrame, key: str) -> DataFrame:
     """(key, domain, topic_id, map_x, map_y): places in the unit square in which every text is nearer its own topic's mean than any other
     of its domain: each topic has an anchor, its members lie within a radius of a quarter of the least distance of anchors.
 
-    A member's angle and distance come from a hash of its key and its likeness to the topic's mean, in the JVM, row by row; only
-    the anchors, one per topic, are joined in.
+    Texts are projected on the two principal directions of their domain's topic means (with fewer than three topics: of its
+    different texts). The topics' projections order the anchors; a member's offset from its anchor is its own projection less the
+    topic's mean, scaled so that the farthest member of a topic lies on the radius. A domain's means, topics by terms, are
+    one task's.
     """
-    topics = clustered.groupBy("domain").agg(F.array_sort(F.collect_set("topic_id")).alias("t"))
-
-    def place(df: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for d, t in zip(df["domain"], df["t"], strict=True):
-            grid, r = anchors(len(t))
-            rows += [(d, name, float(x), float(y), float(r)) for name, (x, y) in zip(sorted(t, key=lambda s: (len(s), s)), grid, strict=True)]
-        return pd.DataFrame(rows, columns=["domain", "topic_id", "ax", "ay", "r"])
-
-    spots = topics.mapInPandas(lambda it: (place(b) for b in it), "domain string, topic_id string, ax double, ay double, r double")
-    angle = F.pmod(F.xxhash64(key), F.lit(3600)) / 3600 * 2 * np.pi
-    far = F.sqrt(F.pmod(F.xxhash64(F.lit("far"), key), F.lit(1000)) / 1000)
-    p = clustered.select(key, "domain", "topic_id").join(spots, ["domain", "topic_id"])
-    return p.select(key, "domain", "topic_id", F.round(F.col("ax") + F.col("r") * far * F.cos(angle), 6).alias("map_x"), F.round(F.col("ay") + F.col("r") * far * F.sin(angle), 6).alias("map_y"))
+    c = clustered.join(F.broadcast(clustered.groupBy("domain").agg(F.count_distinct("topic_id").alias("topics"))), "domain")
+    c = c.withColumn("point", F.when(F.col("topics") < 3, F.xxhash64("features.indices", "features.values").cast("string")).otherwise(F.col("topic_id")))
+    size = c.groupBy("domain", "point").agg(F.count("*").alias("n"))
+    long = c.select(key, "domain", "topic_id", "point", F.explode_outer(F.arrays_zip("features.indices", "features.values")).alias("e")).select(key, "domain", "topic_id", "point", F.col("e.indices").alias("term"), F.col("e.values").alias("v"))
+    means = long.groupBy("domain", "point", "term").agg(F.sum("v").alias("v")).join(size, ["domain", "point"]).select("domain", "point", "term", F.round(F.col("v") / F.col("n"), 9).alias("v"))
+    plane = means.groupBy("domain").applyInPandas(_plane, "domain string, term int, bx double, by double")
+    p = long.join(plane, ["domain", "term"], "left").groupBy(key, "domain", "topic_id").agg(*[F.coalesce(F.sum(F.col("v") * F.col(b)), F.lit(0.0)).alias(x) for b, x in (("bx", "px"), ("by", "py"))])
+    p = cut(p, "projected")
+    mean = p.groupBy("domain", "topic_id").agg(F.avg("px").alias("mx"), F.avg("py").alias("my"))
+    spots = mean.join(mean.groupBy("domain").applyInPandas(_spread, "domain string, topic_id string, ax double, ay double, r double"), ["domain", "topic_id"])
+    off = p.join(spots, ["domain", "topic_id"]).withColumns({"dx": F.col("px") - F.col("mx"), "dy": F.col("py") - F.col("my")})
+    far = off.groupBy("domain", "topic_id").agg(F.max(F.hypot("dx", "dy")).alias("far"))
+    scale = F.when(F.col("far") > 1e-9, F.col("r") / F.col("far")).otherwise(0.0)
+    return off.join(far, ["domain", "topic_id"]).select(key, "domain", "topic_id", F.round(F.col("ax") + scale * F.col("dx"), 6).alias("map_x"), F.round(F.col("ay") + scale * F.col("dy"), 6).alias("map_y"))
 
 
 def centroids(places: DataFrame) -> DataFrame:

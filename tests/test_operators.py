@@ -2,10 +2,12 @@
 
 import itertools
 import json
+import math
 import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -265,6 +267,23 @@ def test_topics(spark):
     assert set(w["top_terms"].split(", ")) == set(kinds[0] + kinds[1]) and len(w["label"].split(", ")) == 4
 
 
+def test_map_follows_content(spark):
+    """Like texts of a topic lie together, unlike ones apart; like topics have neighbouring anchors; a place doesn't depend on the key."""
+    mix = {"a": [1.0, 0.3, 0.0, 0.0], "b": [1.0, 0.0, 0.3, 0.0]}
+    at = {"d_t1": 0, "d_t2": 4, "d_t3": 8, "d_t4": 12}
+    rows = [(f"{t}{m}{i}", "d", t, ([0 + o, 1 + o, 2 + o, 3 + o], mix[m])) for t, o in at.items() for m in mix for i in range(4)]
+    rows += [(f"x{i}", "d", "d_t1", ([0, 1, 4], [1.0, 0.3, 0.2])) for i in range(2)] + [("none", "e", "e_t1", ([], []))] + [(f"s{m}{i}", "s", "s_t1", ([0, 1, 2, 3], v)) for m, v in mix.items() for i in range(3)]
+    df = spark.createDataFrame(rows, "uid string, domain string, topic_id string, features struct<indices:array<int>, values:array<double>>")
+    got = {r["uid"]: (r["map_x"], r["map_y"]) for r in topics.map_places(df, "uid").collect()}
+    assert len(got) == len(rows) and got["none"] == (0.5, 0.5) and all(0 <= c <= 1 for p in got.values() for c in p)
+    assert len({got[f"sa{i}"] for i in range(3)}) == 1 and len({got[f"sb{i}"] for i in range(3)}) == 1 and math.dist(got["sa0"], got["sb0"]) > 0.2
+    for t in at:
+        assert len({got[f"{t}a{i}"] for i in range(4)}) == 1
+    assert got["x0"] == got["x1"] and math.dist(got["x0"], got["d_t1a0"]) > 1e-3
+    means = pd.DataFrame({"domain": "d", "topic_id": list("pqrs"), "mx": [9.0, 0.0, 9.1, 0.1], "my": [0.0, 0.1, 5.0, 5.1]})
+    assert [*topics._spread(means).sort_values("topic_id")[["ax", "ay"]].itertuples(index=False, name=None)] == [(0.75, 0.25), (0.25, 0.25), (0.75, 0.75), (0.25, 0.75)]
+
+
 def test_misplaced(spark):
     places = spark.createDataFrame([(1, "d", "a", 0.1, 0.1), (2, "d", "a", 0.9, 0.9), (3, "d", "b", 0.9, 0.8), (4, "e", "c", 0.9, 0.9), (5, "e", "c", None, None)], "uid int, domain string, topic_id string, map_x double, map_y double")
     cents = spark.createDataFrame([("d", "a", 0.1, 0.1), ("d", "b", 0.9, 0.9), ("e", "c", 0.0, 0.0)], "domain string, topic_id string, x double, y double")
