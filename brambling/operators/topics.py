@@ -30,9 +30,15 @@ def top_terms(weights: DataFrame, group: str, k: int = 8, in_label: int = 4) ->
     return ordered.select(group, F.array_join("t", ", ").alias("top_terms"), F.array_join(F.slice("t", 1, in_label), ", ").alias("label"))
 
 
-def cluster(texts: DataFrame, key: str, text: str, domain: str, min_docs: int = 3, docs_per_topic: int = 25, max_k: int = 8, features: int = 4096, seed: int = 5) -> DataFrame:
+def topic_count(n: int, min_docs: int, docs_per_topic: int) -> int:
+    """Topics of a domain of n texts: one for `docs_per_topic` texts, or sqrt(n / 2) where that is less."""
+    return 1 if n < max(min_docs, 2) else max(1, min(n // docs_per_topic, round((n / 2) ** 0.5)))
+
+
+def cluster(texts: DataFrame, key: str, text: str, domain: str, min_docs: int = 3, docs_per_topic: int = 25, seed: int = 5) -> DataFrame:
     """(key, domain, topic_id, features): k-means on TF-IDF within each domain, k by its size; topics are numbered by size, largest
-    first. A domain of fewer than `min_docs` texts gets one topic. There are few domains; each is a distributed fit.
+    first (topic_count). A domain of fewer than `min_docs` texts gets one topic. There are few domains; each is a distributed fit. Every
+    term is a feature; the driver holds the vocabulary, and the centers of a fit are dense, topics by terms.
 
     `features` is sparse (indices, values). Null texts count as empty. Where no text has a word there is no row. Fits are seeded and read rows sorted by key, so that a rerun gives the same clusters.
     """
@@ -40,13 +46,14 @@ def cluster(texts: DataFrame, key: str, text: str, domain: str, min_docs: int =
     t = cut(t.orderBy(key), "tokens")
     if t.where("size(tokens) > 0").isEmpty():
         return t.select(key, "domain", F.lit("").alias("topic_id"), F.struct(F.array().cast("array<int>").alias("indices"), F.array().cast("array<double>").alias("values")).alias("features"))
-    vec = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=features, minDF=1).fit(t).transform(t)
+    terms = t.select(F.explode("tokens").alias("term")).agg(F.count_distinct("term")).first()[0]
+    vec = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=terms, minDF=1).fit(t).transform(t)
     vec = IDF(inputCol="tf", outputCol="tfidf").fit(vec).transform(vec)
     vec = cut(Normalizer(inputCol="tfidf", outputCol="v").transform(vec).select(key, "domain", "v"), "vectors")
     parts = []
     for d, n in [(r["domain"], r["count"]) for r in vec.groupBy("domain").count().orderBy("domain").collect()]:
         one = vec.where(F.col("domain") == d)
-        k = 1 if n < max(min_docs, 2) else int(max(1, min(max_k, n // docs_per_topic)))
+        k = topic_count(n, min_docs, docs_per_topic)
         if k > 1:
             one = KMeans(featuresCol="v", predictionCol="c", k=k, seed=seed, maxIter=15, initSteps=1).fit(one).transform(one)
         else:

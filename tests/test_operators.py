@@ -284,6 +284,18 @@ def test_map_follows_content(spark):
     assert [*topics._spread(means).sort_values("topic_id")[["ax", "ay"]].itertuples(index=False, name=None)] == [(0.75, 0.25), (0.25, 0.25), (0.75, 0.75), (0.25, 0.75)]
 
 
+def test_topics_keep_every_term(spark):
+    """More different terms than any fixed vocabulary: each is a feature, and a text of rare terms only isn't empty."""
+    data = [(i, " ".join(f"w{i}x{j}" for j in range(100)), "d") for i in range(45)] + [(100 + i, "common words here", "d") for i in range(45)]
+    got = topics.cluster(spark.createDataFrame(data, "uid int, text string, dom string"), "uid", "text", "dom", docs_per_topic=1000).collect()
+    assert all(len(r["features"]["indices"]) == (100 if r["uid"] < 100 else 3) for r in got) and len({i for r in got for i in r["features"]["indices"]}) == 4503
+
+
+def test_number_of_topics_follows_size():
+    n = [topics.topic_count(x, 3, 25) for x in (2, 30, 200, 400, 20_000, 2_000_000)]
+    assert n == [1, 1, 8, 14, 100, 1000]
+
+
 def test_misplaced(spark):
     places = spark.createDataFrame([(1, "d", "a", 0.1, 0.1), (2, "d", "a", 0.9, 0.9), (3, "d", "b", 0.9, 0.8), (4, "e", "c", 0.9, 0.9), (5, "e", "c", None, None)], "uid int, domain string, topic_id string, map_x double, map_y double")
     cents = spark.createDataFrame([("d", "a", 0.1, 0.1), ("d", "b", 0.9, 0.9), ("e", "c", 0.0, 0.0)], "domain string, topic_id string, x double, y double")
