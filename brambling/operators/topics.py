@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
@@ -35,12 +37,12 @@ def topic_count(n: int, min_docs: int, docs_per_topic: int) -> int:
     return 1 if n < max(min_docs, 2) else max(1, min(n // docs_per_topic, round((n / 2) ** 0.5)))
 
 
-def cluster(texts: DataFrame, key: str, text: str, domain: str, min_docs: int = 3, docs_per_topic: int = 25, seed: int = 5) -> DataFrame:
+def cluster(texts: DataFrame, key: str, text: str, domain: str, min_docs: int = 3, docs_per_topic: int = 25, seed: int = 5, max_iter: int = 100) -> DataFrame:
     """(key, domain, topic_id, features): k-means on TF-IDF within each domain, k by its size; topics are numbered by size, largest
     first (topic_count). A domain of fewer than `min_docs` texts gets one topic. There are few domains; each is a distributed fit. Every
     term is a feature; the driver holds the vocabulary, and the centers of a fit are dense, topics by terms.
 
-    `features` is sparse (indices, values). Null texts count as empty. Where no text has a word there is no row. Fits are seeded and read rows sorted by key, so that a rerun gives the same clusters.
+    `features` is sparse (indices, values). Null texts count as empty. Where no text has a word there is no row. A fit goes on until its centers no longer move by k-means' tolerance; where `max_iter` ends it before, there is a warning. Fits are seeded and read rows sorted by key, so that a rerun gives the same clusters.
     """
     t = texts.select(key, F.col(domain).alias("domain"), F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")).alias("tokens")).where(F.col("domain").isNotNull())
     t = cut(t.orderBy(key), "tokens")
@@ -55,7 +57,10 @@ def cluster(texts: DataFrame, key: str, text: str, domain: str, min_docs: int =
         one = vec.where(F.col("domain") == d)
         k = topic_count(n, min_docs, docs_per_topic)
         if k > 1:
-            one = KMeans(featuresCol="v", predictionCol="c", k=k, seed=seed, maxIter=15, initSteps=1).fit(one).transform(one)
+            model = KMeans(featuresCol="v", predictionCol="c", k=k, seed=seed, maxIter=max_iter).fit(one)
+            if model.summary.numIter >= max_iter:
+                warnings.warn(f"topics of {d}: the centers still moved after {max_iter} iterations", stacklevel=2)
+            one = model.transform(one)
         else:
             one = one.withColumn("c", F.lit(0))
         parts.append(one)

@@ -4,6 +4,7 @@ import itertools
 import json
 import math
 import random
+import warnings
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -291,6 +292,16 @@ def test_topics_keep_every_term(spark):
     assert all(len(r["features"]["indices"]) == (100 if r["uid"] < 100 else 3) for r in got) and len({i for r in got for i in r["features"]["indices"]}) == 4503
 
 
+def test_unconverged_topics_are_reported(spark):
+    rnd = random.Random(3)
+    df = spark.createDataFrame([(i, " ".join(rnd.choices([f"w{j}" for j in range(40)], k=8)), "d") for i in range(150)], "uid int, text string, dom string")
+    with pytest.warns(UserWarning, match="topics of d"):
+        topics.cluster(df, "uid", "text", "dom", max_iter=1)
+    with warnings.catch_warnings():
+        warnings.filterwarnings("error", message="topics of")
+        topics.cluster(df, "uid", "text", "dom")
+
+
 def test_number_of_topics_follows_size():
     n = [topics.topic_count(x, 3, 25) for x in (2, 30, 200, 400, 20_000, 2_000_000)]
     assert n == [1, 1, 8, 14, 100, 1000]
