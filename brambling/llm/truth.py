@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -33,11 +34,12 @@ def _linked(rows: DataFrame, keys: int) -> DataFrame:
     return cut(attach(rows, small, ["node"], "n", rows.count()).drop("node", "n", *[f"k{i}" for i in range(keys)]), "linked")
 
 
-def discover(claims: DataFrame, max_rounds: int = 8, tolerance: float = 0.01) -> tuple[DataFrame, DataFrame]:
+def discover(claims: DataFrame, max_rounds: int = 100, tolerance: float = 0.01) -> tuple[DataFrame, DataFrame]:
     """(votes, reliability) from claims (group, field, value, source, n).
 
     Alternates between the votes of each value, weighted by its sources' reliability, and the reliability of each source, minus
-    the log of its smoothed share of claims that differ from the highest vote, until no reliability moves by `tolerance`.
+    the log of its smoothed share of claims that differ from the highest vote, until no reliability moves by `tolerance`;
+    where `max_rounds` ends it before (votes may alternate), there is a warning.
     Null sources count as one source. Ties of votes go to the greater value.
     """
     c = claims.withColumn("source", F.coalesce(F.col("source").cast("string"), F.lit("")))
@@ -51,6 +53,8 @@ def discover(claims: DataFrame, max_rounds: int = 8, tolerance: float = 0.01) ->
         trust = new
         if moved is None or moved < tolerance:
             break
+    else:
+        warnings.warn(f"reliabilities still moved after {max_rounds} rounds", stacklevel=2)
     return c.join(trust, "source").groupBy("group", "field", "value").agg(F.sum(F.col("n") * F.col("w")).alias("vote")), trust
 
 

@@ -2,6 +2,7 @@
 
 import datetime
 import random
+import warnings
 from collections import defaultdict
 
 import pytest
@@ -209,3 +210,14 @@ def test_hot_group(spark):
     df = spark.range(5000).select(F.col("id").alias("rid"), F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("d"), "id")).alias("doi"), F.lit(None).cast("string").alias("pmid"), F.lit("s").alias("src"), F.lit(T[0]).alias("at"), F.col("id").cast("string").alias("v"))
     got = truth.representatives(df, "rid", {"doi": F.col("doi"), "pmid": F.col("pmid")}, F.col("src"), F.col("at"), [truth.Field("v", F.col("v"), F.col("rid"), False)])
     assert rows(got.select("first_id", "n_rows", "v_id")) == [(0, 2500, 4998)]
+
+
+def test_unconverged_truth_is_reported(spark):
+    claims = spark.createDataFrame([(g, 0, v, s, 1) for g in range(6) for s, v in (("a", "x"), ("b", "x"), ("c", f"y{g}"))], "group int, field int, value string, source string, n bigint")
+    with pytest.warns(UserWarning, match="still moved after 1 rounds"):
+        truth.discover(claims, max_rounds=1)
+    with warnings.catch_warnings():
+        warnings.filterwarnings("error", message="reliabilities")
+        votes, trust = truth.discover(claims)
+    w = {r["source"]: r["w"] for r in trust.collect()}
+    assert w["a"] == w["b"] > w["c"]
