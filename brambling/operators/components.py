@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brambling.runtime import cut
+from brambling.runtime import cut, discard
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -17,7 +17,9 @@ def components(edges: DataFrame, u: str = "u", v: str = "v", max_rounds: int = 6
 
     Nulls: edges with a null end are no edges; an edge from a node to itself makes it a node. Each round shuffles edges by
     node with minima taken before the shuffle; no neighbour list is ever collected. Rounds grow with the logarithm of the
-    longest path. Every round is written to the shared folder. An empty input gives an empty result.
+    longest path. Every round is written to the shared folder and the one before it removed. Both sides of a round's joins are shuffled on the
+    node, so that adaptive execution splits the partitions of nodes with very many neighbours (spark.sql.adaptive.skewJoin). An
+    empty input gives an empty result.
     """
     e = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).where(F.col("u").isNotNull() & F.col("v").isNotNull()).distinct()
     e = cut(e, "edges")
@@ -31,8 +33,10 @@ def components(edges: DataFrame, u: str = "u", v: str = "v", max_rounds: int = 6
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         low = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(low, "u").select("u", F.col("v"), "m")
+        before = cur
         cur = cut(small.select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct(), "stars")
         state = cur.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        discard(before)
         if state == seen:
             break
         seen = state

@@ -24,7 +24,7 @@ def edges(bridge: DataFrame, group: str, node: str, layers: Sequence[str] = (),
     tags = F.array(F.lit(ALL), *[F.col(c) for c in layers])
     x = cut(x.select("g", "n", F.explode(F.array_distinct(tags)).alias("layer")).where("layer IS NOT NULL").distinct(), "bridge")
     sizes = x.groupBy("layer", "g").agg(F.count("*").alias("k")).where("k > 1")
-    dealt = attach(x, sizes, ["layer", "g"], "k", x.count()).withColumn("cells", F.ceil(F.col("k") / chunk).cast("int"))
+    dealt = attach(x, sizes, ["layer", "g"], "k", x.count(), ["n"]).withColumn("cells", F.ceil(F.col("k") / chunk).cast("int"))
     dealt = dealt.withColumn("c", F.pmod(F.xxhash64("n"), F.col("cells")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
     left = dealt.select("layer", "g", F.col("n").alias("source"), "c", every.alias("d"))

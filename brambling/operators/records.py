@@ -64,7 +64,7 @@ def duplicate_groups(r: DataFrame) -> DataFrame:
     edges = k.select(F.explode(F.array(*[F.struct(F.col("_node").alias("u"), F.coalesce(F.col(f"_k{i}"), F.col("_node")).alias("v")) for i in range(3)])).alias("e")).select("e.*")
     sizes = k.groupBy("_node").agg(F.count("*").alias("_n"))
     small = sizes.join(components(edges).select(F.col("node").alias("_node"), F.col("component").alias("group")), "_node")
-    return attach(k, small, ["_node"], "_n", k.count()).drop("_node", "_n", "_k0", "_k1", "_k2")
+    return attach(k, small, ["_node"], "_n", k.count(), ["rid"]).drop("_node", "_n", "_k0", "_k1", "_k2")
 
 
 def merge(grouped: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from brambling.functions.text import author_key, norm_title, tokens
 from brambling.operators import classify, network, records, screen, topics
-from brambling.runtime import cut, table
+from brambling.runtime import attach, cut, local, table
 from brambling.sources import sinks, vocab
 from brambling.streaming import windows
 
@@ -58,8 +58,9 @@ def _grouped(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedupe_groups(spark: SparkSession, sf: str) -> DataFrame:
-    g = _grouped(spark, sf)
-    return g.select("rid", "group").join(g.groupBy("group").agg(F.min("rid").alias("first_rid")), "group").select("rid", "first_rid")
+    g = _grouped(spark, sf).select("rid", "group")
+    first = g.groupBy("group").agg(F.min("rid").alias("first_rid"), F.count("*").alias("n"))
+    return attach(g, first, ["group"], "n", g.count(), ["rid"]).select("rid", "first_rid")
 
 
 def _merged(spark: SparkSession, sf: str) -> DataFrame:
@@ -114,10 +115,11 @@ def term_scoring(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _domains(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored table: several steps of a query read it."""
     d = vocab.domains(spark)
     p = classify.with_primary(_scored(spark, sf, d, 4), d.select("label_id", "pos").distinct(), "rid")
-    p = cut(p.select("rid", "label_id", "score", "is_primary"), "domains")
-    return classify.with_fallback(_articles(spark, sf), p, "rid")
+    p = cut(p.select("rid", "label_id", "score", "is_primary"), "scored")
+    return cut(classify.with_fallback(_articles(spark, sf), p, "rid"), "domains")
 
 
 def publication_domains(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,14 +140,14 @@ def summary_research_type_year(spark: SparkSession, sf: str) -> DataFrame:
     return t.groupBy("type_label", "year").agg(F.count("*").alias("publications"))
 
 
-def _tagged(spark: SparkSession, sf: str) -> DataFrame:
-    d = _domains(spark, sf).where("label_id <> 'other_id'").select("rid", F.col("label_id").alias("domain_id"), "is_primary")
+def _tagged(spark: SparkSession, sf: str, domains: DataFrame | None = None) -> DataFrame:
+    d = (_domains(spark, sf) if domains is None else domains).where("label_id <> 'other_id'").select("rid", F.col("label_id").alias("domain_id"), "is_primary")
     m = _articles(spark, sf).select("rid", "year", F.explode_outer("mesh_terms").alias("mesh_term"))
-    return d.join(m, "rid")
+    return cut(d.join(m, "rid"), "tagged")
 
 
-def _vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    return classify.vocabulary(_tagged(spark, sf), vocab.stoplist(spark), "rid")
+def _vocabulary(spark: SparkSession, sf: str, tagged: DataFrame | None = None) -> DataFrame:
+    return classify.vocabulary(_tagged(spark, sf) if tagged is None else tagged, vocab.stoplist(spark), "rid")
 
 
 def subdomain_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,15 +156,16 @@ def subdomain_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 
 def _edited(spark: SparkSession) -> DataFrame:
     rows = [("tb", "sputum", "Sputum tests"), ("vector_borne", "dengue", "Dengue fever"), ("rti", "covid-19", "COVID-19 (all)"), ("sti", "no such term", "Nothing")]
-    return spark.createDataFrame(rows, "domain_id string, mesh_term string, display_label string")
+    return local(spark, rows, "domain_id string, mesh_term string, display_label string")
 
 
 def display_label_overlay(spark: SparkSession, sf: str) -> DataFrame:
     return classify.relabel(_vocabulary(spark, sf), _edited(spark)).select("domain_id", "mesh_term", "rank", "display_label")
 
 
-def _assigned(spark: SparkSession, sf: str) -> DataFrame:
-    return classify.assign_terms(_tagged(spark, sf), classify.relabel(_vocabulary(spark, sf), _edited(spark)), "rid")
+def _assigned(spark: SparkSession, sf: str, domains: DataFrame | None = None) -> DataFrame:
+    t = _tagged(spark, sf, domains)
+    return classify.assign_terms(t, cut(classify.relabel(_vocabulary(spark, sf, t), _edited(spark)), "vocabulary"), "rid")
 
 
 def subdomain_assignment(spark: SparkSession, sf: str) -> DataFrame:
@@ -170,8 +173,9 @@ def subdomain_assignment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def summary_subdomain_year(spark: SparkSession, sf: str) -> DataFrame:
-    p = _domains(spark, sf).where("is_primary = 1").select("rid", F.col("label_id").alias("domain_id")).join(_articles(spark, sf).select("rid", "year"), "rid")
-    s = p.join(_assigned(spark, sf).select("rid", "domain_id", "subdomain"), ["rid", "domain_id"], "left")
+    d = _domains(spark, sf)
+    p = d.where("is_primary = 1").select("rid", F.col("label_id").alias("domain_id")).join(_articles(spark, sf).select("rid", "year"), "rid")
+    s = p.join(_assigned(spark, sf, d).select("rid", "domain_id", "subdomain"), ["rid", "domain_id"], "left")
     return s.groupBy("domain_id", F.coalesce("subdomain", F.lit(classify.OTHER)).alias("subdomain_label"), "year").agg(F.count("*").alias("publications"))
 
 
@@ -215,9 +219,8 @@ def led_and_international(spark: SparkSession, sf: str) -> DataFrame:
 def summary_top_authors(spark: SparkSession, sf: str) -> DataFrame:
     b = table(spark, sf, "publication_authors").where("author_key IS NOT NULL").select("uid", "author_key").distinct()
     p = table(spark, sf, "publications").select("uid", F.col("primary_domain").alias("domain_id"))
-    x = b.join(p, "uid")
-    x.createOrReplaceTempView("author_domains")
-    return spark.sql("SELECT author_key, CASE WHEN grouping(domain_id) = 1 THEN 'ALL' ELSE domain_id END AS domain_id, count(DISTINCT uid) AS n_publications FROM author_domains GROUP BY GROUPING SETS ((author_key, domain_id), (author_key))")
+    x = b.join(p, "uid").groupingSets([["author_key", "domain_id"], ["author_key"]], "author_key", "domain_id")
+    return x.agg(F.count_distinct("uid").alias("n_publications"), F.grouping("domain_id").alias("over_all")).select("author_key", F.when(F.col("over_all") == 1, network.ALL).otherwise(F.col("domain_id")).alias("domain_id"), "n_publications")
 
 
 def top_authors_per_domain(spark: SparkSession, sf: str) -> DataFrame:
@@ -348,22 +351,19 @@ def topic_centroids(spark: SparkSession, sf: str) -> DataFrame:
     return e.groupBy("label", "dim").agg(F.round(F.avg(F.col("v").cast("double")), 6).alias("mean"), F.count("*").alias("n"))
 
 
-def nearest_centroid(spark: SparkSession, sf: str) -> DataFrame:
-    """Per vector the label of the nearest centroid of the first two dimensions, and whether it is its own."""
-    e = table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
-    c = e.groupBy(F.col("label").alias("c")).agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
-    d = e.crossJoin(F.broadcast(c)).withColumn("d", F.round(F.hypot(F.col("x") - F.col("cx"), F.col("y") - F.col("cy")), 9))
-    return d.groupBy("vec_id", "label").agg(F.min(F.struct("d", "c")).alias("m")).select("vec_id", F.col("m.c").alias("nearest"), (F.col("m.c") == F.col("label")).cast("int").alias("own"))
-
-
-def nearest_centroid_all(spark: SparkSession, sf: str) -> DataFrame:
-    """Per vector the label of the nearest centroid over all its dimensions, ties by label, and whether it is its own."""
-    e = table(spark, sf, "embeddings").select("vec_id", "label", F.posexplode("embedding").alias("dim", "v")).withColumn("v", F.col("v").cast("double"))
-    means = e.groupBy(F.col("label").alias("c"), "dim").agg(F.avg("v").alias("m"))
-    c = means.groupBy("c").agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "m"))), lambda x: x["m"]).alias("m"))
-    square = F.aggregate(F.zip_with("embedding", "m", lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)), F.lit(0.0), lambda a, x: a + x)
-    d = table(spark, sf, "embeddings").crossJoin(F.broadcast(c)).withColumn("d", F.round(F.sqrt(square), 9))
-    return d.groupBy("vec_id", "label").agg(F.min(F.struct("d", "c")).alias("m")).select("vec_id", F.col("m.c").alias("nearest"), F.when(F.col("m.c") == F.col("label"), 1).otherwise(0).alias("own"))
+def nearest_centroid(spark: SparkSession, sf: str, block: int = 1_000) -> DataFrame:
+    """Per vector the label of the nearest centroid over all its dimensions, ties by label, and whether it is its own. Vectors meet the
+    centroids in blocks of `block`; a single block is broadcast."""
+    v = table(spark, sf, "embeddings")
+    means = v.select("label", F.posexplode("embedding").alias("dim", "v")).groupBy(F.col("label").alias("c"), "dim").agg(F.avg(F.col("v").cast("double")).alias("m"))
+    c = cut(means.groupBy("c").agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "m"))), lambda x: x["m"]).alias("m")), "centroids")
+    blocks = max(1, -(-c.count() // block))
+    sets = c.groupBy(F.pmod(F.xxhash64("c"), F.lit(blocks)).cast("int").alias("block")).agg(F.collect_list(F.struct("c", "m")).alias("cs"))
+    square = lambda m: F.aggregate(F.zip_with("embedding", m, lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)), F.lit(0.0), lambda a, x: a + x)
+    met = v.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(F.broadcast(sets) if blocks == 1 else sets, "block")
+    best = met.select("vec_id", "label", F.array_min(F.transform("cs", lambda x: F.struct(F.round(F.sqrt(square(x["m"])), 9).alias("d"), x["c"].alias("c")))).alias("m"))
+    best = best if blocks == 1 else best.groupBy("vec_id", "label").agg(F.min("m").alias("m"))
+    return best.select("vec_id", F.col("m.c").alias("nearest"), F.when(F.col("m.c") == F.col("label"), 1).otherwise(0).alias("own"))
 
 
 def minmax_coords(spark: SparkSession, sf: str) -> DataFrame:
@@ -434,7 +434,7 @@ _NAMES = [
     "display_label_overlay", "subdomain_assignment", "summary_subdomain_year", "publication_institutions", "publication_countries", "summary_domain_year", "led_and_international",
     "summary_top_authors", "top_authors_per_domain", "coauthor_institution_edges", "coauthor_author_edges", "coauthor_country_edges", "network_institution_nodes", "network_author_nodes",
     "network_country_nodes", "network_institution_paths", "network_layout", "author_attributes", "referential_integrity", "semi_membership", "uniqueness_checks", "node_consistency",
-    "path_pairs", "author_slug", "author_labels", "token_df", "tfidf_top_terms", "topic_centroids", "nearest_centroid", "nearest_centroid_all", "minmax_coords", "topic_kmeans", "topic_map",
+    "path_pairs", "author_slug", "author_labels", "token_df", "tfidf_top_terms", "topic_centroids", "nearest_centroid", "minmax_coords", "topic_kmeans", "topic_map",
     "topic_map_centroids", "topic_map_check", "roster_upsert", "events_by_hour", "event_sessions", "events_by_hour_streamed", "region_rollup",
 ]
 QUERIES = {n: globals()[n] for n in _NAMES}

@@ -121,7 +121,7 @@ top AS (SELECT author_key, CASE WHEN grouping(domain_id) = 1 THEN 'ALL' ELSE dom
 _SLUG = f"""WITH au AS (SELECT unnest(authors) AS a FROM articles),
 sl AS (SELECT a.last_name AS last_name, a.fore_name AS fore_name, replace({_norm('a.last_name')}, ' ', '') || '-' || coalesce(replace({_norm('a.fore_name')}, ' ', '')[1:1], '') AS author_key, count(*) AS n
   FROM au WHERE a.last_name IS NOT NULL AND a.fore_name IS NOT NULL GROUP BY ALL)"""
-_TOKENS = "list_filter(regexp_extract_all(lower({}), '[a-z0-9]+(?:-[a-z0-9]+)*'), lambda t: length(t) >= 3)"
+_TOKENS = "list_filter(regexp_extract_all(lower({}), '[\\p{{L}}\\p{{M}}\\p{{N}}]+(?:-[\\p{{L}}\\p{{M}}\\p{{N}}]+)*'), lambda t: length(t) >= 3)"
 _HOURS = "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events WHERE ts IS NOT NULL GROUP BY ALL"
 
 ORACLES = {
@@ -184,9 +184,7 @@ tf AS (SELECT journal, term, count(*) AS tf FROM t GROUP BY ALL), df AS (SELECT
 w AS (SELECT journal, term, row_number() OVER (PARTITION BY journal ORDER BY round(tf * ln(1 + n / df), 6) DESC, term) AS r FROM tf JOIN df USING (term), n)
 SELECT journal, string_agg(term, ', ' ORDER BY r) FILTER (r <= 8) AS top_terms, string_agg(term, ', ' ORDER BY r) FILTER (r <= 4) AS label FROM w GROUP BY journal""",
     "topic_centroids": "SELECT label, (i - 1)::INT AS dim, round(avg(embedding[i]::DOUBLE), 6) AS mean, count(*) AS n FROM embeddings, unnest(range(1, len(embedding) + 1)) r(i) GROUP BY ALL",
-    "nearest_centroid": """WITH e AS (SELECT vec_id, label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings), c AS (SELECT label AS c, avg(x) AS cx, avg(y) AS cy FROM e GROUP BY label)
-SELECT vec_id, arg_min(c, (round(sqrt((x - cx) ** 2 + (y - cy) ** 2), 9), c)) AS nearest, CASE WHEN arg_min(c, (round(sqrt((x - cx) ** 2 + (y - cy) ** 2), 9), c)) = label THEN 1 ELSE 0 END AS own FROM e, c GROUP BY vec_id, label""",
-    "nearest_centroid_all": """WITH e AS (SELECT vec_id, label, i, embedding[i]::DOUBLE AS v FROM embeddings, unnest(range(1, len(embedding) + 1)) r(i)), c AS (SELECT label AS c, i, avg(v) AS m FROM e GROUP BY ALL),
+    "nearest_centroid": """WITH e AS (SELECT vec_id, label, i, embedding[i]::DOUBLE AS v FROM embeddings, unnest(range(1, len(embedding) + 1)) r(i)), c AS (SELECT label AS c, i, avg(v) AS m FROM e GROUP BY ALL),
 d AS (SELECT vec_id, label, c, round(sqrt(sum((v - m) ** 2)), 9) AS d FROM e JOIN c USING (i) GROUP BY ALL)
 SELECT vec_id, arg_min(c, (d, c)) AS nearest, CASE WHEN arg_min(c, (d, c)) = label THEN 1 ELSE 0 END AS own FROM d GROUP BY vec_id, label""",
     "minmax_coords": "SELECT node_id, round((degree - min(degree) OVER ()) / nullif(max(degree) OVER () - min(degree) OVER (), 0)::DOUBLE, 6) AS x, round((weighted_degree - min(weighted_degree) OVER ()) / nullif(max(weighted_degree) OVER () - min(weighted_degree) OVER (), 0)::DOUBLE, 6) AS y FROM network_author_nodes",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brambling.runtime import local
+
 # Domains in the order that decides ties, with terms of title, abstract, keywords and MeSH.
 DOMAINS = {
     "vector_borne": ("Vector-borne diseases", ["dengue", "malaria", "zika", "zika virus infection", "chikungunya", "chikungunya fever", "aedes", "mosquito", "mosquito control", "mosquito breeding", "vector control", "wolbachia", "scrub typhus", "bed-net", "anopheles"]),
@@ -45,7 +47,7 @@ STOPLIST = [
 
 def _labels(spark: SparkSession, source: dict[str, tuple[str, list[str]]]) -> DataFrame:
     rows = [(i, k, label, t) for i, (k, (label, ts)) in enumerate(source.items()) for t in ts]
-    return spark.createDataFrame(rows, "pos int, label_id string, label string, term string")
+    return local(spark, rows, "pos int, label_id string, label string, term string")
 
 
 def domains(spark: SparkSession) -> DataFrame:
@@ -58,7 +60,7 @@ def research_types(spark: SparkSession) -> DataFrame:
 
 
 def stoplist(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(t,) for t in STOPLIST], "term string")
+    return local(spark, [(t,) for t in STOPLIST], "term string")
 
 
 def json_block(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -12,9 +12,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from brambling import runtime
 from brambling.functions import text
 from brambling.operators import classify, components, dialect, network, records, screen, shred, topics
-from brambling.runtime import attach
+from brambling.runtime import attach, local
 from brambling.sources import pages, raw, sinks, vocab
 from brambling.streaming import windows
 
@@ -52,6 +53,45 @@ def test_attach_spreads_hot_keys(spark):
     assert out.count() == 20000 and out.where("k = 0").count() == 6667 and out.columns == ["k", "id", "n"]
 
 
+def test_attach_deals_rows_by_the_columns_named(spark):
+    """A key of a third of all rows gets a task for every 1,000 of them here; its rows meet their group once each."""
+    big = spark.range(30000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("k"), "id")
+    small = big.groupBy("k").agg(F.count("*").alias("n"))
+    out = attach(big, small, ["k"], "n", 30000, ["id"])
+    assert out.count() == 30000 == out.select("id").distinct().count() and out.where("k = 'hot' AND n = 10000").count() == 10000
+
+
+def test_components_of_a_hub(spark):
+    hub = spark.range(1, 5001).select(F.lit(0).cast("bigint").alias("u"), F.col("id").alias("v"))
+    star = spark.range(1, 5001).select(F.col("id").alias("u"), F.lit(10**6).cast("bigint").alias("v"))
+    assert {r[0] for r in components.components(hub.unionByName(star)).select("component").distinct().collect()} == {0}
+
+
+def test_own_folder_is_for_local_masters_only(spark, monkeypatch):
+    class Context:
+        master, applicationId = "spark://host:7077", "x"
+
+    class Session:
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})
+        sparkContext = Context  # noqa: N815
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        runtime.shared_dir(Session)
+
+
+def test_term_hits_of_any_vocabulary_size(spark):
+    """The same hits whether the vocabulary is broadcast or shuffled; whole words only, not across members of a list; nulls match nothing."""
+    recs = spark.createDataFrame([(1, "Dengue fever, in DENGUE", "scrub typhus and typhus", ["Hand Hygiene", "Cross"], ["x"]), (2, None, None, None, None), (3, "dengues", "", ["cross", "infection"], [None]), (4, "Fièvre dengue", "a" * 5000, [], [])], "uid int, title string, abstract string, mesh_terms array<string>, keywords array<string>")
+    terms = local(spark, [("a", "dengue"), ("a", "Dengue fever"), ("b", "typhus"), ("b", "cross infection"), ("c", "hand hygiene"), ("c", None), ("c", "dengue"), ("c", "dengue"), ("d", "fievre")], "label_id string, term string")
+    want = {(1, "title", "a", "dengue"), (1, "title", "c", "dengue"), (1, "title", "a", "dengue fever"), (1, "abstract", "b", "typhus"), (1, "mesh", "c", "hand hygiene"), (4, "title", "a", "dengue"), (4, "title", "c", "dengue"), (4, "title", "d", "fievre")}
+    for most in (100, 1):
+        got = [tuple(r) for r in classify.term_hits(recs, terms, most=most).collect()]
+        assert set(got) == want and len(got) == len(want)
+    assert classify.term_hits(recs, terms.limit(0)).count() == 0 == classify.term_hits(recs.limit(0), terms).count()
+    plan = classify.term_hits(recs, terms)._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "Exchange hashpartitioning(uid" not in plan
+
+
 # problem 5
 
 

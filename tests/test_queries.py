@@ -54,7 +54,7 @@ def test_nearest_centroid_over_all_dimensions(spark):
     labels = sorted(r["label"] for r in rows)
     c = np.array([x[own == n].mean(0) for n in labels])
     near = np.round(np.linalg.norm(x[:, None] - c[None], axis=2), 9).argmin(1)
-    got = {r["vec_id"]: (r["nearest"], r["own"]) for r in catalogue.QUERIES["nearest_centroid_all"](spark, SF).collect()}
+    got = {r["vec_id"]: (r["nearest"], r["own"]) for r in catalogue.QUERIES["nearest_centroid"](spark, SF).collect()}
     assert got == {r["vec_id"]: (labels[k], int(labels[k] == r["label"])) for r, k in zip(e, near, strict=True)}
 
 
