@@ -1,6 +1,7 @@
 """Problems 1 to 4: edge cases and brute force."""
 
 import datetime
+import itertools
 import random
 import warnings
 from collections import defaultdict
@@ -139,14 +140,34 @@ def test_link_names(spark):
 
 def test_trie_against_brute_force():
     rnd = random.Random(2)
-    words = ["".join(rnd.choice("ab ") for _ in range(rnd.randint(3, 7))) for _ in range(60)]
+    word = lambda: "".join(rnd.choice("ab") for _ in range(rnd.randint(1, 4)))
+    entries = list(dict.fromkeys(" ".join(word() for _ in range(rnd.randint(1, 3))) for _ in range(80)))
     t = canonical.Trie()
-    for i, w in enumerate(words):
-        t.add(w, i)
-    for _ in range(200):
-        q = "".join(rnd.choice("ab ") for _ in range(rnd.randint(0, 8)))
+    for i, w in enumerate(entries):
+        t.add([(x,) for x in w.split(" ")], i)
+    for _ in range(400):
+        q = "".join(rnd.choice("ab ") for _ in range(rnd.randint(0, 10)))
         for most in (0, 1, 2):
-            assert t.search(q, most) == {i: d for i, w in enumerate(words) if (d := names.edits(q, w, most)) <= most}
+            assert t.search(q, most) == {i: d for i, w in enumerate(entries) if (d := names.edits(q, w, most)) <= most}
+
+
+def test_other_forms_against_all_their_combinations():
+    """Every combination of forms is a path, though only one node a word is kept: also for a label with more than 10^6 of them."""
+    rnd = random.Random(3)
+    slots = [tuple(sorted({"".join(rnd.choice("abc") for _ in range(rnd.randint(1, 4))) for _ in range(rnd.randint(1, 3))})) for _ in range(4)]
+    t = canonical.Trie()
+    t.add(slots, 0)
+    paths = [" ".join(p) for p in itertools.product(*slots)]
+    for p in paths:
+        assert t.exact(p.split(" ")) == {0} == set(t.search(p, 1))
+        i = rnd.randrange(len(p))
+        q = p[:i] + "d" + p[i:]
+        assert t.search(q, 1) == {0: min(names.edits(q, x, 1) for x in paths)}
+    words = "National University Hospital Medical Center of Public Health Research Institute for International Technology and General Medicine".split(" ")
+    c = canonical.Canonical([("L", " ".join(words), None)])
+    short = [canonical.OTHER_FORMS.get(w.lower(), [w])[0] for w in words]
+    for k in (1, 3, len(words)):
+        assert c.match(" ".join([*short[:k], *words[k:]]))[0] == "L" == c.match(" ".join([*words[:-k], *short[-k:]]))[0]
 
 
 def test_canonical_forms():
@@ -164,6 +185,32 @@ def test_map_values(spark):
     assert canonical.map_values(df.limit(0), "v", lst).count() == 0
 
 
+def test_short_names_match_exactly():
+    c = canonical.Canonical([("C", "CERN", "Switzerland"), ("N", "NIH", None)])
+    assert [c.match(x)[0] for x in ("CERN, Geneva, Switzerland", "NIH", "CERM, Geneva, Switzerland", "NI")] == ["C", "N", None, None]
+
+
+def test_blocks_decide_as_the_whole_list(spark):
+    """What is meant is decided over all blocks: equally near entries of different blocks, countries, acronyms and places behind."""
+    entries = [("X", "Bergen Clinic", None), ("Y", "Bergem Clinic", None), ("M1", "Manago General Hospital", "India"), ("M2", "Meyisho General Hospital", "Kenya"), ("P", "School of Health Ziroche", None), ("Q", "Mgh Institute", None)]
+    texts = ["Bergex Clinic", "Bergen Clinic", "MGH, Kenya", "MGH", "School of Health, Ziroche, Y", "nothing", None, "", "Mgh Institut", "MGH, Manago, Q"] * 2
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+    lst = spark.createDataFrame(entries, "node_id string, label string, country string")
+    whole = rows(canonical.map_values(df, "v", lst))
+    assert [r[2] for r in sorted(whole)[:9]] == ["unmatched", "X", "M2", "unmatched", "P", "unmatched", None, "unmatched", "Q"]
+    for block in (1, 2, 4):
+        assert rows(canonical.map_values(df, "v", lst, block=block, group=3)) == whole
+
+
+def test_forms_come_from_a_table(spark):
+    table = spark.createDataFrame([("form", "clinic", "klinik"), ("filler", "von", None), ("phrase", "bc", "bergen clinic"), ("country", "norge", "norway")], "kind string, word string, other string")
+    lang = canonical.Language.of(table)
+    c = canonical.Canonical([("X", "Bergen Clinic", "Norway"), ("Y", "Bergen Clinic", "Chad")], lang)
+    assert [c.match(t)[0] for t in ("Bergen Klinik, Norge", "BC, Chad", "von Bergen Clinic, Norway", "Bergen Clinic")] == ["X", "Y", "X", None]
+    with pytest.raises(ValueError, match="rows at most"):
+        canonical.Language.of(table, 2)
+
+
 # 4
 
 T = [datetime.datetime(2026, 1, d) for d in range(1, 9)]
