@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brambling.llm.cooccur import pair_counts
-from brambling.runtime import cut
+from brambling.runtime import attach, cut, discard, local
 
 # Particles that come and go before a surname.
 PARTICLES = frozenset("de del der den da dos du di la le van von bin al el".split())
@@ -110,9 +110,14 @@ class Matcher:
                 total += s
         if len(mate) < len(a):
             return 0.0
-        surname = next((i for s, i, j in sorted((-self.part(a[i], b[j]), i, j) for i, j in mate.items()) if a[i][-1] not in ".~" and b[mate[i]][-1] not in ".~"), None)
+        ranked = sorted((-self.part(a[i], b[j]), i, j) for i, j in mate.items())
+        surname = next((i for s, i, j in ranked if a[i][-1] not in ".~" and b[j][-1] not in ".~"), None)
         if surname is None:
-            return 0.0
+            # common parts tell a person together: one written alike, and another alike or a slip of one that is known
+            full = [(-s, i, j) for s, i, j in ranked if a[i][-1] != "." and b[j][-1] != "."]
+            if len(full) < 2 or full[0][0] < 1 or full[1][0] < 0.9 or (full[1][0] == 0.9 and a[full[1][1]][-1] == b[full[1][2]][-1] == "~"):
+                return 0.0
+            surname = full[0][1]
         if len(a) < len(b):
             # parts may be left out after the first given name only
             first_a, first_b = next(i for i in range(len(a)) if i != surname), next(j for j in range(len(b)) if j != mate[surname])
@@ -125,8 +130,9 @@ class Matcher:
     def same_person(self, a: tuple[str, ...], b: tuple[str, ...], least: float = 0.85) -> float:
         """Likeness where two names can mean one person, else 0.
 
-        Every part of the shorter name has its own counterpart, one of them a part written out and not common in both, with a
-        mean likeness of `least` or more. Parts only the longer name has come after the first given name. A part cut in two
+        Every part of the shorter name has its own counterpart, one of them a part written out and not common in both, or two of them
+        written out of which one is equal (a common surname and a given name; two known given names one edit apart are two names), with
+        a mean likeness of `least` or more. A common surname with an initial tells nobody apart. Parts only the longer name has come after the first given name. A part cut in two
         is taken as one. Names of a single part are like their equals only.
         """
         if len(a) > len(b):
@@ -215,7 +221,10 @@ def star_clusters(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) ->
         done = cut(top.select(F.col("c").alias("n"), F.lit(False).alias("sat")).unionByName(new.select(F.col("s").alias("n"), F.lit(True).alias("sat"))).distinct(), "settled")
         settled = done.where("sat") if settled is None else settled.unionByName(done.where("sat"))
         gone = done.select("n").distinct()
+        before = open_
         open_ = cut(open_.join(gone, open_["a"] == gone["n"], "left_anti").join(gone, F.col("b") == gone["n"], "left_anti"), "open")
+        if before is not full:
+            discard(before)
         if open_.isEmpty():
             break
     else:
@@ -226,11 +235,50 @@ def star_clusters(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) ->
     return nodes.join(mine, nodes["node"] == mine["b"], "left").select("node", F.coalesce("center", "node").alias("center"))
 
 
+def in_cells(forms: DataFrame, sizes: DataFrame, cell: int) -> DataFrame:
+    """`forms` (key, node, ...) with `cells` of its key (a cell for `cell` of its forms, from `sizes` (key, n)) and its own `c` of them."""
+    dealt = attach(forms, sizes.select("key", "n"), ["key"], "n", forms.count(), ["node"]).withColumn("cells", F.ceil(F.col("n") / cell).cast("int"))
+    return dealt.withColumn("c", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")).drop("n")
+
+
+def form_pairs(forms: DataFrame, sizes: DataFrame, near: DataFrame, cell: int = 256) -> DataFrame:
+    """(a, b, form_a, form_b) of all forms (key, node, form) of one key, a < b, and of all forms of two keys of `near` (key_a, key_b).
+
+    The forms of a key are dealt into cells and pairs of cells are rows of their own, so that no task holds more than two cells of one key at
+    once, however many forms it has.
+    """
+    dealt = cut(in_cells(forms.select("key", "node", "form"), sizes, cell), "dealt")
+    side = lambda s, *cols: dealt.select(*cols, F.col("node").alias(s), F.col("form").alias(f"form_{s}"))
+    every = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
+    within = side("a", "key", "c", every.alias("d")).join(side("b", "key", F.col("c").alias("d"), every.alias("c")), ["key", "c", "d"]).where("a < b")
+    cells = lambda s: sizes.select(F.col("key").alias(f"key_{s}"), F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / cell).cast("int") - 1)).alias(f"c_{s}"))
+    met = near.join(cells("a"), "key_a").join(cells("b"), "key_b")
+    across = met.join(side("a", F.col("key").alias("key_a"), F.col("c").alias("c_a")), ["key_a", "c_a"]).join(side("b", F.col("key").alias("key_b"), F.col("c").alias("c_b")), ["key_b", "c_b"])
+    return across.select("a", "b", "form_a", "form_b").unionByName(within.select("a", "b", "form_a", "form_b"))
+
+
+def common_parts(spelled: DataFrame, given_least: int = 5, surname_share: float = 0.001, surname_least: int = 40) -> DataFrame:
+    """Parts (t) too common to tell a person, from names of which the surname is known (name, parts, n_last).
+
+    A given name is a part that stands as one beside `given_least` different surnames or more and more often so than it stands
+    as a surname beside different given names; a surname that some use as a given name too stays telling however large the corpus. A
+    common surname is that of `surname_share` of all such spellings or more: names that share it alone would be compared with
+    so many others that the work grew with the square of the corpus. Below `surname_least` spellings that costs nothing and it
+    stays telling. Shares don't move with the size of the corpus.
+    """
+    two = spelled.where("n_last > 0 AND n_last < size(parts)").select(F.slice("parts", F.lit(1), F.col("n_last")).alias("last"), F.expr("slice(parts, n_last + 1, size(parts))").alias("fore")).distinct()
+    written = lambda c: F.filter(c, lambda t: ~t.endswith("."))
+    given = two.select(F.explode(written(F.col("fore"))).alias("t"), F.concat_ws(" ", "last").alias("o"), F.lit(1).alias("g"))
+    last = two.select(F.explode(written(F.col("last"))).alias("t"), F.concat_ws(" ", "fore").alias("o"), F.lit(0).alias("g"))
+    stands = given.unionByName(last).distinct().groupBy("t").agg(F.sum("g").alias("as_given"), F.count_if(F.col("g") == 0).alias("as_last"))
+    many = max(surname_least, int(surname_share * two.count()))
+    return stands.where(((F.col("as_given") >= given_least) & (F.col("as_given") > F.col("as_last"))) | (F.col("as_last") >= many)).select("t")
+
+
 def link_names(names: DataFrame, nicknames: DataFrame, q: int = 3, rows: int = 4, likeness: float = 0.42, recall: float = 0.99, max_nicknames: int = 200_000) -> DataFrame:
     """(name, cluster) for each different name of `names` (name) that isn't null or blank; `nicknames` (formal_name, nickname).
 
-    Names are taken as parts. A part is common if it is a given name of five or more surnames, a surname of very many given
-    names, or in `nicknames`. The key of a name is its parts written out that aren't common (all parts, where there is no
+    Names are taken as parts. A part is common as `common_parts` says or if it is in `nicknames`. The key of a name is its parts written out that aren't common (all parts, where there is no
     other). Keys meet in buckets of minima over their padded q-grams; the number of bands follows from the collision curve, so
     that keys of Jaccard `likeness` meet with chance `recall`. Names of equal or meeting keys are compared in full and form
     the graph that star clustering divides. `nicknames` goes to every task, so its size is checked.
@@ -249,13 +297,8 @@ def link_names(names: DataFrame, nicknames: DataFrame, q: int = 3, rows: int = 4
 
     spelled = names.select("name").where(F.col("name").rlike(r"\p{L}")).distinct()
     spelled = cut(spelled.withColumn("_t", F.pandas_udf(parse, "parts array<string>, n_last int")("name")).select("name", "_t.parts", "_t.n_last").where(F.size("parts") > 0), "spelled")
-    two = spelled.where("n_last > 0 AND n_last < size(parts)").select(F.slice("parts", F.lit(1), F.col("n_last")).alias("last"), F.expr("slice(parts, n_last + 1, size(parts))").alias("fore")).distinct()
-    written = lambda c: F.filter(c, lambda t: ~t.endswith("."))
-    as_given = two.select(F.explode(written(F.col("fore"))).alias("t"), F.concat_ws(" ", "last").alias("o")).distinct().groupBy("t").count().where("count >= 5").select("t")
-    many = max(40, int(0.0005 * spelled.count()))
-    as_last = two.select(F.explode(written(F.col("last"))).alias("t"), F.concat_ws(" ", "fore").alias("o")).distinct().groupBy("t").count().where(F.col("count") >= many).select("t")
-    listed = names.sparkSession.createDataFrame([(t,) for t in {"".join(tokens(x)) for p in pairs for x in p}] or [("",)], "t string")
-    common = cut(as_given.unionByName(as_last).unionByName(listed).distinct().withColumn("mark", F.lit("~")), "common")
+    listed = local(names.sparkSession, [(t,) for t in {"".join(tokens(x)) for p in pairs for x in p}], "t string")
+    common = cut(common_parts(spelled).unionByName(listed).distinct().withColumn("mark", F.lit("~")), "common")
     if common.count() <= 100_000:
         common = F.broadcast(common)
     forms = spelled.select("parts").distinct()
@@ -266,7 +309,7 @@ def link_names(names: DataFrame, nicknames: DataFrame, q: int = 3, rows: int = 4
     rank = (F.size(F.filter("form", lambda t: ~t.endswith("."))) > 1).cast("int")
     forms = cut(marked.withColumn("node", F.monotonically_increasing_id()).select("node", "parts", "form", key.alias("key"), rank.alias("rank")), "forms")
 
-    keys = cut(forms.select("key").distinct().withColumn("k", F.monotonically_increasing_id()), "keys")
+    keys = cut(forms.groupBy("key").agg(F.count("*").alias("n")).withColumn("k", F.monotonically_increasing_id()), "keys")
     bucketed = min_buckets(keys, "key", "bucket", q, rows, bands_for(likeness, rows, recall)).select("k", F.explode("bucket").alias("bucket"))
     met = pair_counts(bucketed, "bucket", "k", 64)
 
@@ -283,10 +326,7 @@ def link_names(names: DataFrame, nicknames: DataFrame, q: int = 3, rows: int = 4
     cut_in_two = lambda p, q: F.exists(parts(p), lambda x: F.exists(parts(p), lambda y: F.array_contains(parts(q), F.concat(x, y))))
     rough = F.exists(parts("key_a"), lambda x: F.exists(parts("key_b"), lambda y: F.levenshtein(x, y, 2) >= 0)) | cut_in_two("key_a", "key_b") | cut_in_two("key_b", "key_a")
     near = met.join(side("a"), "a").join(side("b"), "b").where(rough).where(F.pandas_udf(near_keys, "boolean")("key_a", "key_b")).select("key_a", "key_b")
-    left, right = (forms.select(F.col("key").alias(f"key_{s}"), F.col("node").alias(s), F.col("form").alias(f"form_{s}")) for s in "ab")
-    across = near.join(left, "key_a").join(right, "key_b")
-    within = left.join(right.withColumnRenamed("key_b", "key_a"), "key_a").where("a < b")
-    todo = across.select("a", "b", "form_a", "form_b").unionByName(within.select("a", "b", "form_a", "form_b"))
+    todo = form_pairs(forms, keys, cut(near, "near"))
 
     def compare(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         m = Matcher(shared.value)

@@ -32,6 +32,7 @@ def _spellings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """A row for each spelling with its class: what scales, where p2_found gives all pairs because its definition asks for them."""
     return names.link_names(_spellings(spark, sf), table(spark, sf, "name_nicknames"))
 
 
@@ -96,6 +97,7 @@ QUERIES = {
     "p1_found": p1_found,
     "p1_copies": p1_copies,
     "p2_found": p2_found,
+    "p2_clusters": p2_clusters,
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_by_votes": p4_by_votes,

@@ -81,6 +81,35 @@ def test_same_person():
     assert not any(m.same_person(t(a), t(b)) for a, b in no)
 
 
+def test_common_parts_tell_a_person_together():
+    """A common surname counts with a given name, also a misspelt one; two known given names, or an initial alone, tell two people apart or nobody."""
+    m = names.Matcher([("xiaoming", "ming")])
+    same = lambda a, b: m.same_person(tuple(a.split(" ")), tuple(b.split(" ")))
+    assert same("wang~ xiaoming~", "xiaoming~ wang~") and same("wang~ xiaoming~", "wang~ xiaomng") and same("wang~ xiaoming~", "wang~ ming~") and same("wang~ xiaoming~", "wnagu xiaoming~") == 0
+    assert same("wang~ xiaoming~", "wang~ xiaomin~") == 0 == same("wang~ xiaoming~", "wang~ x.") == same("wang~ xiaoming~", "wang~ bo~")
+
+
+def test_common_parts_by_shares(spark):
+    """The same parts are common in a corpus and in one eight times as large in which every name has its own namesakes."""
+    fore = [f"given{i}" for i in range(50)]
+    data = [(f"rare{i}", f) for i in range(60) for f in (fore[i % 50], fore[(i * 7) % 50])] + [("often", f) for f in fore] + [("both", f) for f in fore[:8]] + [(f"rare{i}", "both") for i in range(6)] + [("once", "once")]
+    for times in (1, 8):
+        spelled = [(f"{x}{k}", f) if x.startswith("rare") else (x, f"{f}{k}") for k in range(times) for x, f in data]
+        df = spark.createDataFrame([(f"{x}, {f}", [x, f], 1) for x, f in spelled] + [("x y", ["x", "y"], 0)], "name string, parts array<string>, n_last int")
+        got = {r["t"] for r in names.common_parts(df, surname_share=0.05, surname_least=20).collect()}
+        assert got >= {"often", "given7"} and not got & {"both", "once", "x", "rare1"}
+
+
+def test_form_pairs_of_a_hot_key(spark):
+    """All pairs of a key's forms and of two near keys' forms, once each, whatever the cells."""
+    forms = spark.range(700).select(F.when(F.col("id") < 400, "hot").when(F.col("id") < 500, "near").otherwise(F.concat(F.lit("k"), "id")).alias("key"), F.col("id").alias("node"), F.array(F.col("id").cast("string")).alias("form"))
+    sizes = forms.groupBy("key").agg(F.count("*").alias("n"))
+    near = spark.createDataFrame([("hot", "near")], "key_a string, key_b string")
+    for cell in (64, 10_000):
+        got = names.form_pairs(forms, sizes, near, cell).select("a", "b")
+        assert got.count() == got.distinct().count() == 400 * 399 // 2 + 100 * 99 // 2 + 400 * 100
+
+
 @given(st.text("abc", max_size=7), st.text("abc", max_size=7))
 @settings(max_examples=200, deadline=None)
 def test_edits_against_full_table(a, b):
