@@ -92,7 +92,7 @@ def test_common_parts_tell_a_person_together():
 def test_common_parts_by_shares(spark):
     """The same parts are common in a corpus and in one eight times as large in which every name has its own namesakes."""
     fore = [f"given{i}" for i in range(50)]
-    data = [(f"rare{i}", f) for i in range(60) for f in (fore[i % 50], fore[(i * 7) % 50])] + [("often", f) for f in fore] + [("both", f) for f in fore[:8]] + [(f"rare{i}", "both") for i in range(6)] + [("once", "once")]
+    data = [(f"rare{i}", f) for i in range(60) for f in (fore[i % 9], fore[i % 7])] + [("often", f) for f in fore] + [("both", f) for f in fore[:8]] + [(f"rare{i}", "both") for i in range(6)] + [("once", "once")]
     for times in (1, 8):
         spelled = [(f"{x}{k}", f) if x.startswith("rare") else (x, f"{f}{k}") for k in range(times) for x, f in data]
         df = spark.createDataFrame([(f"{x}, {f}", [x, f], 1) for x, f in spelled] + [("x y", ["x", "y"], 0)], "name string, parts array<string>, n_last int")
