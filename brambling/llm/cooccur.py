@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from brambling.runtime import attach, cut
 
+MAX_BROADCAST = 200_000
+
 
 def pair_counts(baskets: DataFrame, basket: str, item: str, chunk: int = 64) -> DataFrame:
     """(a, b, n): number of different baskets that hold both items, a < b. `item` holds bigints; (basket, item) is distinct.
@@ -17,7 +19,7 @@ def pair_counts(baskets: DataFrame, basket: str, item: str, chunk: int = 64) ->
     x = baskets.select(F.col(basket).alias("u"), F.col(item).alias("i"))
     sizes = x.groupBy("u").agg(F.count("*").alias("size"))
     parts = F.ceil(F.col("size") / chunk).cast("int")
-    dealt = attach(x, sizes.where("size > 1"), ["u"], "size", x.count()).withColumn("parts", parts).withColumn("c", F.pmod(F.xxhash64("i"), F.col("parts")).cast("int"))
+    dealt = attach(x, sizes.where("size > 1"), ["u"], "size", x.count(), ["i"]).withColumn("parts", parts).withColumn("c", F.pmod(F.xxhash64("i"), F.col("parts")).cast("int"))
     chunks = dealt.groupBy("u", "parts", "c").agg(F.sort_array(F.collect_list("i")).alias("items"))
     within = chunks.select(F.explode(F.flatten(F.transform("items", lambda p, k: F.transform(F.slice("items", k + 2, F.size("items")), lambda q: F.struct(p.alias("a"), q.alias("b")))))).alias("p"))
     large = chunks.where("parts > 1")
@@ -39,10 +41,17 @@ def associations(df: DataFrame, basket: str, item: str, least: int = 5, lift: fl
     x = cut(src.where("item IS NOT NULL").distinct(), "baskets")
     counted = x.groupBy("item").agg(F.count("*").alias("n")).where((F.col("n") >= least) & (F.col("n") * lift <= n_all))
     items = cut(counted.withColumn("i", F.monotonically_increasing_id()), "items")
-    coded = cut(attach(x, items, ["item"], "n", x.count()).select("u", "i"), "coded")
+    coded = cut(attach(x, items, ["item"], "n", x.count(), ["u"]).select("u", "i"), "coded")
     pairs = pair_counts(coded, "u", "i", chunk).where(F.col("n") >= least).withColumnRenamed("n", "n_ab")
     side = lambda s: items.select(F.col("i").alias(s), F.col("item").alias(f"item_{s}"), F.col("n").alias(f"n_{s}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(F.col("n_ab").cast("double") * n_all >= F.lit(lift) * F.col("n_a") * F.col("n_b"))
+    if items.count() <= MAX_BROADCAST:
+        both = pairs.join(F.broadcast(side("a")), "a").join(F.broadcast(side("b")), "b")
+    else:
+        both = cut(pairs, "pairs")
+        total = both.count()
+        for s in "ab":  # an item may have partners without bound
+            both = attach(both, side(s).join(both.groupBy(s).agg(F.count("*").alias(f"partners_{s}")), s), [s], f"partners_{s}", total, ["a", "b"])
+    both = both.where(F.col("n_ab").cast("double") * n_all >= F.lit(lift) * F.col("n_a") * F.col("n_b"))
     turn = F.col("item_a") > F.col("item_b")
     return both.select(
         F.least("item_a", "item_b").alias("item_a"),

@@ -75,5 +75,5 @@ def formatting_copies(df: DataFrame, id_col: str, fields: list[str], unordered:
     rows = cut(with_root(df.where(F.col(id_col).isNotNull()), id_col, fields, unordered).where("root IS NOT NULL"), "merkle")
     grouped = rows.groupBy("root", "canon").agg(F.min("id").alias("first_id"), F.count("*").alias("n_copies"))
     several = grouped.where("n_copies > 1")
-    members = attach(rows, several, ["root", "canon"], "n_copies", rows.count()).where("id <> first_id").select("first_id", F.col("id").alias("copy_id")).distinct()
+    members = attach(rows, several, ["root", "canon"], "n_copies", rows.count(), ["id"]).where("id <> first_id").select("first_id", F.col("id").alias("copy_id")).distinct()
     return grouped.select("first_id", "n_copies"), members

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brambling.llm.bpe import TOKENIZER_DIR, with_ids
-from brambling.runtime import cut
+from brambling.runtime import attach, cut
 
 BUCKETS = 4096
 
@@ -30,11 +30,11 @@ def mixture(documents: DataFrame, targets: DataFrame, total: float | None = None
     goal = targets.where("source IS NOT NULL").groupBy("source").agg(F.max(F.coalesce("target_share", F.lit(0.0))).alias("target_share"), F.max(F.coalesce("max_repeats", F.lit(0))).alias("max_repeats"))
     wanted = documents.select("doc_id", "text", "source").where("source IS NOT NULL AND doc_id IS NOT NULL").join(goal.select("source"), "source", "left_semi")
     sized = cut(with_ids(wanted, "text", tokenizer_dir=tokenizer_dir).select("doc_id", "source", F.md5("text").alias("h"), F.size("ids").alias("n_tokens")).where("n_tokens > 0"), "sized")
-    copies_of = sized.groupBy("source", "h").agg(F.count("*").alias("k"))
-    # a text's k copies together weigh as one; k is attached to the repeated texts only
-    repeated = copies_of.where("k > 1")
-    w = sized.join(repeated, ["source", "h"], "left").select("doc_id", "source", "n_tokens", (1.0 / F.coalesce("k", F.lit(1))).alias("w"))
-    w = cut(w, "weighed")
+    # a text's k copies together weigh as one; k is attached to the repeated texts only, and a text repeated very often is spread
+    repeated = cut(sized.groupBy("source", "h").agg(F.count("*").alias("k")).where("k > 1"), "repeated")
+    many = attach(sized, repeated, ["source", "h"], "k", sized.count(), ["doc_id"]).select("doc_id", "source", "n_tokens", (1.0 / F.col("k")).alias("w"))
+    once = sized.groupBy("source", "h").agg(F.min(F.struct("doc_id", "n_tokens")).alias("d"), F.count("*").alias("k")).where("k = 1").select("d.doc_id", "source", "d.n_tokens", F.lit(1.0).alias("w"))
+    w = cut(many.unionByName(once), "weighed")
     stats = w.groupBy("source").agg(F.sum(F.col("w") * F.col("n_tokens")).alias("mass"), F.sum("n_tokens").cast("bigint").alias("available_tokens"), F.count("*").alias("n_docs"), F.max("w").alias("top"))
     per = goal.join(stats, "source").where("target_share > 0 AND max_repeats > 0")
     norm = per.agg(F.sum("target_share")).first()[0] or 1.0

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brambling.operators.components import components
-from brambling.runtime import attach, cut
+from brambling.runtime import attach, cut, discard
+
+MAX_BROADCAST = 100_000
 
 
 @dataclass
@@ -31,7 +33,7 @@ def _linked(rows: DataFrame, keys: int) -> DataFrame:
     edges = rows.select(F.explode(F.array(*[F.struct(F.col("node").alias("u"), k.alias("v")) for k in ks])).alias("e")).select("e.*")
     sizes = rows.groupBy("node").agg(F.count("*").alias("n"))
     small = sizes.join(components(edges).withColumnRenamed("component", "group"), "node")
-    return cut(attach(rows, small, ["node"], "n", rows.count()).drop("node", "n", *[f"k{i}" for i in range(keys)]), "linked")
+    return cut(attach(rows, small, ["node"], "n", rows.count(), ["id"]).drop("node", "n", *[f"k{i}" for i in range(keys)]), "linked")
 
 
 def discover(claims: DataFrame, max_rounds: int = 100, tolerance: float = 0.01) -> tuple[DataFrame, DataFrame]:
@@ -43,19 +45,23 @@ def discover(claims: DataFrame, max_rounds: int = 100, tolerance: float = 0.01)
     Null sources count as one source. Ties of votes go to the greater value.
     """
     c = claims.withColumn("source", F.coalesce(F.col("source").cast("string"), F.lit("")))
-    trust = c.groupBy("source").agg(F.lit(1.0).alias("w"))
+    trust = cut(c.groupBy("source").agg(F.lit(1.0).alias("w")), "trust")
+    # of few sources each may have made a third of all claims: their list is broadcast; many are joined, and adaptive execution splits the frequent ones
+    few = trust.count() <= MAX_BROADCAST
+    side = lambda t: F.broadcast(t) if few else t
     for _ in range(max_rounds):
-        votes = c.join(trust, "source").groupBy("group", "field", "value").agg(F.sum(F.col("n") * F.col("w")).alias("vote"))
+        votes = c.join(side(trust), "source").groupBy("group", "field", "value").agg(F.sum(F.col("n") * F.col("w")).alias("vote"))
         best = votes.groupBy("group", "field").agg(F.max_by("value", F.struct("vote", "value")).alias("truth"))
         err = c.join(best, ["group", "field"]).groupBy("source").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("value") != F.col("truth"), F.col("n")).otherwise(0)).alias("wrong"))
         new = cut(err.select("source", F.round(-F.log((F.col("wrong") + 1) / (F.col("n") + 2)), 9).alias("w")), "trust")
         moved = new.join(trust.withColumnRenamed("w", "w0"), "source").agg(F.max(F.abs(F.col("w") - F.col("w0")))).first()[0]
+        discard(trust)
         trust = new
         if moved is None or moved < tolerance:
             break
     else:
         warnings.warn(f"reliabilities still moved after {max_rounds} rounds", stacklevel=2)
-    return c.join(trust, "source").groupBy("group", "field", "value").agg(F.sum(F.col("n") * F.col("w")).alias("vote")), trust
+    return c.join(side(trust), "source").groupBy("group", "field", "value").agg(F.sum(F.col("n") * F.col("w")).alias("vote")), trust
 
 
 def representatives(df: DataFrame, id_col: str, keys: dict[str, Column], source: Column, latest: Column, fields: list[Field], least: int = 2) -> DataFrame:
