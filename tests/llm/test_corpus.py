@@ -143,6 +143,26 @@ def test_sentences():
     assert subjects.sentences(" \n") == []
 
 
+def test_sums_are_added_in_levels(spark):
+    """More tasks than fit one group: the sum is that of all, and no group holds more than `fan` sums."""
+    assert [subjects.levels(n, 4) for n in (1, 4, 5, 16, 17, 64, 65)] == [1, 1, 2, 2, 3, 3, 4]
+    ids = ["array(0, 1, 1) AS ids", "array(0, 1) AS terms", "array(1, 2) AS counts"]
+    docs = spark.range(0, 40, 1, 23).selectExpr("id AS doc_id", "0 AS lang", "CAST(array() AS array<int>) AS labels", "array(3) AS lens", *ids)
+    got = subjects._gather(docs, lambda b, s: {"n": (3, b.uterm[:2], np.tile([[1.0, s]], (2, 1)) * b.n_docs), "all": np.ones((1, 1)) * b.n_sents}, 0.5, block=2, fan=4)
+    assert got["n"].tolist() == [[40.0, 20.0], [40.0, 20.0], [0.0, 0.0]] and got["all"].tolist() == [[40.0]]
+
+
+def test_sum_runs_against_loop():
+    rng = np.random.default_rng(1)
+    rows, lens = rng.random((50, 3)), np.array([0, 1, 5, 900, 0, 257, 256, 2])
+    index, weight = rng.integers(0, 50, lens.sum()), rng.random(lens.sum())
+    ends = np.cumsum(lens)
+    for w in (None, weight):
+        want = [sum((rows[index[k]] * (1 if w is None else w[k]) for k in range(e - n, e)), np.zeros(3)) for n, e in zip(lens, ends, strict=True)]
+        assert np.allclose(subjects._sum_runs(rows, index, lens, w), want)
+    assert subjects._sum_runs(rows, index[:0], lens[:0]).shape == (0, 3)
+
+
 def test_sum_rows_against_loop():
     rng = np.random.default_rng(1)
     v, k = rng.random((50, 3)), rng.integers(0, 7, 50)
