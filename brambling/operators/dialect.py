@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -63,21 +65,33 @@ class Parser:
     """Parses fields by code lengths in bits: `ends` and `inner` give those of known last and other components; any other
     component is spelled out. A value without a known last component costs OPEN_END on top."""
 
-    def __init__(self, ends: dict[str, float], inner: dict[str, float], look_back: int = 64) -> None:
-        self.ends, self.inner, self.look_back = ends, inner, look_back
+    def __init__(self, ends: dict[str, float], inner: dict[str, float]) -> None:
+        # in whole parts of 2^-20 bits sums are exact, whatever their order
+        exact = lambda d: {k: round(v * 2**20) / 2**20 for k, v in d.items()}
+        self.ends, self.inner = exact(ends), exact(inner)
+
+    def _inner(self, component: str) -> float:
+        v = value_of(_MARK.sub("", component.lstrip(_ENDS + '"')))
+        return min(self.inner.get(v, math.inf), NOVEL + PER_CHAR * len(v))
+
+    def _last(self, component: str) -> float:
+        v = value_of(component)
+        known = self.ends.get(v)
+        return known if known is not None else NOVEL + PER_CHAR * len(v) + OPEN_END
 
     def length(self, segment: str) -> float:
         *first, last = segment.split(",")
-        bits = 0.0
-        for x in first:
-            v = value_of(_MARK.sub("", x.lstrip(_ENDS + '"')))
-            bits += min(self.inner.get(v, math.inf), NOVEL + PER_CHAR * len(v))
-        v = value_of(last)
-        known = self.ends.get(v) if first else None
-        return bits + (known if known is not None else NOVEL + PER_CHAR * len(v) + OPEN_END)
+        if not first:
+            return NOVEL + PER_CHAR * len(value_of(last)) + OPEN_END
+        return sum(map(self._inner, first)) + self._last(last)
 
     def _parse(self, text: str, quoted: bool) -> tuple[float, list[str], frozenset[str]]:
-        """The cheapest division at the delimiters of `text` (outside quotes, where `quoted`), by dynamic programming."""
+        """The cheapest division at the delimiters of `text` (outside quotes, where `quoted`), by dynamic programming over all of them.
+
+        The length of a segment is that of its first component, of the whole ones between its commas, which are added up beforehand, and of
+        its last one. For one end the search goes back as long as the whole components alone don't cost more than the best division
+        found; what lies before can't be cheaper.
+        """
         cuts: list[tuple[int, int, str]] = [(0, 0, "")]
         inside = False
         at = 0
@@ -90,9 +104,33 @@ class Parser:
             if 0 < m.start() and m.end() < len(text):
                 cuts.append((m.start(), m.end(), m.lastgroup or ""))
         cuts.append((len(text), len(text), ""))
+        commas = [k for k, c in enumerate(text) if c == ","]
+        whole = [0.0]  # of the components before each comma but the first
+        for x, y in zip(commas, commas[1:], strict=False):
+            whole.append(whole[-1] + self._inner(text[x + 1 : y]))
+        after = [bisect_left(commas, c[1]) for c in cuts]  # first comma behind a cut
+        first = [self._inner(text[c[1] : commas[k]]) if k < len(commas) else 0.0 for c, k in zip(cuts, after, strict=True)]
+        # signs that a value certainly keeps, up to each place; of blanks one in a row, but for those at its ends
+        plain = [0, *accumulate((c not in '.;"') if not c.isspace() else not b.isspace() for b, c in zip(" " + text, text, strict=False))] if len(commas) < len(cuts) else [0] * (len(text) + 1)
         best: list[tuple[float, int]] = [(0.0, -1)]
         for j in range(1, len(cuts)):
-            best.append(min((best[i][0] + self.length(text[cuts[i][1] : cuts[j][0]]) + (PER_CUT if i else 0.0), i) for i in range(max(0, j - self.look_back), j)))
+            end = cuts[j][0]
+            n = bisect_left(commas, end)
+            last = self._last(text[commas[n - 1] + 1 : end]) if n else 0.0
+            found = (math.inf, -1)
+            for i in (0, *range(j - 1, 0, -1)):
+                k = after[i]
+                if k < n:
+                    between = whole[n - 1] - whole[k] + last
+                    if i and between > found[0]:
+                        break
+                    bits = first[i] + between
+                elif best[i][0] + NOVEL + OPEN_END + PER_CHAR * (plain[end] - plain[cuts[i][1]] - 2) > found[0]:
+                    continue
+                else:
+                    bits = self.length(text[cuts[i][1] : end])
+                found = min(found, (best[i][0] + bits + (PER_CUT if i else 0.0), i))
+            best.append(found)
         parts, kinds, j = [], set(), len(cuts) - 1
         while j > 0:
             i = best[j][1]

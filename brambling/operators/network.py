@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brambling.runtime import attach, cut
+from brambling.runtime import attach, cut, discard
 
 ALL = "ALL"
 
@@ -94,13 +94,35 @@ def spring(names: list[str], pairs: list[tuple[str, str, float]], rounds: int =
     return {v: (round(float(x), 6), round(float(y), 6)) for v, (x, y) in zip(names, pos, strict=True)}
 
 
-def layout(kept: DataFrame, e: DataFrame, max_nodes: int = 5_000) -> DataFrame:
-    """(node_id, x, y) of the nodes of `kept`, placed by the `ALL` edges among them. The layout looks at all nodes at once, in one
-    task; `kept` is therefore checked against `max_nodes` (cap the nodes first)."""
+def layout(kept: DataFrame, e: DataFrame, max_nodes: int = 5_000, rounds: int = 3) -> DataFrame:
+    """(node_id, x, y) of the nodes of `kept`, placed by the `ALL` edges among them.
+
+    Up to `max_nodes` nodes are placed by springs, which look at all of them at once, in one task. Of more, those of highest weighted degree
+    (ties by id) are; the others follow from them, all tasks taking part: each goes to the mean of its placed neighbours by
+    weight, in up to `rounds` rounds, a little aside by a hash of its id; what no path of that length ties to a placed node lies where the
+    hash says. All places are in [0, 1].
+    """
     ids = cut(kept.select("node_id"), "kept")
-    if (n := ids.count()) > max_nodes:
-        raise ValueError(f"{n} nodes; a layout takes {max_nodes} at most")
-    inside = e.where(F.col("layer") == ALL).join(F.broadcast(ids.select(F.col("node_id").alias("source"))), "source").join(F.broadcast(ids.select(F.col("node_id").alias("target"))), "target")
+    every = e.where(F.col("layer") == ALL).join(ids.select(F.col("node_id").alias("source")), "source", "left_semi").join(ids.select(F.col("node_id").alias("target")), "target", "left_semi")
+    if ids.count() <= max_nodes:
+        return _springs(ids, every)
+    ends = cut(both_ends(every), "ends")
+    weights = ids.join(ends.groupBy("node_id").agg(F.sum("weight").alias("w")), "node_id", "left")
+    core = cut(weights.orderBy(F.desc_nulls_last("w"), "node_id").limit(max_nodes).select("node_id"), "core")
+    sides = [core.select(F.col("node_id").alias(c)) for c in ("source", "target")]
+    placed = cut(_springs(core, every.join(F.broadcast(sides[0]), "source", "left_semi").join(F.broadcast(sides[1]), "target", "left_semi")), "placed")
+    spot = lambda salt: F.pmod(F.xxhash64(F.lit(salt), "node_id"), F.lit(2**20)) / F.lit(float(2**20))
+    for _ in range(rounds):
+        open_ = ends.join(placed.select("node_id"), "node_id", "left_anti").join(placed.select(F.col("node_id").alias("other"), "x", "y"), "other")
+        mean = open_.groupBy("node_id").agg(*[(F.sum(F.col(c) * F.col("weight")) / F.sum("weight")).alias(c) for c in "xy"])
+        aside = lambda c: F.round(0.98 * F.col(c) + 0.02 * spot(c), 6).alias(c)
+        before, placed = placed, cut(placed.unionByName(mean.select("node_id", aside("x"), aside("y"))), "placed")
+        discard(before)
+    rest = ids.join(placed.select("node_id"), "node_id", "left_anti").select("node_id", *[F.round(spot(c), 6).alias(c) for c in "xy"])
+    return placed.unionByName(rest)
+
+
+def _springs(ids: DataFrame, inside: DataFrame) -> DataFrame:
     rows = ids.select(F.lit(0).alias("one"), F.col("node_id").alias("a"), F.lit(None).cast("string").alias("b"), F.lit(0.0).alias("w"))
     rows = rows.unionByName(inside.select(F.lit(0).alias("one"), F.col("source").alias("a"), F.col("target").alias("b"), F.col("weight").cast("double").alias("w")))
 

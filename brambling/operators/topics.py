@@ -7,7 +7,8 @@ import warnings
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, CountVectorizer, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, Normalizer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,30 +34,51 @@ def top_terms(weights: DataFrame, group: str, k: int = 8, in_label: int = 4) ->
 
 
 def topic_count(n: int, min_docs: int, docs_per_topic: int) -> int:
-    """Topics of a domain of n texts: one for `docs_per_topic` texts, or sqrt(n / 2) where that is less."""
-    return 1 if n < max(min_docs, 2) else max(1, min(n // docs_per_topic, round((n / 2) ** 0.5)))
+    """Topics of a domain of n texts: one up to `min_docs` texts; beyond, one for `docs_per_topic` texts or sqrt(n / 2) where that is less, and two at least."""
+    return 1 if n <= max(min_docs, 1) else max(2, min(n // docs_per_topic, round((n / 2) ** 0.5)))
+
+
+def text_vectors(texts: DataFrame, key: str, text: str, domain: str) -> DataFrame:
+    """(key, domain, v) of unit length: TF-IDF over every term of all texts, numbered in their order; the driver holds the vocabulary. Null texts
+    count as empty. Where no text has a word there is no row."""
+    t = texts.select(key, F.col(domain).alias("domain"), F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")).alias("tokens")).where(F.col("domain").isNotNull())
+    t = cut(t, "tokens")
+    terms = [r[0] for r in t.select(F.explode("tokens").alias("term")).distinct().orderBy("term").collect()]
+    if not terms:
+        return t.select(key, "domain", array_to_vector(F.array().cast("array<double>")).alias("v")).limit(0)
+    vec = CountVectorizerModel.from_vocabulary(terms, inputCol="tokens", outputCol="tf").transform(t)
+    vec = IDF(inputCol="tf", outputCol="tfidf").fit(vec).transform(vec)
+    return cut(Normalizer(inputCol="tfidf", outputCol="v").transform(vec).select(key, "domain", "v"), "vectors")
+
+
+def given_vectors(df: DataFrame, key: str, vector: str, domain: str) -> DataFrame:
+    """(key, domain, v) of unit length from a column of numbers, such as embeddings; rows without domain, vector or a number in it are left out."""
+    whole = F.col(domain).isNotNull() & F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x))
+    d = df.where(whole).select(key, F.col(domain).cast("string").alias("domain"), array_to_vector(F.transform(vector, lambda x: x.cast("double"))).alias("raw"))
+    return cut(Normalizer(inputCol="raw", outputCol="v").transform(d).select(key, "domain", "v"), "vectors")
 
 
 def cluster(texts: DataFrame, key: str, text: str, domain: str, min_docs: int = 3, docs_per_topic: int = 25, seed: int = 5, max_iter: int = 100) -> DataFrame:
-    """(key, domain, topic_id, features): k-means on TF-IDF within each domain, k by its size; topics are numbered by size, largest
-    first (topic_count). A domain of fewer than `min_docs` texts gets one topic. There are few domains; each is a distributed fit. Every
-    term is a feature; the driver holds the vocabulary, and the centers of a fit are dense, topics by terms.
+    """Topics of texts: cluster_vectors on their TF-IDF."""
+    return cluster_vectors(text_vectors(texts, key, text, domain), key, min_docs, docs_per_topic, seed, max_iter)
+
+
+def cluster_vectors(vec: DataFrame, key: str, min_docs: int = 3, docs_per_topic: int = 25, seed: int = 5, max_iter: int = 100, per_partition: int = 20_000) -> DataFrame:
+    """(key, domain, topic_id, features) from (key, domain, v): k-means within each domain, k by its size; topics are numbered by size, largest
+    first (topic_count). A domain of up to `min_docs` rows gets one topic. There are few domains; each is a distributed fit, and the
+    centers of a fit are dense, topics by terms.
 
-    `features` is sparse (indices, values). Null texts count as empty. Where no text has a word there is no row. A fit goes on until its centers no longer move by k-means' tolerance; where `max_iter` ends it before, there is a warning. Fits are seeded and read rows sorted by key, so that a rerun gives the same clusters.
+    `features` is sparse (indices, values). A fit goes on until its centers no longer move by k-means' tolerance; where `max_iter` ends it
+    before, there is a warning. Fits are seeded and read rows in partitions of about `per_partition` by key, so that a rerun gives the same clusters. No
+    rows give no rows.
     """
-    t = texts.select(key, F.col(domain).alias("domain"), F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")).alias("tokens")).where(F.col("domain").isNotNull())
-    t = cut(t.orderBy(key), "tokens")
-    if t.where("size(tokens) > 0").isEmpty():
-        return t.select(key, "domain", F.lit("").alias("topic_id"), F.struct(F.array().cast("array<int>").alias("indices"), F.array().cast("array<double>").alias("values")).alias("features"))
-    terms = t.select(F.explode("tokens").alias("term")).agg(F.count_distinct("term")).first()[0]
-    vec = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=terms, minDF=1).fit(t).transform(t)
-    vec = IDF(inputCol="tf", outputCol="tfidf").fit(vec).transform(vec)
-    vec = cut(Normalizer(inputCol="tfidf", outputCol="v").transform(vec).select(key, "domain", "v"), "vectors")
     parts = []
     for d, n in [(r["domain"], r["count"]) for r in vec.groupBy("domain").count().orderBy("domain").collect()]:
         one = vec.where(F.col("domain") == d)
         k = topic_count(n, min_docs, docs_per_topic)
         if k > 1:
+            # the same rows in the same partitions in the same order, however the files lie
+            one = one.repartition(-(-n // per_partition), key).sortWithinPartitions(key)
             model = KMeans(featuresCol="v", predictionCol="c", k=k, seed=seed, maxIter=max_iter).fit(one)
             if model.summary.numIter >= max_iter:
                 warnings.warn(f"topics of {d}: the centers still moved after {max_iter} iterations", stacklevel=2)
@@ -64,13 +86,16 @@ def cluster(texts: DataFrame, key: str, text: str, domain: str, min_docs: int =
         else:
             one = one.withColumn("c", F.lit(0))
         parts.append(one)
-    out = parts[0]
+    out = parts[0] if parts else vec.withColumn("c", F.lit(0))
     for p in parts[1:]:
         out = out.unionByName(p)
-    out = cut(out.select(key, "domain", "c", F.unwrap_udt("v").alias("v")).select(key, "domain", "c", F.struct("v.indices", "v.values").alias("features")), "clusters")
+    raw = out.select(key, "domain", "c", F.unwrap_udt("v").alias("v"))
+    # a dense vector (type 1) has values only
+    places = F.when(F.col("v.type") == 1, F.transform("v.values", lambda x, i: i)).otherwise(F.col("v.indices"))
+    out = cut(raw.select(key, "domain", "c", F.struct(places.alias("indices"), F.col("v.values").alias("values")).alias("features")), "clusters")
     sizes = out.groupBy("domain", "c").agg(F.count("*").alias("n"))
-    number = sizes.withColumn("k", F.row_number().over(Window.partitionBy("domain").orderBy(F.desc("n"), "c"))).drop("n")
-    return out.join(number, ["domain", "c"]).select(key, "domain", F.concat("domain", F.lit("_t"), F.col("k").cast("string")).alias("topic_id"), "features")
+    number = sizes.select("domain", "c", F.row_number().over(Window.partitionBy("domain").orderBy(F.desc("n"), "c")).alias("_no"))
+    return out.join(F.broadcast(number) if number.count() <= 100_000 else number, ["domain", "c"]).select(key, "domain", F.concat("domain", F.lit("_t"), F.col("_no").cast("string")).alias("topic_id"), "features")
 
 
 def anchors(n: int) -> tuple[np.ndarray, float]:

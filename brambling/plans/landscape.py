@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brambling.functions.text import author_key, norm_title, tokens
 from brambling.operators import classify, network, records, screen, topics
+from brambling.plans import pipeline
 from brambling.runtime import attach, cut, local, table
 from brambling.sources import sinks, vocab
 from brambling.streaming import windows
@@ -95,11 +98,16 @@ def screen_partition_check(spark: SparkSession, sf: str) -> DataFrame:
     return screen.partition_check(_screened(spark, sf), "rid")
 
 
-def decision_overlay(spark: SparkSession, sf: str) -> DataFrame:
+def _decided(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     lang = F.lower(F.trim("lang"))
     rules = [screen.Rule("LANG", "excluded", lang != "en"), screen.Rule("NOLANG", "uncertain", F.col("lang").isNull()), screen.Rule("EMPTY", "uncertain", F.coalesce(F.length(F.trim("text")), F.lit(0)) == 0)]
     s = screen.screen(table(spark, sf, "documents"), rules)
-    d = table(spark, sf, "subject_examples").select("doc_id", F.when(F.col("labelled_by") == "user", "include").otherwise("exclude").alias("decision"), F.col("subject_id").alias("rule_id"))
+    d = table(spark, sf, "subject_examples").select("doc_id", F.when(F.col("labelled_by") == "user", "include").otherwise("exclude").alias("decision"), F.col("subject_id").alias("rule_id"), F.col("subject_id").alias("reason"))
+    return s, d
+
+
+def decision_overlay(spark: SparkSession, sf: str) -> DataFrame:
+    s, d = _decided(spark, sf)
     return screen.overlay(s, d, "doc_id", "rule_id").select("doc_id", "verdict", "rule_id", F.col("decided").cast("int").alias("decided"))
 
 
@@ -179,41 +187,81 @@ def summary_subdomain_year(spark: SparkSession, sf: str) -> DataFrame:
     return s.groupBy("domain_id", F.coalesce("subdomain", F.lit(classify.OTHER)).alias("subdomain_label"), "year").agg(F.count("*").alias("publications"))
 
 
-# star schema
+# publications from articles, by the functions of the pipeline
 
 
-def _institutions(spark: SparkSession, sf: str) -> DataFrame:
-    b = table(spark, sf, "publication_authors").where("uid IS NOT NULL AND institution_id IS NOT NULL").select("uid", "institution_id").distinct()
-    n = table(spark, sf, "network_institution_nodes").select(F.col("node_id").alias("institution_id"), "country", "region", "sector", "iso3", "is_singapore")
-    return b.join(n, "institution_id", "left")
+def _vocabularies(spark: SparkSession, sf: str) -> pipeline.Vocabularies:
+    """The library's vocabularies with the institutions of the stored list, each its own alias."""
+    n = table(spark, sf, "network_institution_nodes").where("label IS NOT NULL")
+    return dataclasses.replace(pipeline.Vocabularies.default(spark), institutions=n.select(F.col("label").alias("alias"), "label", "country", "region", "sector"))
+
+
+OPTIONS = pipeline.Options(dialects=False)
+
+
+def _included(spark: SparkSession, sf: str) -> DataFrame:
+    """Every article as a publication of its own."""
+    return _articles(spark, sf).withColumns({"uid": F.col("rid").cast("string"), "seq": F.col("rid"), "provenance": F.array("query_id")})
+
+
+def _affiliations(spark: SparkSession, sf: str) -> DataFrame:
+    return cut(pipeline.author_affiliations(_included(spark, sf), _vocabularies(spark, sf), OPTIONS.dialects), "affiliations")
+
+
+def author_affiliations(spark: SparkSession, sf: str) -> DataFrame:
+    return _affiliations(spark, sf)
+
+
+def publication_authors(spark: SparkSession, sf: str) -> DataFrame:
+    return pipeline.publication_authors(_affiliations(spark, sf))
 
 
 def publication_institutions(spark: SparkSession, sf: str) -> DataFrame:
-    return _institutions(spark, sf)
+    return pipeline.publication_institutions(_affiliations(spark, sf))
 
 
 def publication_countries(spark: SparkSession, sf: str) -> DataFrame:
-    return _institutions(spark, sf).where("country IS NOT NULL").select("uid", "country", "region", "iso3").distinct()
+    return pipeline.publication_countries(_affiliations(spark, sf))
+
 
+def led_and_international(spark: SparkSession, sf: str) -> DataFrame:
+    """First or last author at the place; two countries or more."""
+    led = pipeline.leadership(_affiliations(spark, sf), OPTIONS)
+    return led.select("uid", F.col("singapore_led").cast("int").alias("led"), (F.col("n_countries") > 1).cast("int").alias("international"), "n_authors")
 
-def _countries_of(spark: SparkSession, sf: str) -> DataFrame:
-    return publication_countries(spark, sf).groupBy("uid").agg(F.count_distinct("country").alias("n_countries"))
 
+def _facts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    included, v = _included(spark, sf), _vocabularies(spark, sf)
+    dom = pipeline.domain_labels(included, v, OPTIONS)
+    sub = pipeline.subdomain_labels(included, dom, v, OPTIONS)[1]
+    return dom, cut(pipeline.publication_facts(included, dom, sub, _affiliations(spark, sf), OPTIONS), "facts")
 
-def summary_domain_year(spark: SparkSession, sf: str) -> DataFrame:
-    p = table(spark, sf, "publications").join(_countries_of(spark, sf), "uid", "left")
-    led = F.coalesce(F.col("singapore_led").cast("int"), F.lit(0)) == 1
-    return p.groupBy(F.col("primary_domain").alias("domain_id"), "year").agg(F.count("*").alias("publications"), F.count_if(led).alias("singapore_led"), F.count_if(F.coalesce("n_countries", F.lit(0)) > 1).alias("international"))
 
+def publications(spark: SparkSession, sf: str) -> DataFrame:
+    return pipeline.publications(_facts(spark, sf)[1]).drop("_seq")
 
-def led_and_international(spark: SparkSession, sf: str) -> DataFrame:
-    """First or last author at an institution of the place; two countries or more."""
-    a = table(spark, sf, "publication_authors").where("uid IS NOT NULL AND author_no IS NOT NULL")
-    n = table(spark, sf, "network_institution_nodes").select(F.col("node_id").alias("institution_id"), F.col("is_singapore").alias("here"))
-    x = a.join(n, "institution_id", "left").withColumn("here", F.coalesce("here", F.lit(0)))
-    ends = x.groupBy("uid").agg(F.min(F.struct("author_no", (-F.col("here")).alias("h"))).alias("first"), F.max(F.struct("author_no", F.col("here").alias("h"))).alias("last"))
-    led = ((F.col("first.h") < 0) | (F.col("last.h") > 0)).cast("int")
-    return ends.join(_countries_of(spark, sf), "uid", "left").select("uid", led.alias("led"), (F.coalesce("n_countries", F.lit(0)) > 1).cast("int").alias("international"))
+
+def summary_by_domain_year(spark: SparkSession, sf: str) -> DataFrame:
+    dom, facts = _facts(spark, sf)
+    return pipeline.summary_by_domain_year(pipeline.publication_domains(dom, facts, _vocabularies(spark, sf)), facts)
+
+
+def author_attributes(spark: SparkSession, sf: str) -> DataFrame:
+    authors = cut(publication_authors(spark, sf), "authors")
+    return pipeline.node_attributes(authors, _vocabularies(spark, sf), OPTIONS)["author"]
+
+
+def author_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return pipeline.author_labels(publication_authors(spark, sf))
+
+
+# star schema
+
+
+def _institutions(spark: SparkSession, sf: str) -> DataFrame:
+    b = table(spark, sf, "publication_authors").where("uid IS NOT NULL AND institution_id IS NOT NULL").select("uid", "institution_id").distinct()
+    n = table(spark, sf, "network_institution_nodes").select(F.col("node_id").alias("institution_id"), "country", "region", "sector", "iso3", "is_singapore")
+    return b.join(n, "institution_id", "left")
 
 
 def summary_top_authors(spark: SparkSession, sf: str) -> DataFrame:
@@ -237,7 +285,7 @@ def _bridge(spark: SparkSession, sf: str, node: str) -> DataFrame:
 
 
 def _country_bridge(spark: SparkSession, sf: str) -> DataFrame:
-    return publication_countries(spark, sf).select("uid", F.col("country").alias("node"))
+    return _institutions(spark, sf).where("country IS NOT NULL").select("uid", F.col("country").alias("node")).distinct()
 
 
 def coauthor_institution_edges(spark: SparkSession, sf: str) -> DataFrame:
@@ -279,15 +327,6 @@ def network_layout(spark: SparkSession, sf: str) -> DataFrame:
     return network.layout(network.nodes(b, "uid", "node", e, 250), e)
 
 
-def author_attributes(spark: SparkSession, sf: str) -> DataFrame:
-    """The institution on most publications of each author (ties by name) with its attributes."""
-    a = table(spark, sf, "publication_authors").where("author_key IS NOT NULL AND institution_id IS NOT NULL").select("author_key", "institution_id", "uid").distinct()
-    c = a.groupBy("author_key", "institution_id").agg(F.count("*").alias("n"))
-    top = c.groupBy("author_key").agg(F.min(F.struct((-F.col("n")).alias("n"), "institution_id")).alias("t")).select("author_key", F.col("t.institution_id").alias("institution_id"))
-    n = table(spark, sf, "network_institution_nodes").select(F.col("node_id").alias("institution_id"), "country", "sector")
-    return top.join(n, "institution_id", "left").select("author_key", "institution_id", "country", "sector")
-
-
 # checks
 
 
@@ -330,12 +369,6 @@ def author_slug(spark: SparkSession, sf: str) -> DataFrame:
     return a.groupBy("last_name", "fore_name", "author_key").agg(F.count("*").alias("n"))
 
 
-def author_labels(spark: SparkSession, sf: str) -> DataFrame:
-    """The most frequent spelling of each author key, ties by text."""
-    a = author_slug(spark, sf).where("author_key IS NOT NULL").select("author_key", F.concat_ws(", ", "last_name", "fore_name").alias("label"), "n")
-    return a.groupBy("author_key").agg(F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("b")).select("author_key", F.col("b.label").alias("label"))
-
-
 def token_df(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("token"))
     return d.groupBy("token").agg(F.count("*").alias("df")).where("df >= 5")
@@ -394,6 +427,40 @@ def topic_map_centroids(spark: SparkSession, sf: str) -> DataFrame:
     return topics.centroids(topics.map_places(c, "rid")).join(terms, "topic_id", "left").select(F.col("domain").alias("domain_id"), "topic_id", F.col("label").alias("topic_label"), "top_terms", "size", "x", "y")
 
 
+def topic_kmeans_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Per domain its texts, whether it has more topics than its size allows, and texts of topics numbered against their size."""
+    c = cut(topic_kmeans(spark, sf), "clustered")
+    sizes = c.groupBy("domain", "topic_id").agg(F.count("*").alias("n")).withColumn("k", F.regexp_extract("topic_id", r"_t(\d+)$", 1).cast("int"))
+    w = Window.partitionBy("domain").orderBy("k")
+    s = sizes.withColumn("wrong", (F.col("n") > F.lag("n").over(w)) | (F.row_number().over(w) != F.col("k")))
+    per = s.groupBy("domain").agg(F.sum("n").cast("bigint").alias("texts"), F.count("*").alias("topics"), F.count_if("wrong").alias("misnumbered"))
+    most = F.when(F.col("texts") <= 3, 1).otherwise(F.greatest(F.lit(2), F.least(F.floor(F.col("texts") / 25), F.round(F.sqrt(F.col("texts") / 2)))))
+    return per.select("domain", "texts", (F.col("topics") > most).cast("int").alias("too_many"), "misnumbered")
+
+
+def topic_kmeans_given(spark: SparkSession, sf: str) -> DataFrame:
+    """Topics of given vectors: the embeddings within their labels."""
+    v = topics.given_vectors(table(spark, sf, "embeddings"), "vec_id", "embedding", "label")
+    return topics.cluster_vectors(v, "vec_id").select("vec_id", "domain", "topic_id")
+
+
+def topic_kmeans_given_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Per label its vectors and those in a topic of another label."""
+    return topic_kmeans_given(spark, sf).groupBy("domain").agg(F.count("*").alias("vectors"), F.count_if(~F.col("topic_id").startswith(F.concat("domain", F.lit("_t")))).alias("astray"))
+
+
+def network_layout_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes placed, nodes without a place and places outside the unit square."""
+    inside = F.col("x").between(0, 1) & F.col("y").between(0, 1)
+    return network_layout(spark, sf).agg(F.count_distinct("node_id").alias("nodes"), F.count_if(F.col("x").isNull() | F.col("y").isNull()).alias("unplaced"), F.count_if(~inside).alias("outside"))
+
+
+def decision_amendments(spark: SparkSession, sf: str) -> DataFrame:
+    """Decisions on documents by the rule that had caught them."""
+    s, d = _decided(spark, sf)
+    return screen.amendments(s, d, "doc_id", "rule_id").select("rule_id", "decision", "n", F.array_join("reasons", "|").alias("reasons"))
+
+
 def topic_map_check(spark: SparkSession, sf: str) -> DataFrame:
     """Per domain its placed texts, and those that lie nearer to another topic's centroid than to their own (JN-13)."""
     p = cut(topic_map(spark, sf), "places")
@@ -419,7 +486,7 @@ def event_sessions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def events_by_hour_streamed(spark: SparkSession, sf: str) -> DataFrame:
-    return windows.streamed(spark, f"{sf}/events.parquet", windows.tumbling)
+    return windows.streamed(spark, f"{sf}/events.parquet", windows.tumbling, ["window_start", "event_type"])
 
 
 def region_rollup(spark: SparkSession, sf: str) -> DataFrame:
@@ -430,11 +497,11 @@ def region_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 _NAMES = [
     "article_records", "lead_records", "record_uid", "json_lines_fields", "search_coverage", "dedupe_groups", "dedupe_records", "dedupe_title", "screen_three_way", "screen_rules",
-    "screen_partition_check", "decision_overlay", "term_scoring", "publication_domains", "primary_domain", "research_types", "summary_research_type_year", "subdomain_vocabulary",
-    "display_label_overlay", "subdomain_assignment", "summary_subdomain_year", "publication_institutions", "publication_countries", "summary_domain_year", "led_and_international",
+    "screen_partition_check", "decision_overlay", "decision_amendments", "term_scoring", "publication_domains", "primary_domain", "research_types", "summary_research_type_year", "subdomain_vocabulary",
+    "display_label_overlay", "subdomain_assignment", "summary_subdomain_year", "author_affiliations", "publication_authors", "publication_institutions", "publication_countries", "led_and_international", "publications", "summary_by_domain_year",
     "summary_top_authors", "top_authors_per_domain", "coauthor_institution_edges", "coauthor_author_edges", "coauthor_country_edges", "network_institution_nodes", "network_author_nodes",
-    "network_country_nodes", "network_institution_paths", "network_layout", "author_attributes", "referential_integrity", "semi_membership", "uniqueness_checks", "node_consistency",
-    "path_pairs", "author_slug", "author_labels", "token_df", "tfidf_top_terms", "topic_centroids", "nearest_centroid", "minmax_coords", "topic_kmeans", "topic_map",
+    "network_country_nodes", "network_institution_paths", "network_layout", "network_layout_check", "author_attributes", "author_labels", "referential_integrity", "semi_membership", "uniqueness_checks", "node_consistency",
+    "path_pairs", "author_slug", "token_df", "tfidf_top_terms", "topic_centroids", "nearest_centroid", "minmax_coords", "topic_kmeans", "topic_kmeans_check", "topic_kmeans_given", "topic_kmeans_given_check", "topic_map",
     "topic_map_centroids", "topic_map_check", "roster_upsert", "events_by_hour", "event_sessions", "events_by_hour_streamed", "region_rollup",
 ]
 QUERIES = {n: globals()[n] for n in _NAMES}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from brambling.functions.text import MARKED, PLAIN
 from brambling.operators.classify import OTHER, WEIGHTS
-from brambling.sources.vocab import DOMAINS, RESEARCH_TYPES, STOPLIST
+from brambling.sources.vocab import COUNTRIES, DOMAINS, RESEARCH_TYPES, STOPLIST
 
 
 def _q(text: str) -> str:
@@ -121,10 +121,47 @@ top AS (SELECT author_key, CASE WHEN grouping(domain_id) = 1 THEN 'ALL' ELSE dom
 _SLUG = f"""WITH au AS (SELECT unnest(authors) AS a FROM articles),
 sl AS (SELECT a.last_name AS last_name, a.fore_name AS fore_name, replace({_norm('a.last_name')}, ' ', '') || '-' || coalesce(replace({_norm('a.fore_name')}, ' ', '')[1:1], '') AS author_key, count(*) AS n
   FROM au WHERE a.last_name IS NOT NULL AND a.fore_name IS NOT NULL GROUP BY ALL)"""
+_NO_LABELS = _VOCAB.replace(_VOCAB[_VOCAB.index("('tb', 'sputum'") : _VOCAB.index(") v(domain_id, mesh_term, dl)")], "('', '', '')")
+_AFF = f"""au AS (SELECT rec_id::VARCHAR AS uid, len(authors)::INT AS n_authors, i::INT AS author_no, replace({_norm('authors[i].last_name')}, ' ', '') || '-' || coalesce(replace({_norm('authors[i].fore_name')}, ' ', '')[1:1], '') AS author_key,
+  concat_ws(', ', authors[i].last_name, authors[i].fore_name) AS label, authors[i].affiliations AS affs FROM articles, unnest(range(1, len(authors) + 1)) r(i)),
+fie AS (SELECT uid, author_no, unnest(affs) AS t FROM au),
+txt AS (SELECT uid, author_no, unnest(list_filter(list_transform(string_split(regexp_replace(t, '(?is)\\s*electronic address:.*', ''), ';'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '')) AS text FROM fie),
+dif AS (SELECT text, ' ' || coalesce({_norm('text')}, '') || ' ' AS nt, {_norm("string_split(text, ',')[-1]")} AS tail FROM (SELECT DISTINCT text FROM txt)),
+ins AS (SELECT label AS institution, {_norm('label')} AS term, country, region, sector FROM network_institution_nodes WHERE label IS NOT NULL),
+cou AS (SELECT {_norm('alias')} AS term, country, region, iso3 FROM (VALUES {', '.join('(' + ', '.join(map(_q, r)) + ')' for r in COUNTRIES)}) v(alias, country, region, iso3)),
+hin AS (SELECT text, arg_max(institution, (length(term), term, institution)) AS institution FROM dif JOIN ins ON contains(nt, ' ' || term || ' ') GROUP BY text),
+hco AS (SELECT text, arg_max(country, (length(term), term, country)) AS inside FROM dif JOIN cou ON contains(nt, ' ' || term || ' ') GROUP BY text),
+tai AS (SELECT term AS tail, min(country) AS at_end FROM cou GROUP BY term),
+iat AS (SELECT institution, min(country) AS ic, min(region) AS ir, min(sector) AS sector FROM ins GROUP BY institution),
+cat AS (SELECT country, min(region) AS cr, min(iso3) AS iso3 FROM cou GROUP BY country),
+rea AS (SELECT text, institution, coalesce(ic, at_end, inside) AS country, ir, sector FROM dif LEFT JOIN hin USING (text) LEFT JOIN hco USING (text) LEFT JOIN tai USING (tail) LEFT JOIN iat USING (institution)),
+res AS (SELECT text, institution, rea.country, coalesce(ir, cr) AS region, sector, iso3 FROM rea LEFT JOIN cat ON cat.country = rea.country),
+aff AS (SELECT au.uid, au.author_no, n_authors, author_key, label, txt.text, institution, country, region, sector, iso3 FROM au LEFT JOIN txt ON txt.uid = au.uid AND txt.author_no = au.author_no LEFT JOIN res ON res.text = txt.text),
+led AS (SELECT uid, coalesce(bool_or((author_no = 1 OR author_no = n_authors) AND lower(country) = 'singapore'), false) AS led, count(DISTINCT country) AS n_countries, max(n_authors) AS n_authors FROM aff GROUP BY uid),
+pau AS (SELECT uid, author_no, min(author_key) AS author_key, min(label) AS label, min(institution) AS institution_id FROM aff WHERE author_key IS NOT NULL GROUP BY uid, author_no),
+lab_ AS (SELECT author_key, arg_min(label, (-n, label)) AS label FROM (SELECT author_key, label, count(*) AS n FROM pau GROUP BY ALL) GROUP BY author_key),
+mod_ AS (SELECT author_key, arg_min(institution_id, (-n, institution_id)) AS institution FROM (SELECT author_key, institution_id, count(*) AS n FROM pau WHERE institution_id IS NOT NULL GROUP BY ALL) GROUP BY author_key)"""
+_PUBS = _NO_LABELS + f""", {_AFF},
+ful AS (SELECT a.rid, a.rid::VARCHAR AS uid, a.title, a.year, a.journal, coalesce(led, false)::INT AS singapore_led, coalesce(n_countries, 0)::INT AS n_countries, coalesce(n_authors, 0)::INT AS n_authors FROM art a LEFT JOIN led ON led.uid = a.rid::VARCHAR)"""
+_LABEL_OF = "CASE domain_id " + " ".join(f"WHEN {_q(k)} THEN {_q(label)}" for k, (label, _) in DOMAINS.items()) + " ELSE 'Other infectious disease' END"
 _TOKENS = "list_filter(regexp_extract_all(lower({}), '[\\p{{L}}\\p{{M}}\\p{{N}}]+(?:-[\\p{{L}}\\p{{M}}\\p{{N}}]+)*'), lambda t: length(t) >= 3)"
 _HOURS = "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events WHERE ts IS NOT NULL GROUP BY ALL"
 
+_DECIDED = """WITH s AS (SELECT doc_id, CASE WHEN lower(trim(lang)) <> 'en' THEN 'excluded' WHEN lang IS NULL OR coalesce(length(trim(text)), 0) = 0 THEN 'uncertain' ELSE 'included' END AS v,
+  CASE WHEN lower(trim(lang)) <> 'en' THEN 'LANG' WHEN lang IS NULL THEN 'NOLANG' WHEN coalesce(length(trim(text)), 0) = 0 THEN 'EMPTY' END AS r FROM documents),
+d AS (SELECT doc_id, CASE WHEN labelled_by = 'user' THEN 'included' ELSE 'excluded' END AS v, subject_id AS r FROM subject_examples QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY subject_id DESC, CASE WHEN labelled_by = 'user' THEN 1 ELSE 0 END DESC) = 1)
+"""
+
+# what checks of clusters, maps and layouts must find: all rows, and none that breaks a rule
+_CHECKS = {
+    "topic_map_check": _DOMS + " SELECT domain_id AS domain, count(*) AS placed, 0::BIGINT AS misplaced FROM dom WHERE is_primary = 1 GROUP BY domain_id",
+    "topic_kmeans_check": _DOMS + " SELECT domain_id AS domain, count(*) AS texts, 0 AS too_many, 0::BIGINT AS misnumbered FROM dom WHERE is_primary = 1 GROUP BY domain_id",
+    "topic_kmeans_given_check": "SELECT label::VARCHAR AS domain, count(*) AS vectors, 0::BIGINT AS astray FROM embeddings GROUP BY label",
+    "network_layout_check": "SELECT least(250, count(DISTINCT institution_id)) AS nodes, 0::BIGINT AS unplaced, 0::BIGINT AS outside FROM publication_authors WHERE uid IS NOT NULL AND institution_id IS NOT NULL",
+}
+
 ORACLES = {
+    **_CHECKS,
     "article_records": f"WITH {_RECORDS} SELECT rid, query_id, doi, pmid, journal, year, language, len(article_types) AS n_types, len(mesh_terms) AS n_mesh, len(affiliations) AS n_affiliations FROM art",
     "lead_records": f"WITH {_RECORDS} SELECT rid, query_id, {_norm('title')} AS norm, year, journal FROM lea",
     "record_uid": f"WITH {_RECORDS} SELECT rid, coalesce('doi:' || doi, 'pmid:' || pmid, 'title:' || sha256(nt)[1:16]) AS uid FROM ren",
@@ -137,11 +174,9 @@ SELECT m.first_rid, survivor, coalesce(r.doi, any_doi) AS doi, coalesce(r.pmid,
     "dedupe_title": f"WITH {_RECORDS} SELECT nt AS t, min(rid) AS survivor, count(*) AS n_copies FROM ren WHERE nt IS NOT NULL GROUP BY nt",
     "screen_three_way": _SCREEN + " SELECT rid, verdict, rule_id FROM one",
     "screen_rules": _SCREEN + " SELECT rule_id, count(*) AS n FROM hit GROUP BY rule_id",
-    "screen_partition_check": _SCREEN + " SELECT count(*) FILTER (verdict = 'included') AS included, count(*) FILTER (verdict = 'excluded') AS excluded, count(*) FILTER (verdict = 'uncertain') AS uncertain, 0 AS unassigned, count(*) AS total, 0 AS overlapping FROM one",
-    "decision_overlay": """WITH s AS (SELECT doc_id, CASE WHEN lower(trim(lang)) <> 'en' THEN 'excluded' WHEN lang IS NULL OR coalesce(length(trim(text)), 0) = 0 THEN 'uncertain' ELSE 'included' END AS v,
-  CASE WHEN lower(trim(lang)) <> 'en' THEN 'LANG' WHEN lang IS NULL THEN 'NOLANG' WHEN coalesce(length(trim(text)), 0) = 0 THEN 'EMPTY' END AS r FROM documents),
-d AS (SELECT doc_id, CASE WHEN labelled_by = 'user' THEN 'included' ELSE 'excluded' END AS v, subject_id AS r FROM subject_examples QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY subject_id DESC, CASE WHEN labelled_by = 'user' THEN 1 ELSE 0 END DESC) = 1)
-SELECT s.doc_id, coalesce(d.v, s.v) AS verdict, coalesce(d.r, s.r) AS rule_id, CASE WHEN d.v IS NULL THEN 0 ELSE 1 END AS decided FROM s LEFT JOIN d USING (doc_id)""",
+    "screen_partition_check": _SCREEN + " SELECT count(*) FILTER (verdict = 'included') AS included, count(*) FILTER (verdict = 'excluded') AS excluded, count(*) FILTER (verdict = 'uncertain') AS uncertain, count(*) FILTER (verdict IS NULL) AS unassigned, count(*) AS total, (SELECT count(*) FROM (SELECT rid FROM one GROUP BY rid HAVING count(DISTINCT verdict) > 1)) AS overlapping FROM one",
+    "decision_overlay": _DECIDED + "SELECT s.doc_id, coalesce(d.v, s.v) AS verdict, coalesce(d.r, s.r) AS rule_id, CASE WHEN d.v IS NULL THEN 0 ELSE 1 END AS decided FROM s LEFT JOIN d USING (doc_id)",
+    "decision_amendments": _DECIDED + "SELECT s.r AS rule_id, d.v AS decision, count(DISTINCT doc_id) AS n, string_agg(DISTINCT e.subject_id, '|' ORDER BY e.subject_id) AS reasons FROM s JOIN d USING (doc_id) JOIN subject_examples e USING (doc_id) WHERE s.r IS NOT NULL GROUP BY ALL",
     "term_scoring": f"WITH {_scored(DOMAINS, 1)} SELECT rid, label_id, score FROM sc",
     "publication_domains": _DOMS + " SELECT rid, domain_id, score, is_primary FROM dom",
     "primary_domain": _DOMS + " SELECT domain_id, count(*) AS records FROM dom WHERE is_primary = 1 GROUP BY domain_id",
@@ -151,12 +186,14 @@ SELECT s.doc_id, coalesce(d.v, s.v) AS verdict, coalesce(d.r, s.r) AS rule_id, C
     "display_label_overlay": _VOCAB + " SELECT domain_id, mesh_term, rank, display_label FROM lab",
     "subdomain_assignment": _VOCAB + " SELECT rid, domain_id, subdomain_mesh, subdomain, vocabulary_rank FROM asg",
     "summary_subdomain_year": _VOCAB + f" SELECT d.domain_id, coalesce(subdomain, {_q(OTHER)}) AS subdomain_label, year, count(*) AS publications FROM dom d JOIN art USING (rid) LEFT JOIN asg USING (rid, domain_id) WHERE is_primary = 1 GROUP BY ALL",
-    "publication_institutions": f"WITH {_INST} SELECT * FROM inst",
-    "publication_countries": f"WITH {_INST} SELECT * FROM cty",
-    "summary_domain_year": f"WITH {_INST} SELECT primary_domain AS domain_id, year, count(*) AS publications, count(*) FILTER (try_cast(singapore_led AS INT) = 1) AS singapore_led, count(*) FILTER (n_countries > 1) AS international FROM publications LEFT JOIN nct USING (uid) GROUP BY ALL",
-    "led_and_international": f"""WITH {_INST}, x AS (SELECT a.uid, author_no, coalesce(n.is_singapore, 0) AS here FROM publication_authors a LEFT JOIN network_institution_nodes n ON n.node_id = a.institution_id WHERE a.uid IS NOT NULL AND author_no IS NOT NULL),
-e AS (SELECT uid, max(here) FILTER (author_no = lo OR author_no = hi) AS led FROM (SELECT *, min(author_no) OVER (PARTITION BY uid) AS lo, max(author_no) OVER (PARTITION BY uid) AS hi FROM x) GROUP BY uid)
-SELECT uid, led, CASE WHEN n_countries > 1 THEN 1 ELSE 0 END AS international FROM e LEFT JOIN nct USING (uid)""",
+    "author_affiliations": f"WITH {_AFF} SELECT * FROM aff",
+    "publication_authors": f"WITH {_AFF} SELECT * FROM pau",
+    "publication_institutions": f"WITH {_AFF} SELECT DISTINCT uid, institution AS institution_id, country, region, sector FROM aff WHERE institution IS NOT NULL",
+    "publication_countries": f"WITH {_AFF} SELECT uid, country, min(region) AS region, min(iso3) AS iso3 FROM aff WHERE country IS NOT NULL GROUP BY uid, country",
+    "led_and_international": f"WITH {_AFF} SELECT uid, led::INT AS led, (n_countries > 1)::INT AS international, n_authors FROM led",
+    "publications": _PUBS + f""" SELECT uid, title, year, journal, d.domain_id AS primary_domain, coalesce(subdomain, {_q(OTHER)}) AS primary_subdomain, singapore_led, n_authors, n_countries
+FROM ful JOIN dom d ON d.rid = ful.rid AND d.is_primary = 1 LEFT JOIN asg ON asg.rid = d.rid AND asg.domain_id = d.domain_id""",
+    "summary_by_domain_year": _PUBS + f" SELECT domain_id, {_LABEL_OF} AS domain_label, year, count(*) AS publications, sum(singapore_led)::BIGINT AS singapore_led, count(*) FILTER (n_countries > 1) AS international FROM dom JOIN ful USING (rid) GROUP BY ALL",
     "summary_top_authors": _TOP + " SELECT * FROM top",
     "top_authors_per_domain": _TOP + " SELECT *, row_number() OVER (PARTITION BY domain_id ORDER BY n_publications DESC, author_key) AS rank FROM top QUALIFY rank <= 10",
     "coauthor_institution_edges": _E_INST + " SELECT layer, source, target, weight FROM edg",
@@ -166,18 +203,17 @@ SELECT uid, led, CASE WHEN n_countries > 1 THEN 1 ELSE 0 END AS international FR
     "network_author_nodes": _E_AUTH + ", kept AS (SELECT * FROM deg ORDER BY weighted_degree DESC, node_id LIMIT 250) SELECT k.node_id, count(o.node_id) AS degree, any_value(k.weighted_degree) AS weighted_degree, any_value(k.n_publications) AS n_publications FROM kept k LEFT JOIN two t ON t.node_id = k.node_id LEFT JOIN kept o ON o.node_id = t.other GROUP BY k.node_id",
     "network_country_nodes": _E_CTY + " SELECT node_id, degree, weighted_degree, n_publications FROM deg",
     "network_institution_paths": _E_INST + ", p AS (SELECT layer || '::' || source || '::' || target AS edge_id, layer, unnest([source, target]) AS node_id FROM edg WHERE source IN (SELECT node_id FROM network_institution_nodes) AND target IN (SELECT node_id FROM network_institution_nodes)) SELECT edge_id, layer, node_id, x, y FROM p JOIN network_institution_nodes USING (node_id)",
-    "author_attributes": """WITH c AS (SELECT author_key, institution_id, count(DISTINCT uid) AS n FROM publication_authors WHERE author_key IS NOT NULL AND institution_id IS NOT NULL GROUP BY ALL),
-t AS (SELECT author_key, institution_id FROM c QUALIFY row_number() OVER (PARTITION BY author_key ORDER BY n DESC, institution_id) = 1)
-SELECT author_key, institution_id, country, sector FROM t LEFT JOIN network_institution_nodes n ON n.node_id = institution_id""",
+    "author_attributes": f"""WITH {_AFF} SELECT author_key AS node_id, label, ic AS country, ir AS region, sector, iso3, CASE WHEN lower(ic) = 'singapore' THEN 1 ELSE 0 END AS is_singapore
+FROM lab_ LEFT JOIN mod_ USING (author_key) LEFT JOIN iat USING (institution) LEFT JOIN cat ON cat.country = ic""",
+    "author_labels": f"WITH {_AFF} SELECT author_key, label FROM lab_",
     "referential_integrity": """SELECT 'publication' AS link, count(*) AS orphans FROM publication_authors a WHERE uid IS NOT NULL AND uid NOT IN (SELECT uid FROM publications)
 UNION ALL SELECT 'author', count(*) FROM publication_authors WHERE author_key IS NOT NULL AND author_key NOT IN (SELECT node_id FROM network_author_nodes)
 UNION ALL SELECT 'institution', count(*) FROM publication_authors WHERE institution_id IS NOT NULL AND institution_id NOT IN (SELECT node_id FROM network_institution_nodes)""",
     "semi_membership": "SELECT primary_domain, count(*) AS publications FROM publications WHERE uid IN (SELECT uid FROM publication_authors WHERE institution_id IS NOT NULL) GROUP BY primary_domain",
     "uniqueness_checks": " UNION ALL ".join(f"SELECT '{t}.{c}' AS key, count({c}) AS n, count(DISTINCT {c}) AS distinct_n FROM {t}" for t, c in (("articles", "rec_id"), ("scholar_leads", "lead_id"), ("publications", "uid"), ("network_author_nodes", "node_id"), ("network_institution_nodes", "node_id"), ("documents", "doc_id"))),
     "node_consistency": "WITH b AS (SELECT institution_id AS node_id, count(DISTINCT uid) AS counted FROM publication_authors WHERE institution_id IS NOT NULL GROUP BY ALL) SELECT node_id, n_publications::BIGINT AS stored, counted FROM network_institution_nodes FULL JOIN b USING (node_id) WHERE n_publications IS DISTINCT FROM counted",
-    "path_pairs": _E_INST + " SELECT 2 AS rows, count(*) AS edges FROM edg WHERE source IN (SELECT node_id FROM network_institution_nodes) AND target IN (SELECT node_id FROM network_institution_nodes)",
+    "path_pairs": _E_INST + ", p AS (SELECT layer || '::' || source || '::' || target AS edge_id, unnest([source, target]) AS node_id FROM edg), q AS (SELECT edge_id, count(*) AS rows FROM p JOIN network_institution_nodes USING (node_id) GROUP BY edge_id) SELECT rows, count(*) AS edges FROM q WHERE edge_id IN (SELECT layer || '::' || source || '::' || target FROM edg WHERE source IN (SELECT node_id FROM network_institution_nodes) AND target IN (SELECT node_id FROM network_institution_nodes)) GROUP BY rows",
     "author_slug": _SLUG + " SELECT * FROM sl",
-    "author_labels": _SLUG + " SELECT author_key, arg_min(last_name || ', ' || fore_name, (-n, last_name || ', ' || fore_name)) AS label FROM sl WHERE author_key IS NOT NULL GROUP BY author_key",
     "token_df": f"WITH t AS (SELECT unnest(list_distinct({_TOKENS.format('text')})) AS token FROM documents) SELECT token, count(*) AS df FROM t GROUP BY token HAVING count(*) >= 5",
     "tfidf_top_terms": f"""WITH t AS (SELECT journal.title AS journal, unnest({_TOKENS.format("concat_ws(' ', title, abstract)")}) AS term FROM articles WHERE journal.title IS NOT NULL),
 tf AS (SELECT journal, term, count(*) AS tf FROM t GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY ALL), n AS (SELECT count(DISTINCT journal.title)::DOUBLE AS n FROM articles WHERE journal.title IS NOT NULL),

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brambling.functions.text import author_key
+from brambling.functions.text import author_key, norm_title
 from brambling.operators import classify, dialect, network, records, screen, topics
-from brambling.runtime import cut
+from brambling.runtime import attach, cut, local
 from brambling.sources import vocab
 
 
@@ -17,7 +17,8 @@ from brambling.sources import vocab
 class Options:
     """from_year, to_year: publication years kept. place: the country in question. least_score, type_score: lowest scores of a domain and of a
     research type. top_k, min_records: of the derived vocabulary. min_docs: fewest texts of a domain that are clustered. author_cap:
-    nodes of the author network."""
+    nodes of the author network. dialects: whether fields of several affiliations are divided by their cheapest dialect, else at
+    semicolons. rules: the screening rules as data."""
 
     from_year: int = 2015
     to_year: int = 2026
@@ -29,6 +30,8 @@ class Options:
     min_records: int = 3
     min_docs: int = 3
     author_cap: int = 250
+    dialects: bool = True
+    rules: list[dict] = field(default_factory=lambda: vocab.RULES)
 
 
 def build_queries(domains: DataFrame, roster: DataFrame | None, o: Options) -> DataFrame:
@@ -37,7 +40,7 @@ def build_queries(domains: DataFrame, roster: DataFrame | None, o: Options) -> D
     terms = domains.groupBy("label_id").agg(F.array_join(F.array_sort(F.collect_set(F.concat(F.lit('"'), "term", F.lit('"')))), " OR ").alias("t"))
     place = F.lit(f"{o.place}[ad]")
     search = terms.select(F.concat(F.lit("geo_"), "label_id").alias("query_id"), F.lit("search").alias("kind"), F.concat(F.lit("("), "t", F.lit(") AND "), place, F.lit(" AND "), window).alias("text"))
-    every = domains.sparkSession.createDataFrame([("geo_all_id", "search", f"infection[mh] AND {o.place}[ad] AND {o.from_year}:{o.to_year}[dp]")], "query_id string, kind string, text string")
+    every = local(domains.sparkSession, [("geo_all_id", "search", f"infection[mh] AND {o.place}[ad] AND {o.from_year}:{o.to_year}[dp]")], "query_id string, kind string, text string")
     leads = terms.select(F.concat(F.lit("sch_"), "label_id").alias("query_id"), F.lit("lead").alias("kind"), F.concat("t", F.lit(f" {o.place} {o.from_year}..{o.to_year}")).alias("text"))
     out = search.unionByName(every).unionByName(leads)
     if roster is not None:
@@ -57,9 +60,8 @@ def ingest(articles: DataFrame, leads: DataFrame | None = None) -> DataFrame:
 def screened(recs: DataFrame, decisions: DataFrame | None, domains: DataFrame, o: Options) -> DataFrame:
     """Records with verdict and reasons, after the decisions. Records without any domain are uncertain."""
     n = classify.scores(classify.term_hits(recs, domains), least=o.least_score).groupBy("uid").agg(F.count("*").alias("n_domains"))
-    rules = [*screen.standard_rules(o.from_year, o.to_year, o.place, o.language), screen.Rule("UNC-DOMAIN", "uncertain", F.coalesce("n_domains", F.lit(0)) == 0)]
-    s = screen.screen(recs.join(n, "uid", "left"), rules).drop("n_domains")
-    return s if decisions is None else screen.overlay(s, decisions)
+    s = screen.screen(recs.join(n, "uid", "left"), screen.rules_of(o.rules, o.from_year, o.to_year, o.place, o.language)).drop("n_domains")
+    return s if decisions is None else screen.overlay(s, decisions, order="line" if "line" in decisions.columns else None)
 
 
 @dataclass
@@ -72,54 +74,90 @@ class Vocabularies:
 
     @staticmethod
     def default(spark: SparkSession) -> Vocabularies:
-        """Domains, types and stoplist of the library; institutions (alias, label, country, region, sector) and countries (alias, country,
-        region, iso3) start with a few entries and are meant to be replaced by files."""
-        inst = spark.createDataFrame([], "alias string, label string, country string, region string, sector string")
-        # Countries by the names affiliations use.
-        rows = [("singapore", "Singapore", "Southeast Asia", "SGP"), ("malaysia", "Malaysia", "Southeast Asia", "MYS"), ("thailand", "Thailand", "Southeast Asia", "THA"), ("indonesia", "Indonesia", "Southeast Asia", "IDN"), ("philippines", "Philippines", "Southeast Asia", "PHL"), ("viet nam", "Viet Nam", "Southeast Asia", "VNM"), ("vietnam", "Viet Nam", "Southeast Asia", "VNM"), ("china", "China", "East Asia", "CHN"), ("japan", "Japan", "East Asia", "JPN"), ("india", "India", "South Asia", "IND"), ("sri lanka", "Sri Lanka", "South Asia", "LKA"), ("bangladesh", "Bangladesh", "South Asia", "BGD"), ("nepal", "Nepal", "South Asia", "NPL"), ("uk", "United Kingdom", "Europe", "GBR"), ("united kingdom", "United Kingdom", "Europe", "GBR"), ("france", "France", "Europe", "FRA"), ("germany", "Germany", "Europe", "DEU"), ("switzerland", "Switzerland", "Europe", "CHE"), ("usa", "United States", "North America", "USA"), ("u s a", "United States", "North America", "USA"), ("united states", "United States", "North America", "USA"), ("canada", "Canada", "North America", "CAN"), ("brazil", "Brazil", "Latin America", "BRA"), ("peru", "Peru", "Latin America", "PER"), ("colombia", "Colombia", "Latin America", "COL"), ("kenya", "Kenya", "Africa", "KEN"), ("south africa", "South Africa", "Africa", "ZAF"), ("australia", "Australia", "Oceania", "AUS")]
-        cty = spark.createDataFrame(rows, "alias string, country string, region string, iso3 string")
-        return Vocabularies(vocab.domains(spark), vocab.research_types(spark), vocab.stoplist(spark), inst, cty)
+        """Domains, types, stoplist and countries (alias, country, region, iso3) of the library; institutions (alias, label, country, region,
+        sector) come from a file, there are none by default."""
+        inst = local(spark, [], "alias string, label string, country string, region string, sector string")
+        return Vocabularies(vocab.domains(spark), vocab.research_types(spark), vocab.stoplist(spark), inst, vocab.countries(spark))
 
 
-def author_affiliations(included: DataFrame, v: Vocabularies) -> DataFrame:
+def at_semicolons(text: Column) -> Column:
+    """The parts of a field between semicolons, without electronic addresses and outer blanks."""
+    bare = F.regexp_replace(text, r"(?is)\s*electronic address:.*", "")
+    return F.filter(F.transform(F.split(bare, ";"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
+
+
+def author_affiliations(included: DataFrame, v: Vocabularies, dialects: bool = True) -> DataFrame:
     """uid, author_no, n_authors, author_key, label, text, institution, country, region, sector, iso3 of every value in every affiliation;
-    authors without any have one row. Several values packed in one string are split. The institution is the longest alias that the text
-    holds as whole words; the country that of its last part, or else of the institution."""
+    authors without any have one row. Fields of several values are divided (Options.dialects). The institution is the longest alias that the
+    text holds as whole words, of equals the last by text. The country is the institution's, else the last part of the text if that is an
+    alias, else the longest alias in it. Every different text is resolved once; what can't be is null.
+    """
     a = included.select("uid", F.size("authors").alias("n_authors"), F.posexplode("authors").alias("i", "a"))
     a = a.select("uid", "n_authors", (F.col("i") + 1).alias("author_no"), author_key(F.col("a.last_name"), F.col("a.fore_name")).alias("author_key"), F.concat_ws(", ", "a.last_name", "a.fore_name").alias("label"), F.coalesce("a.affiliations", F.array().cast("array<string>")).alias("affs"))
-    split = dialect.with_values(a.select("uid", "author_no", F.explode("affs").alias("t")), "t").select("uid", "author_no", F.explode("values").alias("text"))
-    d = split.select("text").distinct()
-    tail = F.element_at(F.split(F.regexp_replace(F.lower("text"), r"[^\p{L},]+", " "), ","), -1)
-    c = d.withColumn("alias", F.trim(tail)).join(v.countries, "alias", "left").select("text", "country", "region", "iso3")
-    hits = classify.term_hits(d.select(F.col("text").alias("uid"), F.col("text").alias("title"), F.lit(None).cast("string").alias("abstract"), F.array().cast("array<string>").alias("mesh_terms"), F.array().cast("array<string>").alias("keywords")), v.institutions.select(F.col("label").alias("label_id"), F.col("alias").alias("term")))
-    best = hits.groupBy(F.col("uid").alias("text")).agg(F.max(F.struct(F.length("term").alias("l"), "term", "label_id")).alias("b")).select("text", F.col("b.label_id").alias("institution"))
-    attr = v.institutions.groupBy(F.col("label").alias("institution")).agg(F.min("country").alias("ic"), F.min("region").alias("ir"), F.min("sector").alias("sector"))
-    resolved = c.join(best, "text", "left").join(attr, "institution", "left").select("text", "institution", F.coalesce("ic", "country").alias("country"), F.coalesce("ir", "region").alias("region"), "sector", "iso3")
-    return a.drop("affs").join(split, ["uid", "author_no"], "left").join(resolved, "text", "left")
+    fields = a.select("uid", "author_no", F.explode("affs").alias("t"))
+    divided = dialect.with_values(fields, "t") if dialects else fields.withColumn("values", at_semicolons(F.col("t")))
+    split = cut(divided.select("uid", "author_no", F.explode("values").alias("text")), "affiliation_texts")
+    texts = cut(split.groupBy("text").agg(F.count("*").alias("n")), "different_texts")
+    none = F.array().cast("array<string>")
+    as_record = texts.select(F.col("text").alias("uid"), F.col("text").alias("title"), F.lit(None).cast("string").alias("abstract"), none.alias("mesh_terms"), none.alias("keywords"))
+
+    def longest(aliases: DataFrame, name: str) -> DataFrame:
+        hits = classify.term_hits(as_record, aliases)
+        return hits.groupBy(F.col("uid").alias("text")).agg(F.max(F.struct(F.length("term").alias("l"), "term", "label_id")).alias("b")).select("text", F.col("b.label_id").alias(name))
+
+    inst = longest(v.institutions.select(F.col("label").alias("label_id"), F.col("alias").alias("term")), "institution")
+    inside = longest(v.countries.select(F.col("country").alias("label_id"), F.col("alias").alias("term")), "inside")
+    known = v.countries.groupBy(norm_title(F.col("alias")).alias("tail")).agg(F.min("country").alias("at_end"))
+    tail = norm_title(F.element_at(F.split("text", ","), -1))
+    iattr = v.institutions.groupBy(F.col("label").alias("institution")).agg(F.min("country").alias("ic"), F.min("region").alias("ir"), F.min("sector").alias("sector"))
+    cattr = v.countries.groupBy("country").agg(F.min("region").alias("cr"), F.min("iso3").alias("iso3"))
+    r = texts.withColumn("tail", tail).join(classify.small(known), "tail", "left").join(inst, "text", "left").join(inside, "text", "left").join(classify.small(iattr), "institution", "left")
+    r = r.withColumn("country", F.coalesce("ic", "at_end", "inside")).join(classify.small(cattr), "country", "left")
+    resolved = r.select("text", "n", "institution", "country", F.coalesce("ir", "cr").alias("region"), "sector", "iso3")
+    total = texts.agg(F.sum("n")).first()[0] or 0
+    placed = attach(split, resolved, ["text"], "n", total, ["uid", "author_no"]).drop("n")
+    return a.drop("affs").join(placed, ["uid", "author_no"], "left")
+
+
+def domain_labels(included: DataFrame, v: Vocabularies, o: Options) -> DataFrame:
+    """(uid, domain_id, score, is_primary): every domain of a record, or `other_id`."""
+    order = v.domains.groupBy("label_id").agg(F.min("pos").alias("pos"))
+    scored = cut(classify.with_primary(classify.scores(classify.term_hits(included, v.domains), least=o.least_score), order).select("uid", "label_id", "score", "is_primary"), "scored")
+    return cut(classify.with_fallback(included, scored).withColumnRenamed("label_id", "domain_id"), "domains")
 
 
-def classified(included: DataFrame, v: Vocabularies, o: Options, previous: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Tables: domains (uid, domain_id, score, is_primary), types, vocabulary, subdomains, affiliations, facts (one row per record)."""
-    hits = classify.term_hits(included, v.domains)
-    order = v.domains.groupBy("label_id").agg(F.min("pos").alias("pos"))
-    dom = classify.with_fallback(included, classify.with_primary(classify.scores(hits, least=o.least_score), order).select("uid", "label_id", "score", "is_primary"))
-    dom = cut(dom.withColumnRenamed("label_id", "domain_id"), "domains")
-    types = cut(classify.scores(classify.term_hits(included, v.types), least=o.type_score).withColumnRenamed("label_id", "type_id"), "types")
+def subdomain_labels(included: DataFrame, dom: DataFrame, v: Vocabularies, o: Options, previous: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(vocabulary, subdomains): the terms of this corpus by domain, and each record's best one for each of its domains."""
     mesh = included.select("uid", F.explode_outer("mesh_terms").alias("mesh_term"))
     tagged = cut(dom.where("domain_id <> 'other_id'").join(mesh, "uid"), "tagged")
     words = cut(classify.relabel(classify.vocabulary(tagged, v.stoplist, least=o.min_records, top_k=o.top_k), previous), "vocabulary")
     sub = classify.assign_terms(tagged, words).join(dom.select("uid", "domain_id", "is_primary"), ["uid", "domain_id"])
     rest = dom.where("domain_id = 'other_id'").select("uid", "domain_id", F.lit(None).cast("string").alias("subdomain_mesh"), F.lit(classify.OTHER).alias("subdomain"), F.lit(None).cast("int").alias("vocabulary_rank"), "is_primary")
-    sub = cut(sub.unionByName(rest), "subdomains")
-    aff = cut(author_affiliations(included, v), "affiliations")
-    here = F.lower("country") == o.place.lower()
-    led = aff.where((F.col("author_no") == 1) | (F.col("author_no") == F.col("n_authors"))).groupBy("uid").agg(F.bool_or(F.coalesce(here, F.lit(False))).alias("singapore_led"))
-    n = aff.groupBy("uid").agg(F.count_distinct("country").alias("n_countries"), F.max("n_authors").alias("n_authors"))
+    return words, cut(sub.unionByName(rest), "subdomains")
+
+
+def leadership(aff: DataFrame, o: Options) -> DataFrame:
+    """(uid, singapore_led, n_countries, n_authors): whether the first or last author is at the place, and how many countries take part."""
+    here = F.coalesce(F.lower("country") == o.place.lower(), F.lit(False))
+    end = (F.col("author_no") == 1) | (F.col("author_no") == F.col("n_authors"))
+    return aff.groupBy("uid").agg(F.bool_or(end & here).alias("singapore_led"), F.count_distinct("country").cast("int").alias("n_countries"), F.max("n_authors").alias("n_authors"))
+
+
+def publication_facts(included: DataFrame, dom: DataFrame, sub: DataFrame, aff: DataFrame, o: Options) -> DataFrame:
+    """One row per record: labels, whether led from the place, countries and authors; `text` for topics and `seq`, the order of records."""
     p = dom.where("is_primary = 1").select("uid", F.col("domain_id").alias("primary_domain"))
     s = sub.where("is_primary = 1").select("uid", F.col("subdomain").alias("primary_subdomain"), F.col("subdomain_mesh").alias("primary_subdomain_mesh"))
-    facts = included.select("uid", "title", "year", "journal", "doi", "pmid", "provenance", "seq", F.concat_ws(" ", "title", "abstract", F.concat_ws(" ", "mesh_terms")).alias("text")).join(p, "uid").join(s, "uid", "left").join(led, "uid", "left").join(n, "uid", "left")
-    facts = facts.withColumns({"singapore_led": F.coalesce("singapore_led", F.lit(False)), "n_countries": F.coalesce("n_countries", F.lit(0)), "n_authors": F.coalesce("n_authors", F.lit(0))})
-    return {"domains": dom, "types": types, "vocabulary": words, "subdomains": sub, "affiliations": aff, "facts": cut(facts, "facts")}
+    facts = included.select("uid", "title", "year", "journal", "doi", "pmid", "provenance", "seq", F.concat_ws(" ", "title", "abstract", F.concat_ws(" ", "mesh_terms")).alias("text")).join(p, "uid").join(s, "uid", "left").join(leadership(aff, o), "uid", "left")
+    return facts.withColumns({"singapore_led": F.coalesce("singapore_led", F.lit(False)), "n_countries": F.coalesce("n_countries", F.lit(0)), "n_authors": F.coalesce("n_authors", F.lit(0))})
+
+
+def classified(included: DataFrame, v: Vocabularies, o: Options, previous: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Tables: domains (uid, domain_id, score, is_primary), types, vocabulary, subdomains, affiliations, facts (one row per record)."""
+    dom = domain_labels(included, v, o)
+    types = cut(classify.scores(classify.term_hits(included, v.types), least=o.type_score).withColumnRenamed("label_id", "type_id"), "types")
+    words, sub = subdomain_labels(included, dom, v, o, previous)
+    aff = cut(author_affiliations(included, v, o.dialects), "affiliations")
+    return {"domains": dom, "types": types, "vocabulary": words, "subdomains": sub, "affiliations": aff, "facts": cut(publication_facts(included, dom, sub, aff, o), "facts")}
 
 
 def topic_tables(facts: DataFrame, o: Options) -> dict[str, DataFrame]:
@@ -128,9 +166,11 @@ def topic_tables(facts: DataFrame, o: Options) -> dict[str, DataFrame]:
     t = facts.select("uid", "text").join(c.select("uid", "topic_id"), "uid")
     terms = topics.top_terms(topics.term_weights(t, "topic_id", "uid", "text"), "topic_id")
     cents = topics.centroids(places).join(terms, "topic_id", "left")
+    cents = cents.select(F.col("domain").alias("domain_id"), "topic_id", F.col("label").alias("topic_label"), "top_terms", "size", "x", "y", F.regexp_extract("topic_id", r"_t(\d+)$", 1).cast("int").alias("_no"))
+    in_all = cents.groupBy("domain_id").agg(F.sum("size").alias("_in_all"))
     return {
-        "publication_topics": places.withColumnRenamed("domain", "domain_id"),
-        "topic_map_centroids": cents.select(F.col("domain").alias("domain_id"), "topic_id", F.col("label").alias("topic_label"), "top_terms", "size", "x", "y"),
+        "publication_topics": places.withColumnRenamed("domain", "domain_id").join(facts.select("uid", F.col("seq").alias("_seq")), "uid"),
+        "topic_map_centroids": cents.join(F.broadcast(in_all), "domain_id"),
     }
 
 
@@ -143,62 +183,117 @@ def _network(bridge: DataFrame, attributes: DataFrame, cap: int | None, layers:
     return {"edges": e.select(network.edge_id().alias("edge_id"), F.col("layer").alias("domain"), "source", "target", "weight"), "nodes": nodes.select(*cols, "x", "y", "degree", "weighted_degree", "n_publications"), "paths": network.paths(e, placed).withColumnRenamed("layer", "domain")}
 
 
+def _named(t: DataFrame, v: Vocabularies) -> DataFrame:
+    """`t` (domain_id, ...) with domain_label."""
+    names = v.domains.groupBy(F.col("label_id").alias("domain_id")).agg(F.min("label").alias("domain_label"))
+    return t.join(classify.small(names), "domain_id", "left").withColumn("domain_label", F.coalesce("domain_label", F.lit("Other infectious disease")))
+
+
+def publications(facts: DataFrame) -> DataFrame:
+    return facts.select("uid", "title", "year", "journal", "primary_domain", "primary_subdomain", F.col("singapore_led").cast("int").alias("singapore_led"), "n_authors", "n_countries", F.col("seq").alias("_seq"))
+
+
+def publication_domains(dom: DataFrame, facts: DataFrame, v: Vocabularies) -> DataFrame:
+    base = facts.select("uid", "year", F.col("singapore_led").cast("int").alias("singapore_led"), F.col("seq").alias("_seq"))
+    return _named(dom, v).join(base, "uid").select("uid", "domain_id", "domain_label", "is_primary", F.col("score").alias("domain_score"), "year", "singapore_led", "_seq")
+
+
+def summary_by_domain_year(domains: DataFrame, facts: DataFrame) -> DataFrame:
+    """Publications, those led from the place and international ones (two countries or more) by domain and year; a publication counts in each of
+    its domains."""
+    international = facts.select("uid", (F.col("n_countries") > 1).alias("intl"))
+    return domains.join(international, "uid").groupBy("domain_id", "domain_label", "year").agg(F.count("*").alias("publications"), F.sum("singapore_led").alias("singapore_led"), F.count_if("intl").alias("international"))
+
+
+def publication_authors(aff: DataFrame) -> DataFrame:
+    """(uid, author_no, author_key, label, institution_id): one row per author with a key; of several institutions the first by text."""
+    return aff.where("author_key IS NOT NULL").groupBy("uid", "author_no").agg(F.min("author_key").alias("author_key"), F.min("label").alias("label"), F.min("institution").alias("institution_id"))
+
+
+def publication_institutions(aff: DataFrame) -> DataFrame:
+    return aff.where("institution IS NOT NULL").select("uid", F.col("institution").alias("institution_id"), "country", "region", "sector").distinct()
+
+
+def publication_countries(aff: DataFrame) -> DataFrame:
+    return aff.where("country IS NOT NULL").groupBy("uid", "country").agg(F.min("region").alias("region"), F.min("iso3").alias("iso3"))
+
+
+def author_labels(authors: DataFrame) -> DataFrame:
+    """(author_key, label): the most frequent spelling, of equals the first by text."""
+    n = authors.groupBy("author_key", "label").agg(F.count("*").alias("n"))
+    return n.groupBy("author_key").agg(F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("b")).select("author_key", F.col("b.label").alias("label"))
+
+
+def author_institutions(authors: DataFrame) -> DataFrame:
+    """(author_key, institution): the one on most publications, of equals the first by text; authors without any have no row."""
+    n = authors.where("institution_id IS NOT NULL").groupBy("author_key", "institution_id").agg(F.count("*").alias("n"))
+    return n.groupBy("author_key").agg(F.min(F.struct((-F.col("n")).alias("n"), "institution_id")).alias("b")).select("author_key", F.col("b.institution_id").alias("institution"))
+
+
+def node_attributes(authors: DataFrame, v: Vocabularies, o: Options) -> dict[str, DataFrame]:
+    """Attributes of nodes by network: node_id, label, country, region, sector, iso3, is_singapore. Those of an author are the attributes of
+    the author's institution, null where none was resolved; countries have no sector."""
+    cattr = v.countries.groupBy("country").agg(F.min("region").alias("region"), F.min("iso3").alias("iso3"))
+    iattr = v.institutions.groupBy(F.col("label").alias("institution")).agg(F.min("country").alias("country"), F.min("region").alias("region"), F.min("sector").alias("sector")).join(classify.small(cattr.select("country", "iso3")), "country", "left")
+    flagged = lambda df: df.withColumn("is_singapore", F.coalesce((F.lower("country") == o.place.lower()).cast("int"), F.lit(0)))
+    shown = lambda df, node, label: flagged(df).select(F.col(node).alias("node_id"), F.col(label).alias("label"), "country", "region", "sector", "iso3", "is_singapore")
+    of_author = author_labels(authors).join(author_institutions(authors), "author_key", "left").join(classify.small(iattr), "institution", "left")
+    return {"institution": shown(iattr, "institution", "institution"), "author": shown(of_author, "author_key", "label"), "country": shown(cattr.withColumn("sector", F.lit(None).cast("string")), "country", "country")}
+
+
 def dataset(t: dict[str, DataFrame], v: Vocabularies, o: Options) -> dict[str, DataFrame]:
-    """The published tables by name."""
+    """The published tables by name; columns that begin with `_` give their order only."""
     facts, dom, aff = t["facts"], t["domains"], t["affiliations"]
-    names = v.domains.groupBy(F.col("label_id").alias("domain_id")).agg(F.min("label").alias("domain_label"))
-    base = facts.select("uid", "year", F.col("singapore_led").cast("int").alias("singapore_led"))
-    labelled = dom.join(names, "domain_id", "left").withColumn("domain_label", F.coalesce("domain_label", F.lit("Other infectious disease")))
-    pd_ = labelled.join(base, "uid").select("uid", "domain_id", "domain_label", "is_primary", F.col("score").alias("domain_score"), "year", "singapore_led")
+    seq = facts.select("uid", F.col("seq").alias("_seq"))
+    pd_ = publication_domains(dom, facts, v)
     tn = v.types.groupBy(F.col("label_id").alias("type_id")).agg(F.min("label").alias("type_label"))
-    prt = t["types"].join(tn, "type_id").join(facts.select("uid", "year", "primary_domain"), "uid").select("uid", "type_id", "type_label", F.col("score").alias("type_score"), "year", "primary_domain")
-    international = facts.select("uid", (F.col("n_countries") > 1).alias("intl"))
-    here = (F.lower("country") == o.place.lower()).cast("int")
-    prim = facts.select("uid", F.col("primary_domain").alias("domain"))
+    prt = t["types"].join(classify.small(tn), "type_id").join(facts.select("uid", "year", "primary_domain"), "uid").select("uid", "type_id", "type_label", F.col("score").alias("type_score"), "year", "primary_domain")
     domains = dom.select("uid", F.col("domain_id").alias("domain"))
-    authors = aff.where("author_key IS NOT NULL").groupBy("uid", "author_no").agg(F.min("author_key").alias("author_key"), F.min("label").alias("label"), F.min("institution").alias("institution_id"))
-    inst = aff.where("institution IS NOT NULL").select("uid", F.col("institution").alias("node"), "country", "region", "sector").distinct()
-    cty = aff.where("country IS NOT NULL").select("uid", F.col("country").alias("node"), "region", "iso3").distinct()
-    spelled = authors.groupBy("author_key", "label").agg(F.count("*").alias("n")).groupBy("author_key").agg(F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("b")).select(F.col("author_key").alias("node_id"), F.col("b.label").alias("label"))
-    modal = authors.where("institution_id IS NOT NULL").groupBy("author_key", "institution_id").agg(F.count("*").alias("n")).groupBy("author_key").agg(F.min(F.struct((-F.col("n")).alias("n"), "institution_id")).alias("b")).select(F.col("author_key").alias("node_id"), F.col("b.institution_id").alias("institution"))
-    iattr = v.institutions.groupBy(F.col("label").alias("institution")).agg(F.min("country").alias("country"), F.min("region").alias("region"), F.min("sector").alias("sector"))
-    cattr = v.countries.groupBy("country").agg(F.min("region").alias("region"), F.min("iso3").alias("iso3"))
-    flag = lambda df: df.withColumn("is_singapore", F.coalesce(here, F.lit(0)))
-    with_iso = lambda df: df.join(cattr.select("country", "iso3"), "country", "left")
-    nets = {
-        "institution": _network(inst.join(domains, "uid"), flag(with_iso(iattr)).select(F.col("institution").alias("node_id"), F.col("institution").alias("label"), "country", "region", "sector", "iso3", "is_singapore"), None, ["domain"]),
-        "author": _network(authors.select("uid", F.col("author_key").alias("node")).join(domains, "uid"), spelled.join(flag(with_iso(modal.join(iattr, "institution", "left"))), "node_id", "left").select("node_id", "label", "country", "region", "sector", "iso3", F.coalesce("is_singapore", F.lit(0)).alias("is_singapore")), o.author_cap, ["domain"]),
-        "country": _network(cty.join(domains, "uid"), flag(cattr).select(F.col("country").alias("node_id"), F.col("country").alias("label"), "country", "region", F.lit(None).cast("string").alias("sector"), "iso3", "is_singapore"), None, ["domain"]),
-    }
+    authors = cut(publication_authors(aff), "authors")
+    inst, cty = publication_institutions(aff), publication_countries(aff)
+    attributes = node_attributes(authors, v, o)
+    bridges = {"institution": inst.select("uid", F.col("institution_id").alias("node")), "author": authors.select("uid", F.col("author_key").alias("node")), "country": cty.select("uid", F.col("country").alias("node"))}
+    nets = {k: _network(b.join(domains, "uid"), attributes[k], o.author_cap if k == "author" else None, ["domain"]) for k, b in bridges.items()}
     top = authors.select("uid", "author_key").distinct().join(domains, "uid")
     per = top.groupBy("author_key", F.col("domain").alias("domain_id")).agg(F.count_distinct("uid").alias("n_publications"))
     every = top.groupBy("author_key").agg(F.count_distinct("uid").alias("n_publications")).select("author_key", F.lit(network.ALL).alias("domain_id"), "n_publications")
-    sub = t["subdomains"].join(names, "domain_id", "left").withColumn("domain_label", F.coalesce("domain_label", F.lit("Other infectious disease")))
+    sub = _named(t["subdomains"], v)
     out = {
-        "publications": facts.select("uid", "title", "year", "journal", "primary_domain", "primary_subdomain", F.col("singapore_led").cast("int").alias("singapore_led"), "n_authors", "n_countries"),
+        "publications": publications(facts),
         "publication_domains": pd_,
-        "publication_subdomains": sub.where("is_primary = 1").select("uid", "domain_id", "subdomain", "subdomain_mesh", "is_primary", "vocabulary_rank"),
-        "publication_research_types": prt,
-        "publication_authors": authors,
-        "publication_institutions": inst.select("uid", F.col("node").alias("institution_id"), "country", "region", "sector"),
-        "publication_countries": cty.select("uid", F.col("node").alias("country"), "region", "iso3"),
+        "publication_subdomains": sub.where("is_primary = 1").select("uid", "domain_id", "subdomain", "subdomain_mesh", "is_primary", "vocabulary_rank").join(seq, "uid"),
+        "publication_research_types": prt.join(seq, "uid"),
+        "publication_authors": authors.join(seq, "uid"),
+        "publication_institutions": inst.join(seq, "uid"),
+        "publication_countries": cty.join(seq, "uid"),
         "summary_top_authors": per.unionByName(every),
-        "summary_by_domain_year": pd_.join(international, "uid").groupBy("domain_id", "domain_label", "year").agg(F.count("*").alias("publications"), F.sum("singapore_led").alias("singapore_led"), F.count_if("intl").alias("international")),
+        "summary_by_domain_year": summary_by_domain_year(pd_, facts),
         "summary_subdomain_year": sub.where("is_primary = 1").join(facts.select("uid", "year"), "uid").groupBy("domain_id", "domain_label", F.col("subdomain").alias("subdomain_label"), "year").agg(F.count("*").alias("publications")),
         "summary_research_type_year": prt.groupBy("type_label", "year").agg(F.count("*").alias("publications")),
     }
     for k, x in nets.items():
         e = x["edges"] if k != "author" else x["edges"].where(F.col("domain") != network.ALL)
-        out |= {f"coauthor_{k}_edges": e, f"network_{k}_nodes": x["nodes"], f"network_{k}_paths": x["paths"] if k != "author" else x["paths"]}
+        out |= {f"coauthor_{k}_edges": e, f"network_{k}_nodes": x["nodes"], f"network_{k}_paths": x["paths"]}
     return out | topic_tables(facts, o)
 
 
-ORDER = {
-    "publications": ["uid"], "publication_domains": ["uid", "domain_score"], "publication_subdomains": ["uid"], "publication_research_types": ["uid", "type_id"], "publication_authors": ["uid", "author_no"],
-    "publication_institutions": ["uid", "institution_id"], "publication_countries": ["uid", "country"], "summary_top_authors": ["author_key", "domain_id"], "summary_by_domain_year": ["domain_id", "year"],
-    "summary_subdomain_year": ["domain_id", "subdomain_label", "year"], "summary_research_type_year": ["type_label", "year"], "publication_topics": ["uid"], "topic_map_centroids": ["domain_id", "topic_id"],
+def order_of(name: str) -> list[str | Column]:
+    """The published order of a table: records as first seen, labels by score, topics by the size of their domain, others by their keys."""
+    by_record = {
+        "publications": [], "publication_domains": [F.desc("is_primary"), F.desc_nulls_last("domain_score"), "domain_id"], "publication_subdomains": ["domain_id"], "publication_research_types": [F.desc("type_score"), "type_id"],
+        "publication_authors": ["author_no"], "publication_institutions": ["institution_id"], "publication_countries": ["country"], "publication_topics": [],
+    }
+    if name in by_record:
+        return ["_seq", "uid", *by_record[name]]
+    return [F.desc("_in_all"), "domain_id", "_no"] if name == "topic_map_centroids" else KEYS[name]
+
+
+KEYS = {
+    "summary_top_authors": ["author_key", "domain_id"], "summary_by_domain_year": ["domain_id", "year"], "summary_subdomain_year": ["domain_id", "subdomain_label", "year"],
+    "summary_research_type_year": ["type_label", "year"], "topic_map_centroids": [],
     **{f"coauthor_{k}_edges": ["edge_id"] for k in ("institution", "author", "country")}, **{f"network_{k}_nodes": ["node_id"] for k in ("institution", "author", "country")}, **{f"network_{k}_paths": ["edge_id", "node_id"] for k in ("institution", "author", "country")},
 }
+TABLES = ("publications", "publication_domains", "publication_subdomains", "publication_research_types", "publication_authors", "publication_institutions", "publication_countries", "publication_topics", *KEYS)
 
 
 def checks(t: dict[str, DataFrame]) -> DataFrame:

@@ -61,7 +61,21 @@ def leads(spark: SparkSession, run_dir: str, first_id: int = 10**12) -> DataFram
 
 
 def decisions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DECISION).json(path)
+    """Decisions, one a line, with `line`, which tells their order: the later of two on one record counts. Lines that can't be read are left out."""
+    parsed = F.from_json("value", DECISION + ", bad string", {"columnNameOfCorruptRecord": "bad"})
+    line = F.struct(_file().alias("file"), _file("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    df = spark.read.text(path).select(parsed.alias("r"), line.alias("line"))
+    return df.where("r.bad IS NULL AND r IS NOT NULL").select("r.*", "line").drop("bad")
+
+
+def coverage(pages: DataFrame, fetched: DataFrame) -> DataFrame:
+    """(query_id, reported, listed, fetched, share): hits the search reported and listed, and articles fetched, by query; share of the reported
+    hits that was fetched, null where none were reported. Queries of one side only are kept."""
+    p = pages.groupBy("query_id").agg(F.max("total_count").alias("reported"), F.sum("returned_count").alias("listed"))
+    f = fetched.groupBy("query_id").agg(F.count("*").alias("fetched"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    out = p.join(f, "query_id", "full_outer").select("query_id", zero("reported"), zero("listed"), zero("fetched"))
+    return out.withColumn("share", F.when(F.col("reported") > 0, F.round(F.col("fetched") / F.col("reported"), 6)))
 
 
 def stage(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

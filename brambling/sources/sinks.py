@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brambling.sources import files
+
 HAND_COLUMNS = ("pubmed_author_query", "orcid", "domains", "notes", "active")
 
 
-def csv(df: DataFrame, path: str, order: list[str] | None = None, single: bool = True) -> None:
-    """UTF-8 CSV with header, CRLF and minimal quoting; null is empty, booleans are 0 and 1. single: one file (for published tables,
-    which are small); otherwise as many as there are partitions."""
+def csv(df: DataFrame, path: str, order: Sequence[str | Column] = ()) -> None:
+    """One CSV file at `path`: UTF-8 with header, CRLF and minimal quoting; null is empty, booleans are 0 and 1. Columns that begin with `_` may
+    serve the order and are left out."""
     flat = df.select(*[F.col(c).cast("int").alias(c) if t == "boolean" else F.col(c) for c, t in df.dtypes])
-    if order:
-        flat = flat.orderBy(*order)
-    out = flat.coalesce(1) if single else flat
-    out.write.mode("overwrite").option("header", True).option("lineSep", "\r\n").option("escape", '"').option("emptyValue", "").option("nullValue", "").csv(path)
+    flat = flat.orderBy(*order) if order else flat
+    shown = [c for c in df.columns if not c.startswith("_")]
+    files.one_file(flat.select(*shown), path, "csv", ",".join(shown) + "\r\n", header=False, lineSep="\r\n", escape='"', emptyValue="", nullValue="")
 
 
-def json_lines(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+def json_lines(df: DataFrame, path: str, order: Sequence[str | Column] = ()) -> None:
+    """One file of JSON lines at `path`; nulls are written."""
+    files.one_file(df.orderBy(*order) if order else df, path, "json", ignoreNullFields=False)
 
 
 def upsert_roster(old: DataFrame, fetched: DataFrame, key: str = "profile_url", keep: tuple[str, ...] = HAND_COLUMNS) -> DataFrame:

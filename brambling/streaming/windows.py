@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from brambling.runtime import shared_dir
+from brambling.sources.files import found, is_folder
 
 
 def _timed(events: DataFrame, late: str) -> DataFrame:
@@ -47,23 +49,29 @@ def first_seen(events: DataFrame, key: str = "event_id", late: str = "2 hours")
     return e.dropDuplicatesWithinWatermark([key]) if e.isStreaming else e.dropDuplicates([key])
 
 
-def streamed(spark: SparkSession, path: str, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The result of `step` over the files at `path` read as a stream, run to the end of what is there, as a table. The stream's
-    checkpoint and output lie in the shared folder, so that a lost executor or driver can resume."""
+def streamed(spark: SparkSession, path: str, step: Callable[[DataFrame], DataFrame], keys: Sequence[str], files_per_batch: int | None = None) -> DataFrame:
+    """The result of `step` over the files at `path` read as a stream, run to the end of what is there, as a table.
+
+    A batch writes the rows that changed in it (output mode update), under its number, so that a batch run again replaces itself; of
+    each of the columns `keys` the row of the last batch counts. State is kept for open windows only: the watermark of `step` drops the others,
+    and rows later than that. The stream's checkpoint and output lie in the shared folder, so that a lost executor or driver can resume.
+    """
     base = f"{shared_dir(spark)}/brambling/stream-{uuid.uuid4().hex}"
     schema = spark.read.parquet(path).schema
     folder, _, name = path.rstrip("/").rpartition("/")
-    where, pattern = (path, "*.parquet") if _is_dir(spark, path) else (folder, name)
-    out = step(spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(where))
+    where, pattern = (path, "*.parquet") if is_folder(spark, path) else (folder, name)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    out = step(reader.parquet(where))
 
     def save(batch: DataFrame, n: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/out")
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch={n}")
 
-    q = out.writeStream.outputMode("complete").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).foreachBatch(save).start()
+    q = out.writeStream.outputMode("update").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).foreachBatch(save).start()
     q.awaitTermination()
-    return spark.read.schema(out.schema).parquet(f"{base}/out")
-
-
-def _is_dir(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+    if not found(spark, f"{base}/out/batch=*"):
+        return out.sparkSession.createDataFrame([], out.schema)
+    rows = spark.read.schema(StructType([*out.schema.fields, StructField("batch", LongType())])).option("basePath", f"{base}/out").parquet(f"{base}/out")
+    rest = [c for c in out.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*[F.col(c) if c in keys else F.col(f"r.{c}").alias(c) for c in out.columns])

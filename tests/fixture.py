@@ -1,77 +1,135 @@
-"""A small run directory of our own making: every case the stages must tell apart. All records are invented."""
+"""A run directory made from a table of cases: what each case is, how often it occurs, and what must become of it. All records are invented."""
 
 import json
+from dataclasses import dataclass, field
 from pathlib import Path
 
-SG = "Riverside Hospital, Singapore; Harbour Institute, Singapore."
-ABROAD = "Institute of Fevers, Lima, Peru."
-OFFICE = "Medical Affairs, Brightwell Pharmaceuticals Ltd Singapore Branch, Singapore."
-
-
-def author(last, fore, *affs):
-    return {"last_name": last, "fore_name": fore, "initials": fore[:1], "affiliations": list(affs)}
-
-
-def article(pmid, title, abstract, authors, year=2022, types=("Journal Article",), lang="eng", mesh=()):
-    r = {"identifiers": {"pmid": pmid, "doi": f"10.5555/Own.{pmid}"}, "title": title, "abstract": abstract, "doi": f"10.5555/Own.{pmid}", "journal": {"title": "Own Journal", "iso_abbreviation": "Own J"}, "authors": authors, "publication_date": {"year": str(year), "month": "06", "day": "01"}, "article_types": list(types), "language": lang, "citation": {"pages": "1-2"}}
-    return r | ({"mesh_terms": list(mesh)} if mesh else {})
-
-
-TAN, LIM = author("Tan", "Wei", SG), author("Lím", "Hui", SG)
-PEREZ = author("Perez", "Ana", ABROAD)
-TB1 = article("10", "Screening for latent tuberculosis in a dormitory", "We tested workers in Singapore for tuberculosis.", [TAN, LIM], mesh=("Latent Tuberculosis", "Humans"))
-PAGES = {
-    "geo_vector_borne": [
-        article("1", "Dengue clusters by rainfall", "Dengue cases in Singapore.", [TAN, LIM, author("Ong", "Bo", SG)], 2024, mesh=("Dengue", "Aedes", "Singapore")),
-        article("2", "Release of Wolbachia males", "Wolbachia and Aedes in tall blocks of Singapore.", [LIM, TAN], 2023, mesh=("Aedes", "Mosquito Control")),
-        article("70", "Dengue vaccine views of doctors", "A survey on dengue.", [author("Soto", "Lu", "Clinic, Cali, Colombia."), author("Green", "Al", OFFICE)], 2026, mesh=("Dengue",)),
-        article("71", "Dengue treatments to come", "Dengue in Singapore.", [TAN], 2027),
-    ],
-    "geo_tb": [TB1, article("11", "HIV and tuberculosis together", "People with HIV treated for tuberculosis.", [LIM, PEREZ], 2021, mesh=("Tuberculosis", "HIV Infections"))],
-    "geo_amr_hai": [
-        article("20", "Carbapenem resistance across hospitals", "Carbapenemase carriage in seven hospitals.", [TAN], 2023, mesh=("Cross Infection", "Antimicrobial Stewardship")),
-        article("21", "Hand hygiene and MRSA", "MRSA fell with hand hygiene.", [LIM, PEREZ], 2020, mesh=("Hand Hygiene",)),
-    ],
-    "geo_rti": [
-        article("30", "COVID-19 in dormitories", "Spread of SARS-CoV-2.", [TAN, LIM], 2021, mesh=("COVID-19",)),
-        article("31", "Ventilator-associated pneumonia by multidrug-resistant germs", "Pneumonia in intensive care, multidrug-resistant.", [TAN], 2022, mesh=("Pneumonia, Ventilator-Associated",)),
-        article("32", "Influenza vaccine effectiveness in older adults", "Influenza vaccine effectiveness by test-negative design.", [LIM], 2019, mesh=("Influenza, Human",)),
-    ],
-    "geo_sti": [
-        article("40", "Pre-exposure prophylaxis for HIV", "HIV prophylaxis in Singapore.", [TAN], 2023, mesh=("HIV Infections",)),
-        article("41", "Susceptibility of gonorrhoea", "Neisseria gonorrhoeae at a clinic.", [TAN, LIM], 2024, mesh=("Gonorrhea",)),
-    ],
-    "geo_all_id": [
-        TB1,
-        article("50", "Invest in preparedness against dengue", "An editorial on dengue.", [TAN], 2023, types=("Editorial",)),
-        article("51", "La dengue à Singapour", "La dengue.", [TAN], 2022, lang="fre"),
-        article("52", "Dengue: a review of 20 years", "", [TAN], 2023),
-        article("53", "Dengue vaccines in three cities", "Dengue data from Dhaka, Kathmandu and Singapore.", [PEREZ], 2022),
-        article("54", "A case of dengue after travel", "We report dengue in a traveller.", [TAN], 2024, types=("Letter",)),
-        article("55", "Hepatitis B after universal vaccination", "A serosurvey of hepatitis B.", [TAN], 2023, mesh=("Hepatitis B",)),
-        article("56", "Malaria control on a river", "Malaria and Anopheles along a river.", [PEREZ], 2023),
-        article("57", "Tuberculosis after surgery", "A single patient with tuberculosis.", [TAN], 2023, types=("Case Reports",)),
-        article("58", "Chikungunya in the past", "Chikungunya in Singapore.", [TAN], 2010),
-    ],
+PLACE, FIRST_YEAR, LAST_YEAR = "singapore", 2015, 2026
+
+# what a record of a domain says in title and abstract, and its heading
+TERMS = {
+    "vector_borne": ("malaria", "Malaria"),
+    "sti": ("syphilis", "Syphilis"),
+    "tb": ("bedaquiline", "Tuberculosis"),
+    "rti": ("pertussis", "Whooping Cough"),
+    "amr_hai": ("surgical-site infection", "Surgical Wound Infection"),
+    "other_id": ("leptospirosis", "Leptospirosis"),
 }
-LEADS = [
-    {"title": "Dengue policy: a review", "authors_raw": "A Tan", "year": "2021", "venue": "Policy", "url": "https://x.example/1", "source": "scholar", "snippet": "Dengue programme of Singapore."},
-    {"title": "dengue clusters BY rainfall.", "authors_raw": "W Tan", "year": "2024", "venue": "Own J", "url": "https://x.example/2", "source": "scholar", "snippet": "Dengue."},
-]
-DECISIONS = [
-    ("70", "exclude", "EXC-GEO-02"), ("55", "include", "INC-TOP-01"), ("52", "include", "INC-TOP-01"), ("57", "exclude", "EXC-TYP-02"), ("54", "include", "INC-TYP-01"), ("53", "exclude", "EXC-GEO-01"),
+HERE = ["Meridian Hospital, Singapore; Kestrel Institute, Singapore.", "Kestrel Institute, Singapore. Electronic address: desk@kestrel.example"]
+ABROAD = "Andes Institute, Quito, Peru."
+OFFICE = "Trials unit, Oakmoor Biologics Inc, Singapore."
+
+
+@dataclass
+class Case:
+    """before: verdict by rules. after: by decisions, where there is one. reason: the rule's id. domains: all that the record has."""
+
+    name: str
+    times: int
+    before: str
+    domains: tuple[str, ...] = ("vector_borne",)
+    reason: str = ""
+    after: str = ""
+    record: dict = field(default_factory=dict)
+    lead: bool = False
+    fetched: int = 1  # in so many queries
+
+
+CASES = [
+    *[Case(f"plain {d}", n, "included", (d,)) for d, n in (("vector_borne", 6), ("sti", 2), ("tb", 3), ("rti", 2), ("amr_hai", 4))],
+    Case("two domains", 2, "included", ("tb", "sti")),
+    Case("two domains again", 1, "included", ("amr_hai", "rti"), fetched=3),
+    Case("booster dose of a vaccine", 2, "included", ("rti",), record={"title": "Vaccination and a booster dose against {t}"}),
+    Case("fetched by two queries", 2, "included", ("amr_hai",), fetched=2),
+    Case("led from abroad", 2, "included", ("vector_borne",), record={"ends": ABROAD}),
+    Case("comment", 2, "excluded", reason="EXC-TYP-01", record={"types": ["Comment"]}),
+    Case("news", 1, "excluded", reason="EXC-TYP-01", record={"types": ["Journal Article", "News"]}),
+    Case("in Spanish", 2, "excluded", reason="EXC-TYP-03", record={"language": "spa"}),
+    Case("too early", 1, "excluded", reason="EXC-TYP-04", record={"year": FIRST_YEAR - 6}),
+    Case("too late", 2, "excluded", reason="EXC-TYP-04", record={"year": LAST_YEAR + 3}),
+    Case("elsewhere", 3, "excluded", reason="EXC-GEO-01", record={"all": ABROAD}),
+    Case("office only", 2, "uncertain", reason="EXC-GEO-02", after="excluded", record={"all": OFFICE}),
+    Case("place in the text only", 1, "uncertain", reason="INC-GEO-02", after="excluded", record={"all": ABROAD, "abstract": "Data on {t} from Singapore."}),
+    Case("letter", 2, "uncertain", reason="UNC-LETTER", after="included", record={"types": ["Letter"]}),
+    Case("single patient", 1, "uncertain", reason="EXC-TYP-02", record={"types": ["Case Reports"]}),
+    Case("without abstract", 1, "uncertain", reason="EXC-GEN-03", after="included", record={"title": "{t}: malaria then and now", "abstract": "", "heading": "Malaria"}),
+    Case("no domain", 2, "uncertain", ("other_id",), "UNC-DOMAIN", "included"),
+    Case("lead only", 2, "uncertain", reason="UNC-LEAD", lead=True),
 ]
+SPELLED_ANEW = 2  # leads with the title of an article, in other formatting
+
+
+def records():
+    """(case, uid, article or lead) for each record of the table, numbered from 9001."""
+    out, n = [], 9000
+    for c in CASES:
+        for _ in range(c.times):
+            n += 1
+            t = [TERMS[d] for d in c.domains]
+            words = " and ".join(x for x, _ in t)
+            title = c.record.get("title", "Study {n} on {t}").format(t=words, n=n) + f" ({c.name} {n})"
+            if c.lead:
+                out.append((c, None, {"title": title, "authors_raw": "B Koh", "year": "2020", "venue": "Notes", "url": f"https://leads.example/{n}", "source": "scholar", "snippet": f"About {words}."}))
+                continue
+            everyone = c.record.get("all")
+            first = everyone or c.record.get("ends") or HERE[n % 2]
+            last = everyone or c.record.get("ends") or HERE[0]
+            people = [("Koh", "Bea", first), ("Díaz", "Eva", everyone or HERE[1]), ("Ng" if n % 3 else "Koh", "Sam", last)]
+            doi = f"10.7777/Fix.{n}"
+            out.append((c, f"doi:{doi.lower()}", {
+                "identifiers": {"pmid": str(n), "doi": doi}, "title": title, "abstract": c.record.get("abstract", "We looked at {t} for a year.").format(t=words), "doi": doi,
+                "journal": {"title": f"Annals {n % 4}", "iso_abbreviation": f"Ann {n % 4}"}, "authors": [{"last_name": x, "fore_name": y, "initials": y[0], "affiliations": [z]} for x, y, z in people],
+                "publication_date": {"year": str(c.record.get("year", 2018 + n % 7)), "month": "03", "day": "09"}, "article_types": c.record.get("types", ["Journal Article"]),
+                "language": c.record.get("language", "eng"), "citation": {"pages": "9"}, "mesh_terms": [c.record.get("heading", h) for _, h in t] + ["Humans", "Seasons"],
+            }))
+    return out
+
+
+RECORDS = records()
+
+
+def pages():
+    """Articles by query: a record fetched k times is in k queries."""
+    names = [f"geo_{d}" for d in TERMS]
+    out = {q: [] for q in names}
+    for c, uid, r in RECORDS:
+        if uid:
+            at = names.index(f"geo_{c.domains[0]}")
+            for k in range(c.fetched):
+                out[names[(at + k) % len(names)]].append(r)
+    return out
+
+
+def leads():
+    articles = [r for _, uid, r in RECORDS if uid]
+    again = [{"title": r["title"].upper().replace(" ", "  ") + "!", "authors_raw": "", "year": "n.d.", "venue": "", "url": f"https://leads.example/{i}", "source": "scholar", "snippet": ""} for i, r in enumerate(articles[:SPELLED_ANEW])]
+    return [r for _, uid, r in RECORDS if not uid] + again
+
+
+def totals(after=False):
+    out = dict.fromkeys(("included", "excluded", "uncertain"), 0)
+    for c, _, _ in RECORDS:
+        out[(after and c.after) or c.before] += 1
+    return out
 
 
 def write(run_dir):
     raw = Path(run_dir) / "raw"
     raw.mkdir(parents=True)
-    for q, a in PAGES.items():
-        (raw / f"pubmed_{q}_1.json").write_text(json.dumps({"articles": a, "count": len(a)}, indent=2))
-        (raw / f"pubmed_{q}_0.json").write_text(json.dumps({"pmids": [x["identifiers"]["pmid"] for x in a], "total_count": 10 * len(a), "returned_count": len(a), "has_more": True}))
-    (raw / "scholar_sch_vector_borne.jsonl").write_text("".join(json.dumps(x) + "\n" for x in LEADS))
+    for q, a in pages().items():
+        half = len(a) // 2
+        for i, part in enumerate((a[:half], a[half:]), 1):
+            (raw / f"pubmed_{q}_{i}.json").write_text(json.dumps({"articles": part, "count": len(part)}, indent=2))
+        (raw / f"pubmed_{q}_0.json").write_text(json.dumps({"pmids": [x["identifiers"]["pmid"] for x in a], "total_count": 4 * len(a), "returned_count": len(a), "has_more": True}))
+    (raw / "scholar_sch_all.jsonl").write_text("".join(json.dumps(x) + "\n" for x in leads()) + "{broken\n")
 
 
 def write_decisions(run_dir):
-    rows = [{"uid": f"doi:10.5555/own.{i}", "decision": d, "rule_id": r, "reason": "read in full", "decided_by": "user"} for i, d, r in DECISIONS]
-    (Path(run_dir) / "screening" / "decisions.jsonl").write_text("".join(json.dumps(x) + "\n" for x in rows))
+    """Each decision twice: first the opposite, then, on a later line, the one that counts."""
+    word = {"included": "include", "excluded": "exclude"}
+    other = {"included": "excluded", "excluded": "included"}
+    decided = [(uid, c) for c, uid, _ in RECORDS if c.after]
+    rows = [{"uid": uid, "decision": word[v(c.after)], "rule_id": f"PPL-{c.reason}", "reason": "full text", "decided_by": "user"} for v in (other.get, str) for uid, c in decided]
+    path = Path(run_dir) / "screening" / "decisions.jsonl"
+    path.parent.mkdir(exist_ok=True)
+    path.write_text("".join(json.dumps(x) + "\n" for x in rows) + "not json\n")

@@ -1,8 +1,10 @@
 """Edge cases and brute force of the general operators."""
 
+import datetime
 import itertools
 import json
 import math
+import os
 import random
 import warnings
 from collections import Counter, defaultdict
@@ -178,6 +180,25 @@ def test_single_and_odd_fields(parser):
     assert parser.parse(many) == ["X, Kenya"] * 2000
 
 
+def test_any_number_of_delimiters(parser):
+    """All delimiters of a field are looked at, as brute force over all divisions does; one value with many strokes stays one."""
+    one = "Unit of Strokes " + " / ".join(["xy"] * 81) + ", Meridian Institute, Kenya"
+    assert len(parser.parse(one)) == 1
+    assert len(parser.parse("; ".join(f"Dept {k}, Town, Kenya" for k in range(200)))) == 200
+    rnd = random.Random(5)
+    for _ in range(40):
+        text = "".join(rnd.choice(["Dept a", "Town", "Kenya", ", ", ", ", " / ", "; ", " | "]) for _ in range(rnd.randint(4, 16))).strip(" ,/;|")
+        bits, parts, _ = parser._parse(text, False)
+        marks = [(m.start(), m.end()) for m in dialect._CUT.finditer(text) if 0 < m.start() and m.end() < len(text)]
+        costs = []
+        for chosen in itertools.product((False, True), repeat=len(marks)):
+            kept = [m for m, c in zip(marks, chosen, strict=True) if c]
+            edges = [0, *(x for m in kept for x in m), len(text)]
+            costs.append(sum(parser.length(text[i:j]) for i, j in zip(edges[::2], edges[1::2], strict=True)) + dialect.PER_CUT * len(kept))
+        kinds = {m.lastgroup for m in dialect._CUT.finditer(text)}
+        assert min(costs) <= bits <= min(costs) + dialect.PER_DIALECT * len(kinds)
+
+
 def test_with_values(spark):
     data = [(i, "X, Kenya") for i in range(20)] + [(50, "X, Kenya; Y, Kenya"), (51, None), (52, ""), (50, "X, Kenya; Y, Kenya")]
     df = spark.createDataFrame([(*d, "q") for d in data], "id int, t string, v string")
@@ -280,12 +301,10 @@ def test_spring_is_fixed_and_inside():
     assert network.spring([], []) == {} and network.spring(["a"], []) == {"a": (0.5, 0.5)}
 
 
-def test_layout_checks_its_size(spark):
+def test_layout_places_any_number_of_nodes(spark):
     n = spark.range(10).select(F.col("id").cast("string").alias("node_id"))
     e = spark.createDataFrame([("ALL", "1", "2", 1)], "layer string, source string, target string, weight bigint")
-    assert network.layout(n, e).count() == 10
-    with pytest.raises(ValueError, match="10 nodes"):
-        network.layout(n, e, 5)
+    assert network.layout(n, e).count() == 10 == network.layout(n, e, 5).select("node_id").distinct().count()
 
 
 def test_anchors_keep_apart():
@@ -343,8 +362,8 @@ def test_unconverged_topics_are_reported(spark):
 
 
 def test_number_of_topics_follows_size():
-    n = [topics.topic_count(x, 3, 25) for x in (2, 30, 200, 400, 20_000, 2_000_000)]
-    assert n == [1, 1, 8, 14, 100, 1000]
+    n = [topics.topic_count(x, 3, 25) for x in (0, 3, 4, 30, 200, 400, 20_000, 2_000_000)]
+    assert n == [1, 1, 2, 2, 8, 14, 100, 1000]
 
 
 def test_misplaced(spark):
@@ -371,8 +390,13 @@ def test_json_block(spark, tmp_path):
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("b", 'q"x, y', None, True), ("a", "", 1, False)], "k string, s string, n int, f boolean")
     sinks.csv(df, str(tmp_path / "o"), ["k"])
-    body = next((tmp_path / "o").glob("part-*")).read_bytes()
+    body = (tmp_path / "o").read_bytes()
     assert body == b'k,s,n,f\r\na,,1,0\r\nb,"q""x, y",,1\r\n'
+    sinks.csv(spark.range(0, 500, 1, 7).withColumn("_o", -F.col("id")), str(tmp_path / "o"), ["_o"])
+    assert (tmp_path / "o").read_text() == "id\n" + "".join(f"{i}\n" for i in range(499, -1, -1)) and [p.name for p in tmp_path.iterdir()] == ["o"]
+    back = vocab.csv_table(spark, str(tmp_path / "o")).where("id < 3")
+    sinks.csv(back, str(tmp_path / "o"), ["id"])  # over the file it is read from
+    assert rows(vocab.csv_table(spark, str(tmp_path / "o"))) == [("0",), ("1",), ("2",)]
     (tmp_path / "h.csv").write_text("a,b\n")
     assert vocab.csv_table(spark, str(tmp_path / "h.csv"), "a string, b string").count() == 0
 
@@ -392,10 +416,49 @@ def test_bad_lead_lines(spark, tmp_path):
 
 def test_stream_equals_table(spark, tmp_path):
     src = "/root/testdata/sf0.001/events.parquet"
-    import os
-
     if not os.path.exists(src):
         pytest.skip("no test tables")
-    assert rows(windows.streamed(spark, src, windows.tumbling)) == rows(windows.tumbling(spark.read.parquet(src)))
+    keys = ["window_start", "event_type"]
+    assert rows(windows.streamed(spark, src, windows.tumbling, keys)) == rows(windows.tumbling(spark.read.parquet(src)))
     e = spark.read.parquet(src)
     assert windows.first_seen(e.unionByName(e)).count() == e.select("event_id").distinct().count()
+
+
+def test_stream_in_batches_forgets_closed_windows(spark, tmp_path):
+    """A window that changes in a later batch has its last state; a row later than the watermark is left out, others are counted."""
+    at = datetime.datetime(2026, 1, 1)
+    hours = lambda *hs: [(i, at + datetime.timedelta(hours=h), "a", 1.0) for i, h in enumerate(hs)]
+    for k, part in enumerate((hours(0.1, 0.2, 3.1), hours(3.2, 9.0), hours(9.1, 0.3))):
+        spark.createDataFrame(part, "event_id int, ts timestamp_ntz, event_type string, value double").coalesce(1).write.parquet(str(tmp_path / f"in{k}"))
+        for f in (tmp_path / f"in{k}").glob("part-*"):
+            (tmp_path / "src").mkdir(exist_ok=True)
+            f.rename(tmp_path / "src" / f"{k}.parquet")
+            os.utime(tmp_path / "src" / f"{k}.parquet", (1_700_000_000 + k, 1_700_000_000 + k))
+    got = windows.streamed(spark, str(tmp_path / "src"), windows.tumbling, ["window_start", "event_type"], files_per_batch=1)
+    assert {(r["window_start"].hour, r["n"]) for r in got.collect()} == {(0, 2), (3, 2), (9, 2)}
+
+
+def test_layout_of_more_nodes_than_springs_take(spark):
+    """Nodes beyond the bound lie near their neighbours; every node has one place in the unit square, the same in each run."""
+    e = spark.createDataFrame([("ALL", f"n{i:02}", f"n{j:02}", 5) for i in range(6) for j in range(i + 1, 6)] + [("ALL", "n00", "x1", 1), ("ALL", "x1", "x2", 1), ("ALL", "p", "q", 1)], "layer string, source string, target string, weight bigint")
+    nodes = spark.createDataFrame([(f"n{i:02}",) for i in range(6)] + [("x1",), ("x2",), ("p",), ("q",), ("alone",)], "node_id string")
+    got = {r["node_id"]: (r["x"], r["y"]) for r in network.layout(nodes, e, 6).collect()}
+    assert len(got) == 11 and all(0 <= v <= 1 for p in got.values() for v in p)
+    assert math.dist(got["x1"], got["n00"]) < 0.1 and math.dist(got["x2"], got["x1"]) < 0.1
+    assert got == {r["node_id"]: (r["x"], r["y"]) for r in network.layout(nodes, e, 6).collect()}
+
+
+def test_given_vectors_are_clustered(spark):
+    """Vectors of two directions fall into two topics; rows without a whole vector are left out."""
+    data = [(i, [1.0, 0.01 * i] if i % 2 else [0.01 * i, 1.0], "d") for i in range(10)] + [(20, None, "d"), (21, [1.0, None], "d"), (22, [1.0, 2.0], None), (23, [3.0, 4.0], "e")]
+    v = topics.given_vectors(spark.createDataFrame(data, "k int, vec array<double>, dom string"), "k", "vec", "dom")
+    got = {r["k"]: r["topic_id"] for r in topics.cluster_vectors(v, "k").collect()}
+    assert set(got) == {*range(10), 23} and got[23] == "e_t1" and len({got[i] for i in range(0, 10, 2)}) == len({got[i] for i in range(1, 10, 2)}) == 1 and got[0] != got[1]
+    assert topics.cluster_vectors(v.limit(0), "k").count() == 0
+
+
+def test_later_decision_counts(spark, tmp_path):
+    p = tmp_path / "d.jsonl"
+    p.write_text('{"uid": "a", "decision": "include", "rule_id": "X"}\nbad\n{"uid": "a", "decision": "exclude", "rule_id": "Y"}\n')
+    s = spark.createDataFrame([("a", "uncertain", "R"), ("b", "included", None)], "uid string, verdict string, rule_id string")
+    assert rows(screen.overlay(s, raw.decisions(spark, str(p)), order="line").select("uid", "verdict", "rule_id")) == [("a", "excluded", "Y"), ("b", "included", None)]
