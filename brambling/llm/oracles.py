@@ -32,7 +32,37 @@ grp AS (SELECT u AS rec_id, min(r) AS g FROM walk GROUP BY u),
 big AS (SELECT g FROM grp GROUP BY g HAVING count(*) > 1)
 """
 
+# the three fields of each row of a work with several, and their claims by source
+_CLAIMS = """,
+l AS (SELECT g, r.rec_id, r.fetched_at, coalesce(a.query_id, '') AS source, f.field, CASE f.field WHEN 0 THEN r.doi WHEN 1 THEN CASE WHEN r.na > 0 THEN md5(a.abstract) END
+    ELSE CASE WHEN r.nm > 0 THEN md5(array_to_string(list_sort(list_distinct(list_filter(list_transform(a.mesh_terms, lambda t: lower(regexp_replace(t, '^\\s+|\\s+$', '', 'g'))), lambda t: t IS NOT NULL AND t <> ''))), '|')) END END AS value
+  FROM grp JOIN big USING (g) JOIN b r USING (rec_id) JOIN articles a USING (rec_id), (VALUES (0), (1), (2)) f(field)),
+c AS (SELECT g, field, value, source, count(*) AS n FROM l WHERE value IS NOT NULL GROUP BY ALL),
+w0 AS (SELECT DISTINCT source, 1.0::DOUBLE AS w FROM c)"""
+
+
+def _rounds(n: int) -> str:
+    """Votes by reliability and reliability by votes in turn, `n` times; v is the votes of the last reliability."""
+    votes = "SELECT g, field, value, sum(n * w) AS vote FROM c JOIN w{} USING (source) GROUP BY ALL"
+    out = ""
+    for i in range(n):
+        out += f""",
+v{i} AS ({votes.format(i)}),
+t{i} AS (SELECT g, field, arg_max(value, (vote, value)) AS truth FROM v{i} GROUP BY g, field),
+w{i + 1} AS (SELECT source, round(-ln((coalesce(sum(n) FILTER (value <> truth), 0) + 1) / (sum(n) + 2)::DOUBLE), 9) AS w FROM c JOIN t{i} USING (g, field) GROUP BY source)"""
+    return out + f",\nv AS ({votes.format(n)})"
+
+
+_BY_VOTES = """,
+k AS (SELECT g, field, value, arg_max(rec_id, (fetched_at, rec_id)) AS id, max(fetched_at) AS latest FROM l GROUP BY ALL),
+s AS (SELECT k.g, k.field, k.value, id, row_number() OVER (PARTITION BY k.g, k.field ORDER BY k.value IS NOT NULL DESC, round(coalesce(vote, 0), 6) DESC, latest DESC, id DESC) AS r
+  FROM k LEFT JOIN v ON v.g = k.g AND v.field = k.field AND v.value = k.value),
+m AS (SELECT g, count(DISTINCT rec_id) AS n_rows FROM l GROUP BY g)
+SELECT m.g AS first_rec_id, n_rows, max(value) FILTER (field = 0) AS doi, max(id) FILTER (field = 1) AS abstract_rec_id, max(id) FILTER (field = 2) AS mesh_rec_id FROM m JOIN s USING (g) WHERE r = 1 GROUP BY ALL"""
+
 ORACLES = {
+    "p4_by_votes": _WORKS + _CLAIMS + _rounds(8) + _BY_VOTES,
+    "p9_shares_check": "SELECT source, 1 AS cap_kept, 1 AS share_reached, 1 AS mixture_agrees FROM mix_targets WHERE source IS NOT NULL GROUP BY source",
     "p1_found": _TITLES + "SELECT DISTINCT first_id, id AS copy_id FROM g WHERE id <> first_id",
     "p1_copies": _TITLES + "SELECT DISTINCT first_id, n_copies FROM g",
     "p4_found": _WORKS + """SELECT g AS first_rec_id, max(doi) AS doi, arg_max(rec_id, (na, fetched_at, rec_id)) AS abstract_rec_id, arg_max(rec_id, (nm, fetched_at, rec_id)) AS mesh_rec_id

@@ -89,6 +89,18 @@ def p9_mixture(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[0]
 
 
+def p9_shares_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Per target whether no document has more copies than allowed, whether its tokens are its share of all (among sources with documents) to
+    within two documents, and whether the report agrees with the documents taken."""
+    taken, shares = mixing.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))
+    t = taken.groupBy("source").agg(F.max("copies").alias("copies"), F.sum(F.col("n_tokens").cast("bigint") * F.col("copies")).alias("tokens"), F.max("n_tokens").alias("longest"))
+    s = shares.join(F.broadcast(shares.where("n_docs > 0").agg(F.sum("target_share").alias("named"))), F.lit(True)).join(F.broadcast(t.agg(F.sum("tokens").alias("all_tokens"), F.max("longest").alias("most"))), F.lit(True)).join(t, "source", "left")
+    due = F.when(F.col("n_docs") > 0, F.col("target_share") / F.col("named") * F.col("all_tokens")).otherwise(0.0)
+    flag = lambda c, name: F.coalesce(c.cast("int"), F.lit(0)).alias(name)
+    tokens = F.coalesce("tokens", F.lit(0))
+    return s.select("source", flag(F.coalesce("copies", F.lit(0)) <= F.col("max_repeats"), "cap_kept"), flag(F.abs(tokens - due) <= 2 * F.col("most"), "share_reached"), flag((tokens == F.col("mixed_tokens")) & (F.coalesce("copies", F.lit(0)) == F.col("most_copies")), "mixture_agrees"))
+
+
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return subjects.assign(table(spark, sf, "documents"), table(spark, sf, "subject_examples"), table(spark, sf, "subject_list"))
 
@@ -106,5 +118,6 @@ QUERIES = {
     "p8_ids": p8_ids,
     "p9_mixture": p9_mixture,
     "p9_shares": p9_shares,
+    "p9_shares_check": p9_shares_check,
     "p10_found": p10_found,
 }
