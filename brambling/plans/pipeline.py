@@ -74,10 +74,9 @@ class Vocabularies:
 
     @staticmethod
     def default(spark: SparkSession) -> Vocabularies:
-        """Domains, types, stoplist and countries (alias, country, region, iso3) of the library; institutions (alias, label, country, region,
-        sector) come from a file, there are none by default."""
-        inst = local(spark, [], "alias string, label string, country string, region string, sector string")
-        return Vocabularies(vocab.domains(spark), vocab.research_types(spark), vocab.stoplist(spark), inst, vocab.countries(spark))
+        """Those of the library: domains, types, stoplist, institutions (alias, label, country, region, sector) and countries (alias, country,
+        region, iso3)."""
+        return Vocabularies(vocab.domains(spark), vocab.research_types(spark), vocab.stoplist(spark), vocab.institutions(spark), vocab.countries(spark))
 
 
 def at_semicolons(text: Column) -> Column:

@@ -72,6 +72,41 @@ COUNTRIES = [
 ]
 
 
+# Institutions by label, with country, region, sector and the names affiliations use.
+INSTITUTIONS = [
+    ("Agency for Science, Technology and Research", "Singapore", "Southeast Asia", "government", ["agency for science technology and research", "a star", "genome institute of singapore", "bioinformatics institute"]),
+    ("Changi General Hospital", "Singapore", "Southeast Asia", "hospital", ["changi general hospital"]),
+    ("Communicable Diseases Agency", "Singapore", "Southeast Asia", "government", ["communicable diseases agency"]),
+    ("Duke-NUS Medical School", "Singapore", "Southeast Asia", "university", ["duke nus medical school", "duke nus graduate medical school"]),
+    ("KK Women's and Children's Hospital", "Singapore", "Southeast Asia", "hospital", ["kk women s and children s hospital", "kkh", "kandang kerbau hospital"]),
+    ("Khoo Teck Puat Hospital", "Singapore", "Southeast Asia", "hospital", ["khoo teck puat hospital"]),
+    ("Ministry of Health, Singapore", "Singapore", "Southeast Asia", "government", ["ministry of health singapore", "singapore ministry of health"]),
+    ("Nanyang Technological University", "Singapore", "Southeast Asia", "university", ["nanyang technological university", "lee kong chian school of medicine", "ntu singapore"]),
+    ("National Centre for Infectious Diseases", "Singapore", "Southeast Asia", "hospital", ["national centre for infectious diseases", "national center for infectious diseases", "ncid"]),
+    ("National Environment Agency", "Singapore", "Southeast Asia", "government", ["national environment agency", "environmental health institute"]),
+    ("National Public Health Laboratory", "Singapore", "Southeast Asia", "government", ["national public health laboratory"]),
+    ("National Skin Centre", "Singapore", "Southeast Asia", "hospital", ["national skin centre", "department of sexually transmitted infections control", "dsc clinic"]),
+    ("National University Hospital", "Singapore", "Southeast Asia", "hospital", ["national university hospital singapore", "national university hospital"]),
+    ("National University of Singapore", "Singapore", "Southeast Asia", "university", ["national university of singapore", "saw swee hock school of public health", "yong loo lin school of medicine"]),
+    ("Ng Teng Fong General Hospital", "Singapore", "Southeast Asia", "hospital", ["ng teng fong general hospital"]),
+    ("Sengkang General Hospital", "Singapore", "Southeast Asia", "hospital", ["sengkang general hospital"]),
+    ("Singapore General Hospital", "Singapore", "Southeast Asia", "hospital", ["singapore general hospital"]),
+    ("Tan Tock Seng Hospital", "Singapore", "Southeast Asia", "hospital", ["tan tock seng hospital", "communicable disease centre"]),
+    ("Temasek Life Sciences Laboratory", "Singapore", "Southeast Asia", "research_institute", ["temasek life sciences laboratory"]),
+    ("University of Malaya", "Malaysia", "Southeast Asia", "university", ["university of malaya", "universiti malaya"]),
+    ("Mahidol University", "Thailand", "Southeast Asia", "university", ["mahidol university"]),
+    ("London School of Hygiene and Tropical Medicine", "United Kingdom", "Europe", "university", ["london school of hygiene and tropical medicine", "lshtm"]),
+    ("University of Oxford", "United Kingdom", "Europe", "university", ["university of oxford", "oxford university"]),
+    ("University of Hong Kong", "China", "East Asia", "university", ["university of hong kong"]),
+]
+
+
+def institutions(spark: SparkSession) -> DataFrame:
+    """(alias, label, country, region, sector) of the institutions of the library; a run's own list replaces it."""
+    rows = [(a, label, country, region, sector) for label, country, region, sector, names in INSTITUTIONS for a in names]
+    return local(spark, rows, "alias string, label string, country string, region string, sector string")
+
+
 def countries(spark: SparkSession) -> DataFrame:
     """(alias, country, region, iso3) of the countries of the library."""
     return local(spark, COUNTRIES, "alias string, country string, region string, iso3 string")

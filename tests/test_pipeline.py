@@ -253,3 +253,19 @@ def test_queries_of_experts(spark):
     got = pipeline.build_queries(pipeline.vocab.domains(spark), roster, o).collect()
     assert sorted(r["text"] for r in got if r["kind"] == "expert") == ["Ann A[au] AND 2016:2018[dp]", "Di D[au] AND 2016:2018[dp]"]
     assert {r["query_id"] for r in got if r["kind"] == "search"} == {"geo_all_id", *(f"geo_{d}" for d in pipeline.vocab.DOMAINS)} and len({r["query_id"] for r in got}) == len(got)
+
+
+def test_affiliations_resolve(spark):
+    """The longest alias, the country of the institution, of the last part or of any; addresses, blanks, nulls and authors without any."""
+    texts = ["Saw Swee Hock School of Public Health, National University of Singapore, Singapore; Mahidol University", "Unknown Clinic, Lima, Peru. Electronic address: a@b.example", "Clinic of Kenya Street 5", "Nowhere", "", None, "; ;"]
+    authors = [{"last_name": f"N{i}", "fore_name": "A", "affiliations": [t]} for i, t in enumerate(texts)] + [{"last_name": "None", "fore_name": None, "affiliations": None}, {"last_name": None, "fore_name": None, "affiliations": []}]
+    df = spark.createDataFrame([("u", authors), ("v", None), ("w", [])], "uid string, authors array<struct<last_name:string,fore_name:string,affiliations:array<string>>>")
+    v = pipeline.Vocabularies.default(spark)
+    got = {(r["author_no"], r["text"]): (r["institution"], r["country"], r["iso3"]) for r in pipeline.author_affiliations(df, v, False).collect()}
+    assert got == {
+        (1, "Saw Swee Hock School of Public Health, National University of Singapore, Singapore"): ("National University of Singapore", "Singapore", "SGP"), (1, "Mahidol University"): ("Mahidol University", "Thailand", "THA"),
+        (2, "Unknown Clinic, Lima, Peru."): (None, "Peru", "PER"), (3, "Clinic of Kenya Street 5"): (None, "Kenya", "KEN"), (4, "Nowhere"): (None, None, None),
+        **{(k, None): (None, None, None) for k in (5, 6, 7, 8, 9)},
+    }
+    led = {r["uid"]: (r["singapore_led"], r["n_countries"]) for r in pipeline.leadership(pipeline.author_affiliations(df, v, False), pipeline.Options()).collect()}
+    assert led == {"u": (True, 4)}
