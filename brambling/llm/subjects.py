@@ -95,23 +95,24 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 class Batch:
     """Documents of a batch in flat arrays: the term of each occurrence, its sentence, and each sentence's document. The terms of a sentence
-    are in ascending order; `uterm`, `udoc` and `count` hold each document's different terms."""
+    are in ascending order; `uterm`, `udoc` and `count` hold each document's different terms. A pass reads the columns it needs only."""
 
     def __init__(self, b: pa.RecordBatch) -> None:
-        self.doc_id, self.n_docs = b.column("doc_id"), b.num_rows
-        self.lang = b.column("lang").to_numpy(zero_copy_only=False).astype(np.int64)
-        lens, n_s = _lists(b.column("lens"))
-        self.lens = lens.astype(np.int64)
-        self.term, _ = _lists(b.column("ids"))
-        self.label, n_l = _lists(b.column("labels"))
-        self.n_labels = n_l
-        self.label_doc = np.repeat(np.arange(self.n_docs), n_l)
-        self.sent = np.repeat(np.arange(len(lens)), lens)
-        self.doc = np.repeat(np.arange(self.n_docs), n_s)
-        self.n_sents = len(lens)
-        self.uterm, n_u = _lists(b.column("terms"))
-        self.count, _ = _lists(b.column("counts"))
-        self.n_terms, self.udoc = n_u, np.repeat(np.arange(self.n_docs), n_u)
+        here = set(b.schema.names)
+        self.doc_id, self.n_docs = b.column("doc_id") if "doc_id" in here else None, b.num_rows
+        if "ids" in here:
+            self.lang = b.column("lang").to_numpy(zero_copy_only=False).astype(np.int64)
+            lens, n_s = _lists(b.column("lens"))
+            self.lens, self.n_sents = lens.astype(np.int64), len(lens)
+            self.term, _ = _lists(b.column("ids"))
+            self.label, self.n_labels = _lists(b.column("labels"))
+            self.label_doc = np.repeat(np.arange(self.n_docs), self.n_labels)
+            self.sent = np.repeat(np.arange(len(lens)), lens)
+            self.doc = np.repeat(np.arange(self.n_docs), n_s)
+        if "terms" in here:
+            self.uterm, self.n_terms = _lists(b.column("terms"))
+            self.count, _ = _lists(b.column("counts"))
+            self.udoc = np.repeat(np.arange(self.n_docs), self.n_terms)
 
     def starts(self) -> np.ndarray:
         """Where each sentence's terms begin."""
@@ -138,14 +139,18 @@ def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 500, terms: int = 150
     for b in batches:
         if not b.num_rows:
             continue
-        part = np.maximum(np.arange(b.num_rows) // rows, np.cumsum(b.column("ids").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)) // terms)
+        counted = b.column("ids" if "ids" in b.schema.names else "terms")
+        part = np.maximum(np.arange(b.num_rows) // rows, np.cumsum(counted.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)) // terms)
         edge = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), b.num_rows]
         for i, j in zip(edge[:-1], edge[1:], strict=True):
             for k in range(i, j, rows):
                 yield Batch(b.slice(k, min(rows, j - k)))
 
 
-def _gather(docs: DataFrame, fn: Callable[[Batch, object], dict[str, np.ndarray | tuple]], state: object, block: int = 2048, fan: int = 32) -> dict[str, np.ndarray]:
+SENTENCES, TERMS = ("lang", "labels", "lens", "ids"), ("terms", "counts")
+
+
+def _gather(docs: DataFrame, fn: Callable[[Batch, object], dict[str, np.ndarray | tuple]], state: object, columns: tuple[str, ...] = SENTENCES, block: int = 2048, fan: int = 32) -> dict[str, np.ndarray]:
     """Sum over all documents of the arrays that `fn` gives for a batch: a whole array, or (rows in all, numbers of the rows given, these rows).
 
     Each task adds up its own batches and gives its sum in blocks of `block` rows. The sums of `fan` tasks are added in one group, then the
@@ -177,7 +182,7 @@ def _gather(docs: DataFrame, fn: Callable[[Batch, object], dict[str, np.ndarray
         return df.iloc[:1].assign(bytes=[x.tobytes()])
 
     shape = "name string, at bigint, width int, task bigint, bytes binary"
-    sums, tasks = docs.mapInArrow(part, shape), docs._jdf.queryExecution().toRdd().getNumPartitions()
+    sums, tasks = docs.select(*columns).mapInArrow(part, shape), docs._jdf.queryExecution().toRdd().getNumPartitions()
     for _ in range(levels(tasks, fan)):
         sums = sums.withColumn("task", F.floor(F.col("task") / fan)).groupBy("name", "at", "task").applyInPandas(add, shape)
     out: dict[str, list] = {}
@@ -400,7 +405,7 @@ def fit(docs: DataFrame, terms: dict[str, int], idf: np.ndarray, langs: int, not
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((v, dims)))[0]
     held, gain = 0.0, np.inf
     for _ in range(power):
-        y = _gather(docs, _project, (idf, q.astype(np.float32))).get("y")
+        y = _gather(docs, _project, (idf, q.astype(np.float32)), TERMS).get("y")
         if y is None:
             break
         now = float((q * y).sum())  # what of the matrix the subspace holds
@@ -479,4 +484,4 @@ def assign(documents: DataFrame, examples: DataFrame, subject_list: DataFrame, s
             d, s = np.nonzero((n > 0) & (n >= share * n.sum(1, keepdims=True) - 1e-9))
             yield pa.record_batch([b.doc_id.take(pa.array(d, pa.int64())), pa.array([names[k] for k in s], pa.string())], names=["doc_id", "subject_id"])
 
-    return docs.mapInArrow(run, out)
+    return docs.select("doc_id", *SENTENCES).mapInArrow(run, out)

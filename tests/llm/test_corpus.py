@@ -148,7 +148,7 @@ def test_sums_are_added_in_levels(spark):
     assert [subjects.levels(n, 4) for n in (1, 4, 5, 16, 17, 64, 65)] == [1, 1, 2, 2, 3, 3, 4]
     ids = ["array(0, 1, 1) AS ids", "array(0, 1) AS terms", "array(1, 2) AS counts"]
     docs = spark.range(0, 40, 1, 23).selectExpr("id AS doc_id", "0 AS lang", "CAST(array() AS array<int>) AS labels", "array(3) AS lens", *ids)
-    got = subjects._gather(docs, lambda b, s: {"n": (3, b.uterm[:2], np.tile([[1.0, s]], (2, 1)) * b.n_docs), "all": np.ones((1, 1)) * b.n_sents}, 0.5, block=2, fan=4)
+    got = subjects._gather(docs, lambda b, s: {"n": (3, b.uterm[:2], np.tile([[1.0, s]], (2, 1)) * b.n_docs), "all": np.ones((1, 1)) * b.n_sents}, 0.5, (*subjects.SENTENCES, *subjects.TERMS), block=2, fan=4)
     assert got["n"].tolist() == [[40.0, 20.0], [40.0, 20.0], [0.0, 0.0]] and got["all"].tolist() == [[40.0]]
 
 
