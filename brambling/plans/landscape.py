@@ -230,19 +230,17 @@ def led_and_international(spark: SparkSession, sf: str) -> DataFrame:
     return led.select("uid", F.col("singapore_led").cast("int").alias("led"), (F.col("n_countries") > 1).cast("int").alias("international"), "n_authors")
 
 
-def _facts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def publications(spark: SparkSession, sf: str) -> DataFrame:
     included, v = _included(spark, sf), _vocabularies(spark, sf)
     dom = pipeline.domain_labels(included, v, OPTIONS)
     sub = pipeline.subdomain_labels(included, dom, v, OPTIONS)[1]
-    return dom, cut(pipeline.publication_facts(included, dom, sub, _affiliations(spark, sf), OPTIONS), "facts")
-
-
-def publications(spark: SparkSession, sf: str) -> DataFrame:
-    return pipeline.publications(_facts(spark, sf)[1]).drop("_seq")
+    return pipeline.publications(pipeline.publication_facts(included, dom, sub, _affiliations(spark, sf), OPTIONS)).drop("_seq")
 
 
 def summary_by_domain_year(spark: SparkSession, sf: str) -> DataFrame:
-    dom, facts = _facts(spark, sf)
+    included = _included(spark, sf)
+    dom = pipeline.domain_labels(included, _vocabularies(spark, sf), OPTIONS)
+    facts = cut(pipeline.led_records(included, _affiliations(spark, sf), OPTIONS), "led")
     return pipeline.summary_by_domain_year(pipeline.publication_domains(dom, facts, _vocabularies(spark, sf)), facts)
 
 

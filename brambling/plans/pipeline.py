@@ -142,12 +142,19 @@ def leadership(aff: DataFrame, o: Options) -> DataFrame:
     return aff.groupBy("uid").agg(F.bool_or(end & here).alias("singapore_led"), F.count_distinct("country").cast("int").alias("n_countries"), F.max("n_authors").alias("n_authors"))
 
 
+def led_records(included: DataFrame, aff: DataFrame, o: Options) -> DataFrame:
+    """(uid, year, seq, singapore_led, n_countries, n_authors) of every record; one without authors is led from nowhere."""
+    r = included.select("uid", "year", "seq").join(leadership(aff, o), "uid", "left")
+    return r.withColumns({"singapore_led": F.coalesce("singapore_led", F.lit(False)), "n_countries": F.coalesce("n_countries", F.lit(0)), "n_authors": F.coalesce("n_authors", F.lit(0))})
+
+
 def publication_facts(included: DataFrame, dom: DataFrame, sub: DataFrame, aff: DataFrame, o: Options) -> DataFrame:
     """One row per record: labels, whether led from the place, countries and authors; `text` for topics and `seq`, the order of records."""
     p = dom.where("is_primary = 1").select("uid", F.col("domain_id").alias("primary_domain"))
     s = sub.where("is_primary = 1").select("uid", F.col("subdomain").alias("primary_subdomain"), F.col("subdomain_mesh").alias("primary_subdomain_mesh"))
-    facts = included.select("uid", "title", "year", "journal", "doi", "pmid", "provenance", "seq", F.concat_ws(" ", "title", "abstract", F.concat_ws(" ", "mesh_terms")).alias("text")).join(p, "uid").join(s, "uid", "left").join(leadership(aff, o), "uid", "left")
-    return facts.withColumns({"singapore_led": F.coalesce("singapore_led", F.lit(False)), "n_countries": F.coalesce("n_countries", F.lit(0)), "n_authors": F.coalesce("n_authors", F.lit(0))})
+    text = F.concat_ws(" ", "title", "abstract", F.concat_ws(" ", "mesh_terms")).alias("text")
+    facts = included.select("uid", "title", "year", "journal", "doi", "pmid", "provenance", "seq", text).join(p, "uid").join(s, "uid", "left")
+    return facts.join(led_records(included, aff, o).drop("year", "seq"), "uid")
 
 
 def classified(included: DataFrame, v: Vocabularies, o: Options, previous: DataFrame | None = None) -> dict[str, DataFrame]:
