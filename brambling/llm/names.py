@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brambling.llm.cooccur import pair_counts
+from brambling.llm.cooccur import MAX_BROADCAST, pair_counts
 from brambling.runtime import attach, cut, discard, local
 
 # Particles that come and go before a surname.
@@ -203,6 +203,12 @@ def min_buckets(df: DataFrame, key_col: str, out_col: str, q: int, rows: int, ba
     return df.withColumn(out_col, F.pandas_udf(run, "array<bigint>")(F.col(key_col)))
 
 
+def spread(df: DataFrame, n: int) -> DataFrame:
+    """A side of a join in which a table has `n` rows. Spark judges a table by its files, which may be a small part of its size in memory, and
+    adaptive execution doesn't take back a broadcast that would cost a shuffle, so beyond a counted size both sides are shuffled."""
+    return df.hint("merge") if n > MAX_BROADCAST else df
+
+
 def star_clusters(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """(node, center) for nodes (node, rank) and edges (a, b, w), a <> b, each pair once.
 
@@ -210,17 +216,19 @@ def star_clusters(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) ->
     its likest neighbouring centre. In each round every open node that comes before all its open neighbours becomes a centre
     and its neighbours are settled, which gives the greedy result without a global order. Only open edges are kept.
     """
+    n = edges.count()
     both = edges.select("a", "b", "w").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "w"))
     degree = both.groupBy("a").agg(F.count("*").alias("d"))
-    order = nodes.join(degree, nodes["node"] == degree["a"]).select("node", F.struct("rank", "d", (-F.col("node")).alias("i")).alias("p"))
-    full = cut(both.join(order.select(F.col("node").alias("a"), F.col("p").alias("pa")), "a").join(order.select(F.col("node").alias("b"), F.col("p").alias("pb")), "b"), "star")
+    order = nodes.join(spread(degree, n), nodes["node"] == degree["a"]).select("node", F.struct("rank", "d", (-F.col("node")).alias("i")).alias("p"))
+    side = lambda s: spread(order.select(F.col("node").alias(s), F.col("p").alias(f"p{s}")), n)
+    full = cut(both.join(side("a"), "a").join(side("b"), "b"), "star")
     open_, settled = full, None
     for _ in range(max_rounds):
         top = open_.groupBy("a").agg(F.max("pb").alias("top"), F.first("pa").alias("pa")).where("pa > top").select(F.col("a").alias("c"))
-        new = open_.join(top, open_["a"] == top["c"]).select(F.col("b").alias("s"))
+        new = open_.join(spread(top, n), open_["a"] == top["c"]).select(F.col("b").alias("s"))
         done = cut(top.select(F.col("c").alias("n"), F.lit(False).alias("sat")).unionByName(new.select(F.col("s").alias("n"), F.lit(True).alias("sat"))).distinct(), "settled")
         settled = done.where("sat") if settled is None else settled.unionByName(done.where("sat"))
-        gone = done.select("n").distinct()
+        gone = spread(done.select("n").distinct(), n)
         before = open_
         open_ = cut(open_.join(gone, open_["a"] == gone["n"], "left_anti").join(gone, F.col("b") == gone["n"], "left_anti"), "open")
         if before is not full:
@@ -230,9 +238,9 @@ def star_clusters(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) ->
     else:
         raise RuntimeError(f"star clustering open after {max_rounds} rounds")
     sat = settled.select(F.col("n").alias("b")).distinct()
-    to = full.join(sat.select(F.col("b").alias("a")), "a", "left_anti")  # edges that begin at a centre
+    to = full.join(spread(sat.select(F.col("b").alias("a")), n), "a", "left_anti")  # edges that begin at a centre
     mine = to.groupBy("b").agg(F.max_by("a", F.struct("w", "pa")).alias("center"))
-    return nodes.join(mine, nodes["node"] == mine["b"], "left").select("node", F.coalesce("center", "node").alias("center"))
+    return nodes.join(spread(mine, n), nodes["node"] == mine["b"], "left").select("node", F.coalesce("center", "node").alias("center"))
 
 
 def in_cells(forms: DataFrame, sizes: DataFrame, cell: int) -> DataFrame:
@@ -245,15 +253,17 @@ def form_pairs(forms: DataFrame, sizes: DataFrame, near: DataFrame, cell: int =
     """(a, b, form_a, form_b) of all forms (key, node, form) of one key, a < b, and of all forms of two keys of `near` (key_a, key_b).
 
     The forms of a key are dealt into cells and pairs of cells are rows of their own, so that no task holds more than two cells of one key at
-    once, however many forms it has.
+    once, however many forms it has. Pairs of cells are never broadcast: a table of few forms may be one of very many pairs.
     """
     dealt = cut(in_cells(forms.select("key", "node", "form"), sizes, cell), "dealt")
+    n = dealt.count()
     side = lambda s, *cols: dealt.select(*cols, F.col("node").alias(s), F.col("form").alias(f"form_{s}"))
     every = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
-    within = side("a", "key", "c", every.alias("d")).join(side("b", "key", F.col("c").alias("d"), every.alias("c")), ["key", "c", "d"]).where("a < b")
-    cells = lambda s: sizes.select(F.col("key").alias(f"key_{s}"), F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / cell).cast("int") - 1)).alias(f"c_{s}"))
+    within = side("a", "key", "c", every.alias("d")).join(side("b", "key", F.col("c").alias("d"), every.alias("c")).hint("merge"), ["key", "c", "d"]).where("a < b")
+    cells = lambda s: spread(sizes.select(F.col("key").alias(f"key_{s}"), F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / cell).cast("int") - 1)).alias(f"c_{s}")), n)
     met = near.join(cells("a"), "key_a").join(cells("b"), "key_b")
-    across = met.join(side("a", F.col("key").alias("key_a"), F.col("c").alias("c_a")), ["key_a", "c_a"]).join(side("b", F.col("key").alias("key_b"), F.col("c").alias("c_b")), ["key_b", "c_b"])
+    placed = lambda s: spread(side(s, F.col("key").alias(f"key_{s}"), F.col("c").alias(f"c_{s}")), n)
+    across = met.join(placed("a"), ["key_a", "c_a"]).join(placed("b"), ["key_b", "c_b"])
     return across.select("a", "b", "form_a", "form_b").unionByName(within.select("a", "b", "form_a", "form_b"))
 
 
@@ -299,8 +309,7 @@ def link_names(names: DataFrame, nicknames: DataFrame, q: int = 3, rows: int = 4
     spelled = cut(spelled.withColumn("_t", F.pandas_udf(parse, "parts array<string>, n_last int")("name")).select("name", "_t.parts", "_t.n_last").where(F.size("parts") > 0), "spelled")
     listed = local(names.sparkSession, [(t,) for t in {"".join(tokens(x)) for p in pairs for x in p}], "t string")
     common = cut(common_parts(spelled).unionByName(listed).distinct().withColumn("mark", F.lit("~")), "common")
-    if common.count() <= 100_000:
-        common = F.broadcast(common)
+    common = F.broadcast(common) if common.count() <= 100_000 else common.hint("merge")
     forms = spelled.select("parts").distinct()
     marked = forms.select("parts", F.posexplode("parts").alias("k", "t")).join(common, "t", "left").groupBy("parts").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", F.concat("t", F.coalesce("mark", F.lit(""))).alias("v")))), lambda x: x["v"]).alias("form"))
     own = F.array_sort(F.array_distinct(F.filter("form", lambda t: ~t.rlike("[.~]$"))))
@@ -310,7 +319,9 @@ def link_names(names: DataFrame, nicknames: DataFrame, q: int = 3, rows: int = 4
     forms = cut(marked.withColumn("node", F.monotonically_increasing_id()).select("node", "parts", "form", key.alias("key"), rank.alias("rank")), "forms")
 
     keys = cut(forms.groupBy("key").agg(F.count("*").alias("n")).withColumn("k", F.monotonically_increasing_id()), "keys")
-    bucketed = min_buckets(keys, "key", "bucket", q, rows, bands_for(likeness, rows, recall)).select("k", F.explode("bucket").alias("bucket"))
+    n_keys = keys.count()
+    # a task for every 5,000 keys; written, so that its size is known (a plan takes the buckets for no larger than the keys) and minima are taken once
+    bucketed = cut(min_buckets(keys.repartition(n_keys // 5000 + 1, "k"), "key", "bucket", q, rows, bands_for(likeness, rows, recall)).select("k", F.explode("bucket").alias("bucket")), "buckets")
     met = pair_counts(bucketed, "bucket", "k", 64)
 
     def close(u: list[str], v: list[str]) -> bool:
@@ -320,13 +331,14 @@ def link_names(names: DataFrame, nicknames: DataFrame, q: int = 3, rows: int = 4
         for a, b in batches:
             yield pd.Series([close(u.split(" "), v.split(" ")) for u, v in zip(a, b, strict=True)], dtype=bool)
 
-    side = lambda s: keys.select(F.col("k").alias(s), F.col("key").alias(f"key_{s}"))
+    side = lambda s: spread(keys.select(F.col("k").alias(s), F.col("key").alias(f"key_{s}")), n_keys)
     # parts must be within two changes, of which a swap of neighbours is two, or one cut in two; that much is checked without Python
     parts = lambda c: F.split(c, " ")
     cut_in_two = lambda p, q: F.exists(parts(p), lambda x: F.exists(parts(p), lambda y: F.array_contains(parts(q), F.concat(x, y))))
     rough = F.exists(parts("key_a"), lambda x: F.exists(parts("key_b"), lambda y: F.levenshtein(x, y, 2) >= 0)) | cut_in_two("key_a", "key_b") | cut_in_two("key_b", "key_a")
-    near = met.join(side("a"), "a").join(side("b"), "b").where(rough).where(F.pandas_udf(near_keys, "boolean")("key_a", "key_b")).select("key_a", "key_b")
-    todo = form_pairs(forms, keys, cut(near, "near"))
+    near = cut(met.join(side("a"), "a").join(side("b"), "b").where(rough).where(F.pandas_udf(near_keys, "boolean")("key_a", "key_b")).select("key_a", "key_b"), "near")
+    discard(bucketed)
+    todo = form_pairs(forms, keys, near)
 
     def compare(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         m = Matcher(shared.value)
@@ -335,4 +347,5 @@ def link_names(names: DataFrame, nicknames: DataFrame, q: int = 3, rows: int = 4
 
     edges = cut(todo.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.pandas_udf(compare, "double")("form_a", "form_b").alias("w")).where("w > 0"), "alike")
     clusters = star_clusters(forms.select("node", "rank"), edges)
-    return spelled.join(forms.select("parts", "node"), "parts").join(clusters, "node").select("name", F.col("center").alias("cluster"))
+    n = forms.count()
+    return spelled.join(spread(forms.select("parts", "node"), n), "parts").join(spread(clusters, n), "node").select("name", F.col("center").alias("cluster"))

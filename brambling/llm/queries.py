@@ -39,7 +39,7 @@ def p2_clusters(spark: SparkSession, sf: str) -> DataFrame:
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     c = cut(p2_clusters(spark, sf), "clusters")
     a, b = (c.select("cluster", F.col("name").alias(f"name_{s}")) for s in "ab")
-    return a.join(b, "cluster").where("name_a < name_b").select("name_a", "name_b")
+    return a.join(names.spread(b, c.count()), "cluster").where("name_a < name_b").select("name_a", "name_b")
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from brambling.llm import canonical, merkle, names, truth
+from brambling.llm import canonical, cooccur, merkle, names, truth
 
 LONG = "long words " * 20_000
 
@@ -164,6 +164,36 @@ def test_link_names(spark):
     assert rows(names.link_names(df.limit(0), nick.limit(0))) == []
 
 
+def test_size_of_buckets_is_known(spark, monkeypatch):
+    """What pairs are made of isn't taken for as small as the keys it comes from, else it is broadcast however large it is."""
+    seen = []
+
+    def pair_counts(baskets, *a):
+        seen.append((int(str(baskets._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())), baskets.count()))
+        return cooccur.pair_counts(baskets, *a)
+
+    monkeypatch.setattr(names, "pair_counts", pair_counts)
+    df = spark.createDataFrame([(f"{a}{b}{c}owanu, Ana",) for a in "bdfgk" for b in "aeiou" for c in "lmnprst"], "name string")
+    names.link_names(df, spark.createDataFrame([("Peter", "Pit")], "formal_name string, nickname string"))
+    ((size, n),) = seen
+    assert n >= 175 * 100 and size >= 4 * n
+
+
+def test_no_broadcast_beyond_the_counted_size(spark, monkeypatch):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    forms = spark.range(700).select(F.lit("hot").alias("key"), F.col("id").alias("node"), F.array(F.col("id").cast("string")).alias("form"))
+    sizes = forms.groupBy("key").agg(F.count("*").alias("n"))
+    near = spark.createDataFrame([("hot", "near")], "key_a string, key_b string")
+    df = spark.createDataFrame([("Duxowanu, Ana",), ("Dxuowanu, Ana",), ("A Duxowanu",), ("Kexigabo, Peter",)], "name string")
+    nick = spark.createDataFrame([("Peter", "Pit")], "formal_name string, nickname string")
+    want = {n: {m for m, d in r if c == d} for r in [rows(names.link_names(df, nick))] for n, c in r}
+    monkeypatch.setattr(names, "MAX_BROADCAST", 0, raising=False)
+    assert "BroadcastHashJoin" not in plan(names.form_pairs(forms, sizes, near))
+    linked = names.link_names(df, nick)
+    assert "BroadcastHashJoin" not in plan(linked)
+    assert want == {n: {m for m, d in r if c == d} for r in [rows(linked)] for n, c in r}
+
+
 # 3
 
 
