@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import warnings
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, CountVectorizerModel, Normalizer
-from pyspark.ml.functions import array_to_vector
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brambling.functions.text import tokens
-from brambling.runtime import cut
+from brambling.operators import kmeans
+from brambling.runtime import cut, discard
 
 
 def term_weights(texts: DataFrame, group: str, key: str, text: str) -> DataFrame:
@@ -39,63 +39,79 @@ def topic_count(n: int, min_docs: int, docs_per_topic: int) -> int:
 
 
 def text_vectors(texts: DataFrame, key: str, text: str, domain: str) -> DataFrame:
-    """(key, domain, v) of unit length: TF-IDF over every term of all texts, numbered in their order; the driver holds the vocabulary. Null texts
-    count as empty. Where no text has a word there is no row."""
-    t = texts.select(key, F.col(domain).alias("domain"), F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")).alias("tokens")).where(F.col("domain").isNotNull())
+    """(key, domain, features) of unit length: TF-IDF over every term of all texts, the terms of most texts numbered first; the driver holds the
+    vocabulary. Null texts count as empty. Where no text has a word there is no row."""
+    spark = texts.sparkSession
+    t = texts.select(key, F.col(domain).cast("string").alias("domain"), F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")).alias("tokens")).where(F.col("domain").isNotNull())
     t = cut(t, "tokens")
-    terms = [r[0] for r in t.select(F.explode("tokens").alias("term")).distinct().orderBy("term").collect()]
-    if not terms:
-        return t.select(key, "domain", array_to_vector(F.array().cast("array<double>")).alias("v")).limit(0)
-    vec = CountVectorizerModel.from_vocabulary(terms, inputCol="tokens", outputCol="tf").transform(t)
-    vec = IDF(inputCol="tf", outputCol="tfidf").fit(vec).transform(vec)
-    return cut(Normalizer(inputCol="tfidf", outputCol="v").transform(vec).select(key, "domain", "v"), "vectors")
+    df = t.select(F.explode(F.array_distinct("tokens")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    known = df.toArrow().sort_by([("df", "descending"), ("term", "ascending")])
+    shape = f"`{key}` {texts.schema[key].dataType.simpleString()}, domain string, features struct<indices:array<int>,values:array<double>>"
+    if not len(known):
+        return t.select(key, "domain", F.lit(None).cast("struct<indices:array<int>,values:array<double>>").alias("features")).limit(0)
+    idf = np.log((t.count() + 1) / (known["df"].to_numpy() + 1))
+    shared = spark.sparkContext.broadcast((known["term"].combine_chunks(), idf))
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, idf = shared.value
+        for b in batches:
+            lists = b.column("tokens")
+            rows = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            number = pc.index_in(lists.flatten(), value_set=terms).to_numpy(zero_copy_only=False).astype(np.int64)
+            pairs, tf = np.unique(rows * len(terms) + number, return_counts=True)
+            rows, number = pairs // len(terms), pairs % len(terms)
+            v = tf * idf[number]
+            norm = np.sqrt(np.bincount(rows, v**2, minlength=len(lists)))
+            v = v / np.where(norm > 0, norm, 1.0)[rows]
+            ptr = pa.array(np.searchsorted(rows, np.arange(len(lists) + 1)), pa.int32())
+            f = pa.StructArray.from_arrays([pa.ListArray.from_arrays(ptr, pa.array(x)) for x in (number.astype(np.int32), v)], ["indices", "values"])
+            yield pa.RecordBatch.from_arrays([b.column(key), b.column("domain"), f], names=[key, "domain", "features"])
+
+    out = cut(t.mapInArrow(weigh, shape), "vectors")
+    discard(t)
+    return out
 
 
 def given_vectors(df: DataFrame, key: str, vector: str, domain: str) -> DataFrame:
-    """(key, domain, v) of unit length from a column of numbers, such as embeddings; rows without domain, vector or a number in it are left out."""
+    """(key, domain, features) of unit length from a column of numbers, such as embeddings; rows without domain, vector or a number in it are left out."""
     whole = F.col(domain).isNotNull() & F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x))
-    d = df.where(whole).select(key, F.col(domain).cast("string").alias("domain"), array_to_vector(F.transform(vector, lambda x: x.cast("double"))).alias("raw"))
-    return cut(Normalizer(inputCol="raw", outputCol="v").transform(d).select(key, "domain", "v"), "vectors")
+    d = df.where(whole).select(key, F.col(domain).cast("string").alias("domain"), F.transform(vector, lambda x: x.cast("double")).alias("raw"))
+    norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda a, x: a + x * x))
+    places = F.transform("raw", lambda x, i: i)
+    d = d.withColumn("_norm", F.when(norm > 0, norm).otherwise(1.0))
+    return cut(d.select(key, "domain", F.struct(places.alias("indices"), F.transform("raw", lambda x: x / F.col("_norm")).alias("values")).alias("features")), "vectors")
 
 
 def cluster(texts: DataFrame, key: str, text: str, domain: str, min_docs: int = 3, docs_per_topic: int = 25, seed: int = 5, max_iter: int = 100) -> DataFrame:
     """Topics of texts: cluster_vectors on their TF-IDF."""
-    return cluster_vectors(text_vectors(texts, key, text, domain), key, min_docs, docs_per_topic, seed, max_iter)
+    v = text_vectors(texts, key, text, domain)
+    out = cluster_vectors(v, key, min_docs, docs_per_topic, seed, max_iter)
+    discard(v)
+    return out
 
 
-def cluster_vectors(vec: DataFrame, key: str, min_docs: int = 3, docs_per_topic: int = 25, seed: int = 5, max_iter: int = 100, per_partition: int = 20_000) -> DataFrame:
-    """(key, domain, topic_id, features) from (key, domain, v): k-means within each domain, k by its size; topics are numbered by size, largest
-    first (topic_count). A domain of up to `min_docs` rows gets one topic. There are few domains; each is a distributed fit, and the
-    centers of a fit are dense, topics by terms.
+def cluster_vectors(vec: DataFrame, key: str, min_docs: int = 3, docs_per_topic: int = 25, seed: int = 5, max_iter: int = 100, per_block: int = 2000) -> DataFrame:
+    """(key, domain, topic_id, features) from (key, domain, features): k-means within each domain, k by its size; topics are numbered by size, largest
+    first (topic_count). A domain of up to `min_docs` rows gets one topic. All domains are fitted in the same passes (kmeans.fit).
 
     `features` is sparse (indices, values). A fit goes on until its centers no longer move by k-means' tolerance; where `max_iter` ends it
-    before, there is a warning. Fits are seeded and read rows in partitions of about `per_partition` by key, so that a rerun gives the same clusters. No
-    rows give no rows.
+    before, there is a warning. Fits are seeded and read rows in blocks of about `per_block` by key, so that a rerun gives the same clusters. No
+    rows give no rows. The result is read from the blocks; `discard` removes them.
     """
-    parts = []
-    for d, n in [(r["domain"], r["count"]) for r in vec.groupBy("domain").count().orderBy("domain").collect()]:
-        one = vec.where(F.col("domain") == d)
-        k = topic_count(n, min_docs, docs_per_topic)
-        if k > 1:
-            # the same rows in the same partitions in the same order, however the files lie
-            one = one.repartition(-(-n // per_partition), key).sortWithinPartitions(key)
-            model = KMeans(featuresCol="v", predictionCol="c", k=k, seed=seed, maxIter=max_iter).fit(one)
-            if model.summary.numIter >= max_iter:
-                warnings.warn(f"topics of {d}: the centers still moved after {max_iter} iterations", stacklevel=2)
-            one = model.transform(one)
-        else:
-            one = one.withColumn("c", F.lit(0))
-        parts.append(one)
-    out = parts[0] if parts else vec.withColumn("c", F.lit(0))
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    raw = out.select(key, "domain", "c", F.unwrap_udt("v").alias("v"))
-    # a dense vector (type 1) has values only
-    places = F.when(F.col("v.type") == 1, F.transform("v.values", lambda x, i: i)).otherwise(F.col("v.indices"))
-    out = cut(raw.select(key, "domain", "c", F.struct(places.alias("indices"), F.col("v.values").alias("values")).alias("features")), "clusters")
-    sizes = out.groupBy("domain", "c").agg(F.count("*").alias("n"))
-    number = sizes.select("domain", "c", F.row_number().over(Window.partitionBy("domain").orderBy(F.desc("n"), "c")).alias("_no"))
-    return out.join(F.broadcast(number) if number.count() <= 100_000 else number, ["domain", "c"]).select(key, "domain", F.concat("domain", F.lit("_t"), F.col("_no").cast("string")).alias("topic_id"), "features")
+    sizes = {r["domain"]: r["count"] for r in vec.groupBy("domain").count().orderBy("domain").collect()}
+    if not sizes:
+        return vec.select(key, "domain", F.lit(None).cast("string").alias("topic_id"), "features").limit(0)
+    b = kmeans.blocks(vec, key, sizes, seed, per_block)
+    centers, counts = kmeans.fit(b, {d: topic_count(n, min_docs, docs_per_topic) for d, n in sizes.items()}, seed, max_iter)
+    names: dict[str, list[str]] = {}
+    for d in sizes:
+        order = np.argsort(-counts.get(d, np.ones(1)), kind="stable")
+        number = np.empty(len(order), int)
+        number[order] = np.arange(1, len(order) + 1)
+        names[d] = [f"{d}_t{i}" for i in number]
+    out = kmeans.assigned(b, key, vec.schema[key].dataType.simpleString(), centers, names)
+    out.cut_path = b.cut_path
+    return out
 
 
 def anchors(n: int) -> tuple[np.ndarray, float]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from brambling.functions.text import author_key, norm_title, tokens
 from brambling.operators import classify, network, records, screen, topics
 from brambling.plans import pipeline
-from brambling.runtime import attach, cut, local, table
+from brambling.runtime import attach, cut, discard, local, table
 from brambling.sources import sinks, vocab
 from brambling.streaming import windows
 
@@ -407,7 +407,14 @@ def minmax_coords(spark: SparkSession, sf: str) -> DataFrame:
 def _clusters(spark: SparkSession, sf: str) -> DataFrame:
     p = _domains(spark, sf).where("is_primary = 1").select("rid", F.col("label_id").alias("domain_id"))
     t = _articles(spark, sf).select("rid", F.concat_ws(" ", "title", "abstract").alias("text")).join(p, "rid")
-    return cut(topics.cluster(t, "rid", "text", "domain_id"), "topics")
+    return topics.cluster(t, "rid", "text", "domain_id")
+
+
+def _stored_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    c = _clusters(spark, sf)
+    stored = cut(c, "topics")
+    discard(c)
+    return stored
 
 
 def topic_kmeans(spark: SparkSession, sf: str) -> DataFrame:
@@ -415,11 +422,11 @@ def topic_kmeans(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def topic_map(spark: SparkSession, sf: str) -> DataFrame:
-    return topics.map_places(_clusters(spark, sf), "rid")
+    return topics.map_places(_stored_clusters(spark, sf), "rid")
 
 
 def topic_map_centroids(spark: SparkSession, sf: str) -> DataFrame:
-    c = _clusters(spark, sf)
+    c = _stored_clusters(spark, sf)
     t = _articles(spark, sf).select("rid", F.concat_ws(" ", "title", "abstract").alias("text")).join(c.select("rid", "topic_id"), "rid")
     terms = topics.top_terms(topics.term_weights(t, "topic_id", "rid", "text"), "topic_id")
     return topics.centroids(topics.map_places(c, "rid")).join(terms, "topic_id", "left").select(F.col("domain").alias("domain_id"), "topic_id", F.col("label").alias("topic_label"), "top_terms", "size", "x", "y")

@@ -361,6 +361,40 @@ def test_unconverged_topics_are_reported(spark):
         topics.cluster(df, "uid", "text", "dom")
 
 
+def _groups(spark, domains, n=60, words=3000):
+    rnd = random.Random(7)
+    return spark.createDataFrame([(1000 * d + i, " ".join([*rnd.choices([f"c{i % 5}x{j}" for j in range(12)], k=8), f"own{rnd.randrange(words)}"]), f"d{d}") for d in range(domains) for i in range(n)], "uid int, text string, dom string")
+
+
+def test_domains_are_fitted_in_the_same_passes(spark, monkeypatch):
+    """Many domains take as many reads of their texts as the slowest of them alone, not one fit after another."""
+    reads, read = [], topics.kmeans._pass
+    monkeypatch.setattr(topics.kmeans, "_pass", lambda *a: reads.append(sorted(a[1])) or read(*a))
+    df = _groups(spark, 5)
+    got = {r["uid"]: r["topic_id"] for r in topics.cluster(df, "uid", "text", "dom", docs_per_topic=12).collect()}
+    most = max(sum(f"d{d}" in r for r in reads) for d in range(5))
+    assert len(reads) == most and reads[0] == [f"d{d}" for d in range(5)]
+    assert len(got) == 300 and len({*got.values()}) == 25
+
+
+@pytest.mark.parametrize("dense", [0, 20, 4000])
+def test_clusters_are_a_fixed_point(spark, monkeypatch, dense):
+    """By brute force over whole vectors: every text is nearest the mean of its own topic's texts, however many terms are columns."""
+    monkeypatch.setattr(topics.kmeans, "DENSE", dense)
+    got = topics.cluster_vectors(topics.text_vectors(_groups(spark, 2), "uid", "text", "dom"), "uid", docs_per_topic=12, per_block=25).collect()
+    for d in ("d0", "d1"):
+        own = [r for r in got if r["domain"] == d]
+        x = np.zeros((60, 1 + max(i for r in own for i in r["features"]["indices"])))
+        for row, r in zip(x, own, strict=True):
+            row[r["features"]["indices"]] = r["features"]["values"]
+        assert np.allclose((x**2).sum(1), 1)
+        names = sorted({r["topic_id"] for r in own})
+        at = np.array([names.index(r["topic_id"]) for r in own])
+        means = np.array([x[at == i].mean(0) for i in range(len(names))])
+        far = ((x[:, None, :] - means) ** 2).sum(2)
+        assert len(names) == 5 and (far[np.arange(60), at] <= far.min(1) + 1e-5).all()
+
+
 def test_number_of_topics_follows_size():
     n = [topics.topic_count(x, 3, 25) for x in (0, 3, 4, 30, 200, 400, 20_000, 2_000_000)]
     assert n == [1, 1, 2, 2, 8, 14, 100, 1000]
