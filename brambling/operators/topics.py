@@ -122,22 +122,66 @@ def anchors(n: int) -> tuple[np.ndarray, float]:
     return grid, step / 4
 
 
+#: Terms that `_plane` holds as columns at a time.
+WIDTH = 4096
+
+
 def _plane(df: pd.DataFrame) -> pd.DataFrame:
-    """(domain, term, bx, by): the two principal directions of the points (point, term, v) of one domain; fewer where they span less."""
+    """(domain, term, bx, by): the two principal directions of the points (point, term, v) of one domain; fewer where they span less. Points by
+    terms are a matrix of WIDTH terms at a time."""
     seen = df.dropna(subset=["term"])
     points, terms = np.sort(df["point"].unique()), np.sort(seen["term"].unique())
-    m = np.zeros((len(points), len(terms)))
-    m[np.searchsorted(points, seen["point"]), np.searchsorted(terms, seen["term"])] = seen["v"]
-    m -= m.mean(0)
-    val, vec = np.linalg.eigh(m @ m.T)
+    row, col, v = np.searchsorted(points, seen["point"]), np.searchsorted(terms, seen["term"]), seen["v"].to_numpy()
+    order = np.argsort(col, kind="stable")
+    row, col, v = row[order], col[order], v[order]
+
+    def slices() -> Iterator[tuple[int, np.ndarray]]:
+        for a in range(0, len(terms), WIDTH):
+            i, j = np.searchsorted(col, [a, a + WIDTH])
+            m = np.zeros((len(points), min(WIDTH, len(terms) - a)))
+            m[row[i:j], col[i:j] - a] = v[i:j]
+            yield a, m - m.mean(0)
+
+    val, vec = np.linalg.eigh(sum((m @ m.T for _, m in slices()), np.zeros((len(points), len(points)))))
     b = np.zeros((len(terms), 2))
     for i in range(min(2, len(val))):
         if val[-1 - i] > 1e-9:
-            x = m.T @ vec[:, -1 - i] / np.sqrt(val[-1 - i])
-            b[:, i] = x * np.sign(x[np.argmax(np.abs(np.round(x, 6)))])
+            for a, m in slices():
+                b[a : a + WIDTH, i] = m.T @ vec[:, -1 - i] / np.sqrt(val[-1 - i])
+            b[:, i] *= np.sign(b[np.argmax(np.abs(np.round(b[:, i], 6))), i])
     return pd.DataFrame({"domain": df["domain"].iloc[0], "term": terms.astype("int32"), "bx": b[:, 0], "by": b[:, 1]})
 
 
+def _projected(c: DataFrame, plane: DataFrame, key: str) -> DataFrame:
+    """(key, domain, topic_id, px, py): texts on the directions of their domain, which the driver collects and every task gets: two numbers a term."""
+    t = plane.toArrow().sort_by([("domain", "ascending"), ("term", "ascending")])
+    by: dict[str, tuple[np.ndarray, ...]] = {}
+    for d in pc.unique(t["domain"]).to_pylist():
+        own = t.filter(pc.equal(t["domain"], d))
+        by[d] = tuple(own[x].to_numpy() for x in ("term", "bx", "by"))
+    shared = c.sparkSession.sparkContext.broadcast(by)
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_domain = shared.value
+        for b in batches:
+            terms, values = b.column("indices"), b.column("values")
+            row = np.repeat(np.arange(len(terms)), terms.value_lengths().to_numpy(zero_copy_only=False))
+            idx, val = (x.flatten().to_numpy(zero_copy_only=False) for x in (terms, values))
+            p, domain = np.zeros((2, len(terms))), b.column("domain").to_numpy(zero_copy_only=False)
+            of = domain[row]
+            for d in set(domain) & by_domain.keys():
+                known, *axes = by_domain[d]
+                i = np.flatnonzero(of == d)
+                if len(known) and len(i):
+                    at = np.minimum(np.searchsorted(known, idx[i]), len(known) - 1)
+                    i, at = i[hit := known[at] == idx[i]], at[hit]
+                    p += [np.bincount(row[i], val[i] * x[at], minlength=len(terms)) for x in axes]
+            yield pa.RecordBatch.from_arrays([b.column(key), b.column("domain"), b.column("topic_id"), *map(pa.array, p)], names=[key, "domain", "topic_id", "px", "py"])
+
+    kind = c.schema[key].dataType.simpleString()
+    return c.select(key, "domain", "topic_id", "features.indices", "features.values").mapInArrow(project, f"`{key}` {kind}, domain string, topic_id string, px double, py double")
+
+
 def _spread(df: pd.DataFrame) -> pd.DataFrame:
     """(domain, topic_id, ax, ay, r) from the means (topic_id, mx, my) of one domain's topics: rows of the grid by my, places in a row by mx."""
     d = df.assign(mx=df["mx"].round(6), my=df["my"].round(6)).sort_values(["my", "topic_id"], ignore_index=True)
@@ -159,10 +203,10 @@ def map_places(clustered: DataFrame, key: str) -> DataFrame:
     c = clustered.join(F.broadcast(clustered.groupBy("domain").agg(F.count_distinct("topic_id").alias("topics"))), "domain")
     c = c.withColumn("point", F.when(F.col("topics") < 3, F.xxhash64("features.indices", "features.values").cast("string")).otherwise(F.col("topic_id")))
     size = c.groupBy("domain", "point").agg(F.count("*").alias("n"))
-    long = c.select(key, "domain", "topic_id", "point", F.explode_outer(F.arrays_zip("features.indices", "features.values")).alias("e")).select(key, "domain", "topic_id", "point", F.col("e.indices").alias("term"), F.col("e.values").alias("v"))
+    long = c.select("domain", "point", F.explode_outer(F.arrays_zip("features.indices", "features.values")).alias("e")).select("domain", "point", F.col("e.indices").alias("term"), F.col("e.values").alias("v"))
     means = long.groupBy("domain", "point", "term").agg(F.sum("v").alias("v")).join(size, ["domain", "point"]).select("domain", "point", "term", F.round(F.col("v") / F.col("n"), 9).alias("v"))
     plane = means.groupBy("domain").applyInPandas(_plane, "domain string, term int, bx double, by double")
-    p = long.join(plane, ["domain", "term"], "left").groupBy(key, "domain", "topic_id").agg(*[F.coalesce(F.sum(F.col("v") * F.col(b)), F.lit(0.0)).alias(x) for b, x in (("bx", "px"), ("by", "py"))])
+    p = _projected(clustered, plane, key)
     p = cut(p, "projected")
     mean = p.groupBy("domain", "topic_id").agg(F.avg("px").alias("mx"), F.avg("py").alias("my"))
     spots = mean.join(mean.groupBy("domain").applyInPandas(_spread, "domain string, topic_id string, ax double, ay double, r double"), ["domain", "topic_id"])

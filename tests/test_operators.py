@@ -344,6 +344,32 @@ def test_map_follows_content(spark):
     assert [*topics._spread(means).sort_values("topic_id")[["ax", "ay"]].itertuples(index=False, name=None)] == [(0.75, 0.25), (0.25, 0.25), (0.75, 0.75), (0.25, 0.75)]
 
 
+def test_map_plane_in_slices(monkeypatch):
+    """The directions of the means don't depend on how many terms are held at a time, and are those of the whole matrix."""
+    rnd = np.random.default_rng(2)
+    m = rnd.random((6, 50)) * (rnd.random((6, 50)) < 0.5)
+    df = pd.DataFrame([("d", f"p{i}", j, m[i, j]) for i in range(6) for j in range(50) if m[i, j]] + [("d", "none", None, None)], columns=["domain", "point", "term", "v"])
+    widths = []
+    for w in (7, 4096):
+        monkeypatch.setattr(topics, "WIDTH", w)
+        widths.append(topics._plane(df))
+    assert np.allclose(widths[0][["bx", "by"]], widths[1][["bx", "by"]]) and (widths[0]["term"] == widths[1]["term"]).all()
+    whole = np.vstack([np.zeros(50), m])[:, widths[0]["term"]]
+    first = np.linalg.svd(whole - whole.mean(0))[2][:2]
+    assert np.allclose(np.abs((first * widths[0][["bx", "by"]].to_numpy().T).sum(1)), 1)
+
+
+def test_map_moves_no_terms(spark):
+    """Texts are projected where they lie: no join or group of theirs by term."""
+    rows = [(i, "d", f"d_t{i % 3}", ([i % 5, 7 + i % 3], [0.6, 0.8])) for i in range(30)]
+    df = spark.createDataFrame(rows, "uid int, domain string, topic_id string, features struct<indices:array<int>, values:array<double>>")
+    plane = spark.createDataFrame([("d", t, t / 10, 1.0) for t in range(9)], "domain string, term int, bx double, by double")
+    p = topics._projected(df, plane, "uid")
+    assert "Exchange" not in p._jdf.queryExecution().executedPlan().toString()
+    got = {r["uid"]: (round(r["px"], 9), round(r["py"], 9)) for r in p.collect()}
+    assert got == {i: (round(0.06 * (i % 5) + (0.08 * (7 + i % 3) if 7 + i % 3 < 9 else 0), 9), 1.4 if 7 + i % 3 < 9 else 0.6) for i in range(30)}
+
+
 def test_topics_keep_every_term(spark):
     """More different terms than any fixed vocabulary: each is a feature, and a text of rare terms only isn't empty."""
     data = [(i, " ".join(f"w{i}x{j}" for j in range(100)), "d") for i in range(45)] + [(100 + i, "common words here", "d") for i in range(45)]
